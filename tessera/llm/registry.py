@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import bpe
+from tessera.llm import bpe, packing
 
-QUERIES = {"op1_bpe": bpe.op1_bpe}
+QUERIES = {"op1_bpe": bpe.op1_bpe, "op7_packing": packing.op7_packing}
 ORACLE_SQL: dict[str, str] = {}
