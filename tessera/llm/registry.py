@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from tessera.llm import bpe, jaccard_join, packing
+from tessera.llm import bpe, jaccard_join, packing, toxicity
 
-QUERIES = {"op1_bpe": bpe.op1_bpe, "op6_ngram_jaccard": jaccard_join.op6_ngram_jaccard, "op7_packing": packing.op7_packing}
+QUERIES = {
+    "op1_bpe": bpe.op1_bpe,
+    "op5_toxicity": toxicity.op5_toxicity,
+    "op6_ngram_jaccard": jaccard_join.op6_ngram_jaccard,
+    "op7_packing": packing.op7_packing,
+}
 ORACLE_SQL: dict[str, str] = {}
