@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from tessera.llm import bpe, jaccard_join, packing, toxicity
+from tessera.llm import bpe, jaccard_join, packing, quality, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_bpe": bpe.op1_bpe,
+    "op2_quality": quality.op2_quality,
+    "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_ngram_jaccard": jaccard_join.op6_ngram_jaccard,
     "op7_packing": packing.op7_packing,
