@@ -4,6 +4,8 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tessera.llm import packing
@@ -16,12 +18,19 @@ def want_ids(text):
     return [*LIB.encode(text or "", add_special_tokens=False).ids, 1]
 
 
-@pytest.mark.parametrize("text", ["", None, "Hello  world\n\n x", " a", "it's 12 34", "<|endoftext|>x<|endoftext|>", "é日本 　  z\x1c\x1d ", "  ", "a\t\tb", "!!! ??\n"])
+@pytest.mark.parametrize("text", ["", None, "Hello  world\n\n x", " a", "it's 12 34", "<|endoftext|>x<|endoftext|>", "é日本 　  z\x1c\x1d ", "  ", "a\t\tb", "!!! ??\n", "x" * 3000 + " y", " " * 3000 + "z", "\u1680a \u2009\u202fb\u0085c", "naïve ﬁ 𝔘nicode ½ ²"])
 def test_ids_like_the_library(text):
     got = np.frombuffer(packing.loaded(PATH).ids([text])[0], "<u2").tolist()
     assert got == LIB.encode(text or "", add_special_tokens=False).ids
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet=st.one_of(st.sampled_from("abc '.,1\n\t"), st.characters(max_codepoint=0x24FF, exclude_categories=["Cs", "Cn"])), max_size=50))
+def test_random_ids_like_the_library(text):
+    got = np.frombuffer(packing.loaded(PATH).ids([text])[0], "<u2").tolist()
+    assert got == LIB.encode(text, add_special_tokens=False).ids
+
+
 def whole(rows, docs, sequence):
     """Brute-force check that the pieces hold each id once, and sequences have no gap."""
     pieces, places = defaultdict(list), defaultdict(list)
