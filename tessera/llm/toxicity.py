@@ -32,7 +32,7 @@ from tessera.llm.shared import WORD
 DIMENSIONS = 1 << 20
 PREFIXES = (4, 5, 6)
 FACTORS = 4
-MAX_ROWS = 30_000
+MAX_ROWS = 20_000
 MIN_ROWS = 4
 #: Likelihood ratio from which a slot's tie to the label counts (chance reaches it in 1 of 100,000 slots).
 MIN_G2 = 20.0
@@ -179,13 +179,16 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
 
     # the sample has at most max_rows rows, so this broadcast is bounded
     picked = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).join(F.broadcast(usable), "doc")
-    rows, marks = [], []
-    # row order must not depend on the cluster: sorted by content
-    got = picked.select("text", "label").mapInArrow(featurise, "slots array<int>, label int").toArrow()
-    for s, y in sorted(zip(got.column(0).to_pylist(), got.column(1).to_pylist(), strict=True)):
-        rows.append(np.array(s, np.int32))
-        marks.append(y)
-    return rows, np.array(marks, float)
+    got = picked.select("text", "label").mapInArrow(featurise, "slots array<int>, label int").toArrow().combine_chunks()
+    if not got.num_rows:
+        return [], np.zeros(0)
+    lists = got.column(0).combine_chunks() if isinstance(got.column(0), pa.ChunkedArray) else got.column(0)
+    values, at = lists.values.to_numpy(), lists.offsets.to_numpy()
+    rows = [values[i:j] for i, j in zip(at[:-1], at[1:], strict=True)]
+    marks = got.column(1).to_numpy().astype(float)
+    # row order must not depend on the cluster: by content
+    order = sorted(range(len(rows)), key=lambda i: (len(rows[i]), rows[i].tobytes(), marks[i]))
+    return [rows[i] for i in order], marks[order]
 
 
 def fit(docs, labels, id_col="doc_id", text_col="text", label_col="toxic", max_rows=MAX_ROWS) -> Machine:
