@@ -74,18 +74,18 @@ def texts(column: pa.Array):
     return at, np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
 
 
-def words(column: pa.Array, lower: bool = False):
-    """Yield Words over slices of a column."""
+def words(column: pa.Array, lower: bool = False, white: np.ndarray = _WHITE):
+    """Yield Words over slices of a column; white tells which bytes part words."""
     at, data = texts(column)
     row = 0
     while row < len(at) - 1:
         n = max(1, int(np.searchsorted(at, at[row] + SLICE, "right")) - 1 - row)
-        yield hashed(data[at[row] : at[row + n]], at[row : row + n + 1] - at[row], row, lower)
+        yield hashed(data[at[row] : at[row + n]], at[row : row + n + 1] - at[row], row, lower, white)
         row += n
 
 
-def hashed(data: np.ndarray, text: np.ndarray, row: int, lower: bool) -> Words:
-    white = _WHITE[data]
+def hashed(data: np.ndarray, text: np.ndarray, row: int, lower: bool, white: np.ndarray = _WHITE) -> Words:
+    white = white[data]
     edge = np.ones(len(data) + 1, bool)  # the byte before each position ends a word
     edge[1:] = white
     edge[text] = True
