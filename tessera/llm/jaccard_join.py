@@ -17,9 +17,10 @@ pivot. The join works on sets of shingle hashes (64 bits), equal sets once:
    Sets within the distance link to the pivot, so a group of copies becomes a star, not all
    pairs.
 4. Regions whose members are not yet connected are joined recursively: members outside a
-   region's largest component become pivots in turn, twice as many each round, against the
+   region's largest component become pivots in turn, more of them each round, against the
    members that the triangle inequality leaves (seen from a common pivot, distances that
-   differ by more than the window rule a pair out). A region ends when its members are
+   differ by more than the window rule a pair out) and whose place in the order of shingles
+   leaves enough of them for the overlap. A region ends when its members are
    connected, or every pair of members from different components was compared or ruled
    out; so no link between components is lost.
 
@@ -43,6 +44,8 @@ from tessera.llm.shared import Written
 WORDS = 5
 #: Similarity of 0.8 as a ratio of integers.
 SIMILARITY = (4, 5)
+#: Regions whose open pairs are at most this many times their members are finished in one round.
+LINEAR = 30
 #: Candidate ids up to which the texts' scan gets them by broadcast; beyond, by a join.
 BROADCAST_ROWS = 1_000_000
 
@@ -186,15 +189,17 @@ def near_duplicates(
         .filter(F.col("c") * b >= F.col("n") * a)
         .withColumn("rank", F.row_number().over(by_doc.orderBy("df", "h")))
         .filter(F.col("rank") <= F.col("n") - F.ceil(F.col("n") * a / b) + 1 - (F.col("n") - F.col("c")))
-        .select("h", F.col("doc").alias("x"), "n", "central")
+        .select("h", F.col("doc").alias("x"), "n", "central", (F.col("n") - F.col("c") + F.col("rank") - 1).alias("pos"))
     )
+    # a pair is compared only where its overlap may suffice if this is its first common shingle
+    may_reach = lambda n, pos, m: (F.col(n) - F.col(pos)) * (a + b) >= (F.col(n) + F.col(m)) * a
     members = written.save(known, "join-members")
 
     # 3. the Voronoi cells of the regions' pivots
-    pivots = members.groupBy("h").agg(F.max(F.struct("central", F.col("n").alias("pn"), F.col("x").alias("p"))).alias("top"), F.count("*").alias("m")).filter("m > 1")
+    pivots = members.groupBy("h").agg(F.max(F.struct("central", F.col("n").alias("pn"), F.col("x").alias("p"), F.col("pos").alias("ppos"))).alias("top"), F.count("*").alias("m")).filter("m > 1")
     cells = (
-        members.join(pivots.select("h", "top.p", "top.pn"), "h").filter("x <> p")
-        .filter((F.least("n", "pn") * b >= F.greatest("n", "pn") * a))
+        members.join(pivots.select("h", "top.p", "top.pn", "top.ppos"), "h").filter("x <> p")
+        .filter(may_reach("n", "pos", "pn") & may_reach("pn", "ppos", "n"))
         .groupBy("x", "p").agg(F.count("*").alias("met"))
         .groupBy("x").agg(F.max(F.struct("met", "p")).alias("top")).select("x", "top.p")
     )
@@ -202,10 +207,10 @@ def near_duplicates(
     links = compared.filter("link").select(F.col("x").alias("a"), F.col("p").alias("b"))
     seen_from = compared.select("x", F.col("p").alias("cell"), (1 - F.col("common") / (F.col("nx") + F.col("np") - F.col("common"))).alias("d"))
     seen_from = written.save(seen_from.unionAll(compared.select(F.col("p").alias("x"), F.col("p").alias("cell"), F.lit(0.0).alias("d")).distinct()).groupBy("x").agg(F.min(F.struct("d", "cell")).alias("at")).select("x", "at.cell", "at.d"), "join-cells")
-    members = written.save(members.join(seen_from, "x", "left").select("h", "x", "n", "central", "cell", "d"), "join-members")
+    members = written.save(members.join(seen_from, "x", "left").select("h", "x", "n", "central", "pos", "cell", "d"), "join-members")
 
     # 4. regions that are not connected join recursively
-    done, each, window = compared.select("x", "p"), 2, 1 - a / b + 1e-9
+    done, each, window = compared.select("x", "p"), 4, 1 - a / b + 1e-9
     while True:
         joined = components(links, written)
         marked = members.join(joined.select(F.col("v").alias("x"), "label"), "x", "left").withColumn("label", F.coalesce("label", "x"))
@@ -213,13 +218,18 @@ def near_duplicates(
         largest = groups.groupBy("h").agg(F.max(F.struct("size", "label")).alias("top"), F.count("*").alias("groups")).filter("groups > 1").select("h", F.col("top.label").alias("main"))
         marked = written.save(marked.join(largest, "h"), "join-marked")
         outside = marked.filter("label <> main")
-        u = outside.select("h", F.col("x").alias("p"), F.col("n").alias("pn"), F.col("cell").alias("pcell"), F.col("d").alias("pd"), F.col("label").alias("plabel"), "central")
+        u = outside.select("h", F.col("x").alias("p"), F.col("n").alias("pn"), F.col("cell").alias("pcell"), F.col("d").alias("pd"), F.col("label").alias("plabel"), F.col("pos").alias("ppos"), "central")
         possible = (
             (F.col("label") != F.col("plabel"))
-            & (F.least("n", "pn") * b >= F.greatest("n", "pn") * a)
+            & may_reach("n", "pos", "pn") & may_reach("pn", "ppos", "n")
             & ~F.coalesce((F.col("cell") == F.col("pcell")) & (F.abs(F.col("d") - F.col("pd")) > window), F.lit(False))
         )
-        # a region's pivots of this round: those with partners left, not yet compared
+        sizes = marked.groupBy("h").agg(F.count("*").alias("all"), F.count_if(F.col("label") != F.col("main")).alias("out"))
+        work = sizes.agg(F.max("out").alias("most"), F.sum(F.col("all") * F.col("out")).alias("pairs"), F.sum("all").alias("rows")).first().asDict()
+        work = {k: v or 0 for k, v in work.items()}
+        if work["pairs"] <= LINEAR * work["rows"]:
+            each = max(each, work["most"])
+        # a region's pivots of this round
         open_pairs = lambda p: marked.drop("central").join(p, "h").filter(possible).select("h", F.least("x", "p").alias("x"), F.greatest("x", "p").alias("p"), F.col("p").alias("pivot"))
         ranked = u.withColumn("turn", F.row_number().over(Window.partitionBy("h").orderBy(F.desc("central"), "p"))).filter(F.col("turn") <= each)
         tried = open_pairs(ranked).select("x", "p").distinct()
@@ -227,11 +237,10 @@ def near_duplicates(
         now = written.save(linked(fresh, sets, similarity), "join-compared")
         links = links.unionAll(now.filter("link").select(F.col("x").alias("a"), F.col("p").alias("b")))
         done = done.unionAll(now.select("x", "p"))
-        most = outside.groupBy("h").count().agg(F.max("count")).first()[0] or 0
         written.drop(marked)
-        if most <= each and now.filter("link").isEmpty():
+        if work["most"] <= each and now.filter("link").isEmpty():
             break
-        each *= 2
+        each *= 8
 
     joined = components(links, written)
     # documents outside their own class' name or component
