@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from tessera.llm import bpe, jaccard_join, packing, quality, suffix_dedup, toxicity
+from tessera.llm import bpe, imatch, jaccard_join, licenses, packing, quality, suffix_dedup, toxicity, url_filter, warc
 
 QUERIES = {
     "op1_bpe": bpe.op1_bpe,
     "op2_quality": quality.op2_quality,
     "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
+    "op4_imatch": imatch.op4_imatch,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_ngram_jaccard": jaccard_join.op6_ngram_jaccard,
     "op7_packing": packing.op7_packing,
+    "op8_licenses": licenses.op8_licenses,
+    "op9_warc": warc.op9_warc,
+    "op10_url_filter": url_filter.op10_url_filter,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op9_warc": warc.ORACLE_SQL}
