@@ -35,6 +35,8 @@ from tessera.llm.shared import Written
 
 MIN_WORDS = 50
 SEED = 25
+#: Shared suffixes up to which their documents' lists are broadcast; beyond, they are joined.
+BROADCAST_SUFFIXES = 8_000_000
 
 
 def sliding(values: np.ndarray, size: int, best) -> np.ndarray:
@@ -81,6 +83,17 @@ def retained(w: scan.Words, seed: int, min_words: int) -> tuple[np.ndarray, np.n
     return at, h[at]
 
 
+def repeats(row: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which values occur more than once in their row, and which are not the first of these."""
+    order = np.lexsort((h, row))  # stable: equal values keep their order
+    same = (row[order][1:] == row[order][:-1]) & (h[order][1:] == h[order][:-1])
+    again, later = np.zeros(len(h), bool), np.zeros(len(h), bool)
+    later[order[1:]] = same
+    again[order[1:]] |= same
+    again[order[:-1]] |= same
+    return again, later
+
+
 def spans(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -94,7 +107,6 @@ def spans(
     is_first: the span's windows occur here first; others can be cut. first_doc_id: least id
     among the first occurrences of the span's windows.
     """
-    written = written or Written(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
 
@@ -104,44 +116,51 @@ def spans(
                 at, h = retained(w, seed, min_words)
                 row = np.searchsorted(w.first, at, "right") - 1
                 doc = batch.column(0).slice(w.row, w.n).take(pa.array(row))
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), doc, pa.array(at - w.first[row])], names=["h", "doc", "at"])
-
-    held = written.save(texts.mapInArrow(suffixes, f"h long, doc {kind}, at long"), "suffixes")
-    place = F.struct("doc", "at")
-    shared = held.groupBy("h").agg(F.min(place).alias("a"), F.max(place).alias("b")).filter("a <> b").select("h")
-    stay = held.join(shared, "h").groupBy("doc").agg(F.collect_set("h").alias("shared"))
+                nth = np.arange(len(at)) - np.searchsorted(row, row)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), doc, pa.array(nth.astype(np.int32)), pa.array(repeats(row, h)[0])], names=["h", "doc", "nth", "again"])
+
+    # 1. neighbours in the order of hashes; nth: which of its document's retained suffixes it is
+    equal = Window.partitionBy("h")
+    rows = texts.mapInArrow(suffixes, f"h long, doc {kind}, nth int, again boolean").repartition("h")
+    shared = (F.min("doc").over(equal) != F.max("doc").over(equal)) | F.max("again").over(equal)
+    rows = rows.withColumn("shared", shared).filter("shared")
+    written = written or Written(docs.sparkSession)
+    stay = written.save(rows.groupBy("doc").agg(F.collect_set("nth").alias("shared")), "suffixes-shared")
+    few = (stay.agg(F.sum(F.size("shared"))).first()[0] or 0) <= BROADCAST_SUFFIXES
 
     def windows(batches):
         for batch in batches:
             flat = batch.column(2)
             for w in scan.words(batch.column(1)):
                 known = flat.slice(w.row, w.n)
-                values = known.flatten().to_numpy().view(np.uint64)
                 owner = np.repeat(np.arange(w.n), np.diff(known.offsets.to_numpy()))
+                at, h = retained(w, seed, min_words)
+                own = np.searchsorted(w.first, at, "right") - 1
+                wanted = h[np.searchsorted(own, owner) + known.flatten().to_numpy()]
                 least = sliding(runs(w, seed), min_words - seed + 1, np.minimum)
                 at = np.arange(len(least))
                 row = w.row_of[: len(least)]
                 whole = at + min_words <= w.first[1:][row]
                 # (row, hash) pairs: a window stays if its least run is shared
                 key = scan.mix(least + scan.mix(row.astype(np.uint64), 3), 4)
-                wanted = scan.mix(values + scan.mix(owner.astype(np.uint64), 3), 4)
-                at = np.flatnonzero(whole & np.isin(key, wanted))
+                at = np.flatnonzero(whole & np.isin(key, scan.mix(wanted + scan.mix(owner.astype(np.uint64), 3), 4)))
                 row = row[at]
                 h = runs(w, min_words)[at]
+                again, later = repeats(row, h)
                 point = np.zeros(len(w.data) + 1, np.int64)
                 np.cumsum((w.data & 0xC0) != 0x80, out=point[1:])
                 start = point[w.start[at]] - point[w.text[row]]
                 end = point[w.end[at + min_words - 1]] - point[w.text[row]]
                 doc = batch.column(0).slice(w.row, w.n).take(pa.array(row))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), doc, pa.array((at - w.first[row]).astype(np.int32)), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))],
-                    names=["h", "doc", "at", "start", "end"],
-                )
-
-    found = written.save(texts.join(stay, "doc").mapInArrow(windows, f"h long, doc {kind}, at int, start int, end int"), "windows")
-    written.drop(held)
-    repeated = found.groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first <> last").select("h", "first")
-    marked = found.join(repeated, "h").select("doc", "at", "start", "end", (F.col("first") == place).alias("is_first"), F.col("first.doc").alias("of"))
+                small = [pa.array(x.astype(np.int32)) for x in (at - w.first[row], start, end)]
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), doc, *small, pa.array(again), pa.array(later)], names=["h", "doc", "at", "start", "end", "again", "later"])
+
+    # 2. windows around them; later: not the first of its document
+    found = texts.join(F.broadcast(stay) if few else stay, "doc").select("doc", "text", "shared")
+    found = found.mapInArrow(windows, f"h long, doc {kind}, at int, start int, end int, again boolean, later boolean").repartition("h")
+    marked = found.withColumns({"of": F.min("doc").over(equal), "last": F.max("doc").over(equal), "any": F.max("again").over(equal)})
+    marked = marked.filter("of <> last or any").select("doc", "at", "start", "end", (~F.col("later") & (F.col("doc") == F.col("of"))).alias("is_first"), "of")
+    # 3. spans
     by = Window.partitionBy("doc", "is_first").orderBy("at")
     island = marked.withColumn("new", F.coalesce(F.col("at") - F.lag("at").over(by) > min_words, F.lit(True)).cast("int"))
     island = island.withColumn("island", F.sum("new").over(by.rowsBetween(Window.unboundedPreceding, 0)))

@@ -64,7 +64,8 @@ def test_random_passages(spark):
     assert len(want) > 20
 
 
-def test_special_inputs(spark):
+def test_special_inputs(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "BROADCAST_SUFFIXES", 0)
     text = " ".join(f"w{i}" for i in range(30))
     rows = [(5, "x " + text), (2, text + " y"), (2, text + " y"), (None, text), (3, None), (4, ""), (6, "z z z z " * 6000), (7, "short")]
     want = brute(rows, 10)
