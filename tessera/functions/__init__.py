@@ -1 +1 @@
-
+"""Scalar building blocks as Column expressions."""

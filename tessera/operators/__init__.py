@@ -1 +1 @@
-
+"""Operators: each takes DataFrames and returns one."""

@@ -1 +1 @@
-
+"""Runs of several operators, their checks, and the catalogue of queries."""

@@ -1 +1 @@
-
+"""Readers and writers of every dataset, with explicit schemas."""
