@@ -32,29 +32,43 @@ def blank(text: Column) -> Column:
     return squeeze(F.coalesce(text, F.lit(""))) == ""
 
 
+def _longer(grams: Column, chars: Column, size: int) -> Column:
+    """Grams of one character more: each with the character after it. Linear in the text, where
+    cutting every gram out of the text by its place is not."""
+    return F.array_compact(F.zip_with(grams, F.slice(chars, size, 1 << 30), lambda g, c: F.concat(g, c)))
+
+
+def char_grams(text: Column, size: int) -> Column:
+    """All grams of so many characters, with repeats; none if the text is shorter."""
+    chars = F.filter(F.split(text, ""), lambda c: c != "")
+    out = chars
+    for k in range(2, size + 1):
+        out = _longer(out, chars, k)
+    return out
+
+
 def gram_list(text: Column, size: int = 2) -> Column:
     """All character grams of the squeezed text with repeats; a shorter text is its own gram."""
     t = squeeze(text)
-    n = F.length(t)
-    return F.when(n < size, F.array(t)).otherwise(F.transform(F.sequence(F.lit(1), F.greatest(n - size + 1, F.lit(1))), lambda i: F.substr(t, i, F.lit(size))))
+    return F.when(F.length(t) < size, F.array(t)).otherwise(char_grams(t, size))
 
 
 def gram_set(text: Column) -> Column:
     """Distinct character pairs whose second character is no white space; nothing is squeezed."""
-    n = F.length(text)
-    pairs = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.substr(text, i, F.lit(2)))
-    return F.when(n < 2, F.array().cast("array<string>")).otherwise(F.array_distinct(F.filter(pairs, lambda p: ~F.substr(p, F.lit(2), F.lit(1)).rlike(SPACE))))
+    return F.array_distinct(F.filter(char_grams(text, 2), lambda p: ~F.substr(p, F.lit(2), F.lit(1)).rlike(SPACE)))
 
 
 def word_grams(text: Column, low: int, high: int, run: str = CJK_RUN) -> Column:
     """All grams of low to high characters inside the runs that match the pattern, with repeats."""
 
     def of_run(r):
-        n = F.length(r)
-        sizes = F.sequence(F.lit(low), F.lit(high))
-        return F.flatten(
-            F.transform(sizes, lambda k: F.when(n < k, F.array().cast("array<string>")).otherwise(F.transform(F.sequence(F.lit(1), F.greatest(n - k + 1, F.lit(1))), lambda i: F.substr(r, i, k))))
-        )
+        chars = F.filter(F.split(r, ""), lambda c: c != "")
+        out, sizes = chars, []
+        for k in range(1, high + 1):
+            out = out if k == 1 else _longer(out, chars, k)
+            if k >= low:
+                sizes.append(out)
+        return F.concat(*sizes)
 
     return F.flatten(F.transform(F.regexp_extract_all(text, F.lit(f"({run})"), 1), of_run))
 
@@ -85,10 +99,9 @@ def occurrences(text: Column, needle: str) -> Column:
 
 
 def overlapping(text: Column, needle: Column) -> Column:
-    """Number of occurrences of a literal, overlaps counted."""
-    n, k = F.length(text), F.length(needle)
-    starts = F.sequence(F.lit(1), F.greatest(n - k + 1, F.lit(1)))
-    return F.when((k == 0) | (n < k), F.lit(0)).otherwise(F.size(F.filter(starts, lambda i: F.substr(text, i, k) == needle)))
+    """Number of occurrences of a literal, overlaps counted: places that it can begin at."""
+    ahead = F.concat(F.lit("(?=\\Q"), needle, F.lit("\\E)"))
+    return F.when(F.length(needle) == 0, F.lit(0)).otherwise(F.regexp_count(text, ahead))
 
 
 def hms(seconds: Column) -> Column:

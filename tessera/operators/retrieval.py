@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import vocabulary as V
-from tessera.functions.text import blank, gram_list
+from tessera.functions.text import blank, char_grams, gram_list
 from tessera.functions.vectors import dot, unit
 from tessera.operators.relational import small, top_per_group
 
@@ -114,6 +114,25 @@ def bm25_scores(post: DataFrame, queries: DataFrame, id_col: str, query_id: str,
     return hit.groupBy(*scope, query_id, id_col).agg(F.round(F.sum(part), 6).alias("score"))
 
 
+def bm25_search(docs: DataFrame, queries: DataFrame, id_col: str, text_col: str, query_id: str, query_text: str, k1: float = V.BM25[0], b: float = V.BM25[1]) -> DataFrame:
+    """query_id, id_col, score as bm25_scores gives, for a stated set of queries over a whole corpus.
+
+    Only the queries' own terms are counted and dealt out; lengths come from the texts. The corpus is
+    read twice in place of a table of all its terms.
+    """
+    grams = docs.select(id_col, gram_list(F.coalesce(F.col(text_col), F.lit(""))).alias("g"))
+    total = grams.agg(F.avg(F.size("g")).alias("avgdl"), F.count("*").alias("n"))  # one row
+    asked = small(queries.select(query_id, F.explode(F.array_distinct(gram_list(F.col(query_text)))).alias("term")))
+    rows = grams.select(id_col, F.size("g").alias("dl"), F.explode("g").alias("term")).join(small(asked.select("term").distinct()), "term", "left_semi")
+    hits = rows.groupBy(id_col, "dl", "term").agg(F.count("*").alias("tf"))
+    df = hits.groupBy("term").agg(F.count("*").alias("df"))
+    terms = asked.join(df, "term").crossJoin(F.broadcast(total))
+    idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    part = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
+    scored = hits.join(small(terms.select(query_id, "term", "avgdl", idf.alias("idf"))), "term")
+    return scored.groupBy(query_id, id_col).agg(F.round(F.sum(part), 6).alias("score"))
+
+
 def cosine_scores(vectors: DataFrame, queries: DataFrame, id_col: str, query_id: str, vector: str, scope: list[str] | None = None) -> DataFrame:
     """scope, query_id, id_col, score for a stated set of queries against all vectors of their scope."""
     scope = scope or []
@@ -150,8 +169,7 @@ def truth(chunks: DataFrame, queries: DataFrame, id_col: str, text_col: str, que
     head = F.substr(F.col(quote), F.lit(1), F.lit(length))
     asked = queries.filter(F.length(head) >= probe).select(*scope, query_id, head.alias("_head"), F.substr(head, F.lit(1), F.lit(probe)).alias("_probe"))
     heads = small(asked.select(*scope, "_probe").distinct())
-    n = F.length(text_col)
-    grams = F.when(n >= probe, F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(n - probe + 1, F.lit(1))), lambda i: F.substr(F.col(text_col), i, F.lit(probe))))).otherwise(F.array().cast("array<string>"))
+    grams = F.array_distinct(char_grams(F.col(text_col), probe))
     found = chunks.select(*scope, id_col, text_col, F.explode(grams).alias("_probe")).join(heads, [*scope, "_probe"], "left_semi")
     hit = found.join(small(asked), [*scope, "_probe"]).filter(F.contains(F.col(text_col), F.col("_head")))
     return hit.groupBy(*scope, query_id).agg(F.min(id_col).alias(id_col))

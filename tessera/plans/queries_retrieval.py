@@ -104,8 +104,18 @@ def bench_queries(spark, sf_dir):
 
 
 def bench_top(spark, sf_dir, chunks):
-    post = T.postings(chunks, "chunk_id", "text")
-    return T.top_k(T.bm25_scores(post, bench_queries(spark, sf_dir), "chunk_id", "item_id", "asked"), "item_id", "chunk_id", 5)
+    return T.top_k(T.bm25_search(chunks, bench_queries(spark, sf_dir), "chunk_id", "text", "item_id", "asked"), "item_id", "chunk_id", 5)
+
+
+TURNS_SQL = "chunks AS (SELECT conv_id AS doc_id, turn AS chunk_no, text FROM conversations)"
+
+
+@query(f"WITH {TURNS_SQL}, {BM25_SQL} SELECT item_id, chunk_id, round(score, 4) AS score FROM top")
+def bm25_turns(spark, sf_dir):
+    """The five best turns of each benchmark text's first 60 characters, from a table of all postings."""
+    docs = table(spark, sf_dir, "conversations").select((F.col("conv_id") * 100000 + F.col("turn")).alias("chunk_id"), "text")
+    scores = T.bm25_scores(T.postings(docs, "chunk_id", "text"), bench_queries(spark, sf_dir), "chunk_id", "item_id", "asked")
+    return T.top_k(scores, "item_id", "chunk_id", 5).select("item_id", "chunk_id", F.round("score", 4).alias("score"))
 
 
 @query(f"WITH {CHUNKS_SQL}, {BM25_SQL} SELECT item_id, chunk_id, round(score, 4) AS score FROM top")
