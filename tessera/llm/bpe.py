@@ -25,6 +25,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.shared import bounded
+
 
 #: White space and word pattern of the vocabulary's normaliser and splitter.
 SPACE = r"\x09-\x0D\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
@@ -213,7 +215,7 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
                 arrays = [part.column(0), *(pa.array(c, t) for c, (_, t) in zip(cols, fields, strict=True))]
                 yield pa.RecordBatch.from_arrays(arrays, names=[id_col, *(n for n, _ in fields)])
 
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, ddl)
+    return bounded(docs).select(F.col(id_col), F.col(text_col)).mapInArrow(run, ddl)
 
 
 def op1_bpe(spark, sf_dir: str) -> DataFrame:

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import scan
 from tessera.llm.components import components
-from tessera.llm.shared import Written
+from tessera.llm.shared import Written, bounded
 
 WORDS = 5
 #: Similarity of 0.8 as a ratio of integers.
@@ -106,7 +106,7 @@ def shown(docs: DataFrame, id_col: str, text_col: str, size: int, similarity) ->
                 )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).mapInArrow(run, f"doc {kind}, n long, s1 long, s2 long, first array<long>")
+    return bounded(docs).select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).mapInArrow(run, f"doc {kind}, n long, s1 long, s2 long, first array<long>")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import scan
+from tessera.llm.shared import bounded
 
 SHINGLE = 5
 BANDS = 128
@@ -163,7 +164,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, id_c
                     names=[id_col, "license", "contained", "start", "end"],
                 )
 
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"`{id_col}` {kind}, license string, contained double, start long, end long")
+    return bounded(docs).select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"`{id_col}` {kind}, license string, contained double, start long, end long")
 
 
 def op8_licenses(spark, sf_dir: str) -> DataFrame:

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.bpe import SPACE, byte_alphabet
-from tessera.llm.shared import Written
+from tessera.llm.shared import Written, bounded
 
 SEQUENCE = 2048
 #: Tokens of a mixture window: sixteen sequences.
@@ -169,7 +169,7 @@ def tokenise(docs: DataFrame, path: str, id_col: str, text_col: str, source_col:
                     names=["doc", "source", "part", "local_start", "n", "ids"],
                 )
 
-    picked = docs.select(F.col(id_col).alias("doc"), F.col(source_col).cast("string").alias("source"), F.col(text_col).alias("text"))
+    picked = bounded(docs).select(F.col(id_col).alias("doc"), F.col(source_col).cast("string").alias("source"), F.col(text_col).alias("text"))
     return picked.mapInArrow(run, f"doc {kind}, source string, part long, local_start long, n long, ids binary")
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm import scan
-from tessera.llm.shared import Written
+from tessera.llm.shared import Written, bounded
 
 #: Relative error of quantiles.
 ERROR = 0.01
@@ -110,7 +110,7 @@ def measures(w: scan.Words) -> list[np.ndarray]:
 
 def measured(docs: DataFrame, keys: list, text_col: str = "text") -> DataFrame:
     """keys (columns) and MEASURES of each row."""
-    picked = docs.select(*keys, F.col(text_col).alias("__text"))
+    picked = bounded(docs).select(*keys, F.col(text_col).alias("__text"))
     names = picked.columns[:-1]
 
     def run(batches):

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: The same split for Spark's own functions (Java's \s is ASCII white space).
 JAVA_SPLIT = "[\\x20\\x09-\\x0D]+"
+#: Rows of an Arrow batch.
+BATCH_ROWS = 1000
 #: A-Z to lower case; other letters keep their case.
 LOWER = {ord(c): ord(c) + 32 for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
 
@@ -31,6 +33,14 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def bounded(df: DataFrame) -> DataFrame:
+    """df, with its session's Arrow batches kept small: whole texts are long rows, and a batch stands
+    in memory several times on both sides of the boundary."""
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df
+
+
 class Written:
     """Tables written to the shared folder; drop() removes those no longer read."""
 

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tessera.llm import scan
-from tessera.llm.shared import Written
+from tessera.llm.shared import Written, bounded
 
 MIN_WORDS = 50
 SEED = 25
@@ -104,11 +104,12 @@ def spans(
 ) -> DataFrame:
     """Maximal repeated spans: id_col, start, end (character offsets), words, is_first, first_doc_id.
 
-    is_first: the span's windows occur here first; others can be cut. first_doc_id: least id
-    among the first occurrences of the span's windows.
+    is_first: the span's windows occur here first; others can be cut. first_doc_id: least id of
+    the documents that hold the first occurrences of the span's windows (for a window that the
+    document itself has before, that document).
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    texts = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
+    texts = bounded(docs).filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
 
     def suffixes(batches):
         for batch in batches:
@@ -117,7 +118,9 @@ def spans(
                 row = np.searchsorted(w.first, at, "right") - 1
                 doc = batch.column(0).slice(w.row, w.n).take(pa.array(row))
                 nth = np.arange(len(at)) - np.searchsorted(row, row)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), doc, pa.array(nth.astype(np.int32)), pa.array(repeats(row, h)[0])], names=["h", "doc", "nth", "again"])
+                again, later = repeats(row, h)  # a text tells each of its suffixes once
+                columns = [pa.array(h.view(np.int64)), doc, pa.array(nth.astype(np.int32)), pa.array(again)]
+                yield pa.RecordBatch.from_arrays(columns, names=["h", "doc", "nth", "again"]).filter(pa.array(~later))
 
     # 1. neighbours in the order of hashes; nth: which of its document's retained suffixes it is
     equal = Window.partitionBy("h")
@@ -155,9 +158,12 @@ def spans(
                 small = [pa.array(x.astype(np.int32)) for x in (at - w.first[row], start, end)]
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), doc, *small, pa.array(again), pa.array(later)], names=["h", "doc", "at", "start", "end", "again", "later"])
 
-    # 2. windows around them; later: not the first of its document
+    # 2. windows around them; later: not the first of its document, so repeated whatever others hold;
+    # these are dealt out by their place, that a text of one repeated word is not one task's
+    equal = Window.partitionBy("key")
     found = texts.join(F.broadcast(stay) if few else stay, "doc").select("doc", "text", "shared")
-    found = found.mapInArrow(windows, f"h long, doc {kind}, at int, start int, end int, again boolean, later boolean").repartition("h")
+    found = found.mapInArrow(windows, f"h long, doc {kind}, at int, start int, end int, again boolean, later boolean")
+    found = found.withColumn("key", F.when(F.col("later"), F.xxhash64("doc", "at")).otherwise(F.col("h"))).drop("h").repartition("key")
     marked = found.withColumns({"of": F.min("doc").over(equal), "last": F.max("doc").over(equal), "any": F.max("again").over(equal)})
     marked = marked.filter("of <> last or any").select("doc", "at", "start", "end", (~F.col("later") & (F.col("doc") == F.col("of"))).alias("is_first"), "of")
     # 3. spans

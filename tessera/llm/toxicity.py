@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import WORD
+from tessera.llm.shared import WORD, bounded
 
 DIMENSIONS = 1 << 20
 PREFIXES = (4, 5, 6)
@@ -39,7 +39,7 @@ MIN_G2 = 20.0
 THRESHOLD = 0.7
 EPOCHS = 24
 #: Words a worker remembers the slots of.
-MEMORY = 400_000
+MEMORY = 200_000
 
 _memory: dict[str, tuple[int, ...]] = {}
 
@@ -178,7 +178,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), batch.column(1)], names=["slots", "label"])
 
     # the sample has at most max_rows rows, so this broadcast is bounded
-    picked = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).join(F.broadcast(usable), "doc")
+    picked = bounded(docs).select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).join(F.broadcast(usable), "doc")
     got = picked.select("text", "label").mapInArrow(featurise, "slots array<int>, label int").toArrow().combine_chunks()
     if not got.num_rows:
         return [], np.zeros(0)
@@ -215,11 +215,12 @@ def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: s
 
     kind = docs.schema[id_col].dataType.simpleString()
     held_out = F.coalesce(remainder(id_col) == 1, F.lit(False)).alias("held_out")
-    return docs.select(F.col(id_col), held_out, F.col(text_col)).mapInArrow(run, f"`{id_col}` {kind}, held_out boolean, score double, predicted int")
+    return bounded(docs).select(F.col(id_col), held_out, F.col(text_col)).mapInArrow(run, f"`{id_col}` {kind}, held_out boolean, score double, predicted int")
 
 
 def keep_clean(docs: DataFrame, machine: Machine, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs, as they are, whose text scores below the threshold."""
+    bounded(docs)
     shared, at = docs.sparkSession.sparkContext.broadcast(machine), docs.columns.index(text_col)
 
     def run(batches):

@@ -5,7 +5,8 @@ Where none fits, mined rules decide: Spark's FP-growth finds combinations of URL
 go with one label often (support) and nearly always (confidence). A mined rule is indexed
 under its rarest token; a URL finds the rules of each of its tokens there and keeps those
 whose other tokens it has too. The most confident one decides (then the one of more
-support, then of more tokens, then allow); no rule allows.
+support, then allow); no rule allows. A rule whose tokens hold those of another with the same
+label and no less confidence never decides anything, and is dropped.
 
 Tokens of a URL: each suffix of its host, each host label, its path segments with their
 depth (numbers by their first digit and length), and its query's keys.
@@ -92,6 +93,11 @@ def mine(labelled: DataFrame, support: float, confidence: float, written: Writte
     found = found.filter(~F.exists("antecedent", lambda t: F.startswith(t, F.lit("="))))
     found = found.select(F.array_sort("antecedent").alias("tokens"), F.substring(verdict, 2, 10).alias("verdict"), "confidence", "support")
     found = written.save(found.filter(F.size("tokens") > 0), "url-rules")
+    without = F.transform("tokens", lambda t: F.array_remove("tokens", t))
+    shorter = found.select("tokens", "verdict", "confidence", F.explode(without).alias("fewer"))
+    known = found.select(F.col("tokens").alias("fewer"), "verdict", F.col("confidence").alias("theirs"))
+    idle = shorter.join(known, ["fewer", "verdict"]).filter("theirs >= confidence").select("tokens", "verdict").distinct()
+    found = found.join(idle, ["tokens", "verdict"], "left_anti")
     # a rule is filed under its rarest token
     seen = items.select(F.explode("items").alias("token")).groupBy("token").count()
     each = found.select("*", F.explode("tokens").alias("token")).join(seen, "token")
@@ -103,8 +109,10 @@ def mined_verdicts(urls: DataFrame, index: DataFrame) -> DataFrame:
     if index.count() <= BROADCAST_ROWS:
         index = F.broadcast(index)
     index = index.select("anchor", F.col("tokens").alias("needs"), "verdict", "confidence", "support")
+    # a URL is a short row with many rules to try: dealt out by number, not by size
+    urls = urls.repartition(int(urls.sparkSession.conf.get("spark.sql.shuffle.partitions")), "url")
     fits = urls.select("url", "tokens", F.explode("tokens").alias("anchor")).join(index, "anchor").filter(F.forall("needs", lambda t: F.array_contains(F.col("tokens"), t)))
-    order = F.struct("confidence", "support", F.size("needs").alias("n"), F.when(F.col("verdict") == "allow", 1).otherwise(0).alias("a"), F.array_join("needs", " ").alias("rule"), "verdict")
+    order = F.struct("confidence", "support", F.when(F.col("verdict") == "allow", 1).otherwise(0).alias("a"), (-F.size("needs")).alias("n"), F.array_join("needs", " ").alias("rule"), "verdict")
     return fits.groupBy("url").agg(F.max(order).alias("top")).select("url", F.col("top.verdict").alias("mined"), F.col("top.rule").alias("mined_rule"))
 
 

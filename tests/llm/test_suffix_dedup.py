@@ -22,7 +22,8 @@ def brute(rows, m):
         found = sorted(set(found))
         if len(found) > 1:
             for i, p in found:
-                marks[i, (i, p) == found[0]][p] = found[0][0]
+                before = any(j == i and q < p for j, q in found)
+                marks[i, (i, p) == found[0]][p] = i if before else found[0][0]
     out = []
     for (i, first), ps in marks.items():
         group = []

@@ -59,7 +59,7 @@ def test_mined_rules_like_brute_force(spark):
             for c in combinations(sorted(toks[i]), k):
                 count[c] += 1
                 both[c, label] += 1
-    rules = [(both[c, v] / count[c], both[c, v] / len(marks), len(c), v == "allow", c, v) for c, v in both if both[c, v] / len(marks) >= 0.02 and both[c, v] / count[c] >= 0.8]
+    rules = [(both[c, v] / count[c], both[c, v] / len(marks), v == "allow", 0, c, v) for c, v in both if both[c, v] / len(marks) >= 0.02 and both[c, v] / count[c] >= 0.8]
     for i, _ in rows:
         fits = [r for r in rules if set(r[4]) <= toks[i]]
         want = max((round(r[0], 9), round(r[1], 9), r[2], r[3], r[5]) for r in fits)[4] if fits else "allow"
