@@ -110,18 +110,18 @@ def bench_top(spark, sf_dir, chunks):
 TURNS_SQL = "chunks AS (SELECT conv_id AS doc_id, turn AS chunk_no, text FROM conversations)"
 
 
-@query(f"WITH {TURNS_SQL}, {BM25_SQL} SELECT item_id, chunk_id, round(score, 4) AS score FROM top")
+@query(f"WITH {TURNS_SQL}, {BM25_SQL} SELECT item_id, chunk_id, CAST(rank AS INTEGER) AS rank FROM top")
 def bm25_turns(spark, sf_dir):
     """The five best turns of each benchmark text's first 60 characters, from a table of all postings."""
     docs = table(spark, sf_dir, "conversations").select((F.col("conv_id") * 100000 + F.col("turn")).alias("chunk_id"), "text")
     scores = T.bm25_scores(T.postings(docs, "chunk_id", "text"), bench_queries(spark, sf_dir), "chunk_id", "item_id", "asked")
-    return T.top_k(scores, "item_id", "chunk_id", 5).select("item_id", "chunk_id", F.round("score", 4).alias("score"))
+    return T.top_k(scores, "item_id", "chunk_id", 5).select("item_id", "chunk_id", "rank")
 
 
-@query(f"WITH {CHUNKS_SQL}, {BM25_SQL} SELECT item_id, chunk_id, round(score, 4) AS score FROM top")
+@query(f"WITH {CHUNKS_SQL}, {BM25_SQL} SELECT item_id, chunk_id, CAST(rank AS INTEGER) AS rank FROM top")
 def bm25_top(spark, sf_dir):
     """The five best chunks of each benchmark text's first 60 characters."""
-    return bench_top(spark, sf_dir, chunk_table(spark, sf_dir)).select("item_id", "chunk_id", F.round("score", 4).alias("score"))
+    return bench_top(spark, sf_dir, chunk_table(spark, sf_dir)).select("item_id", "chunk_id", "rank")
 
 
 TRUE_SQL = """true_chunk AS (SELECT item_id, min(doc_id * 100000 + chunk_no) AS chunk_id FROM benchmark b JOIN chunks c ON contains(c.text, substr(b.text, 1, 60)) GROUP BY item_id)"""

@@ -51,7 +51,7 @@ def markdown_table(df: DataFrame, columns: list[str], order: list[str | Column])
 
 def replace_section(report: Column, heading: str, section: Column) -> Column:
     """A report whose part from the heading on is this section: written twice it is there once."""
-    return F.concat(F.rtrim(F.substring_index(report, heading, 1)), F.lit("\n\n" + heading + "\n\n"), section)
+    return F.concat(F.rtrim(F.substring_index(report, heading, 1), F.lit(" \n")), F.lit("\n\n" + heading + "\n\n"), section)
 
 
 def append(df: DataFrame, path: str) -> None:
