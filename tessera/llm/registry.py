@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import bpe, imatch, jaccard_join, licenses, packing, quality, suffix_dedup, toxicity, url_filter, warc
+from tessera.llm import bpe, imatch, jaccard_join, licenses, oracles, packing, quality, suffix_dedup, toxicity, url_filter, warc
 
 QUERIES = {
     "op1_bpe": bpe.op1_bpe,
@@ -16,4 +16,4 @@ QUERIES = {
     "op9_warc": warc.op9_warc,
     "op10_url_filter": url_filter.op10_url_filter,
 }
-ORACLE_SQL: dict[str, str] = {"op9_warc": warc.ORACLE_SQL}
+ORACLE_SQL = oracles.ORACLE_SQL
