@@ -18,7 +18,7 @@ def ready(spark) -> None:
     if spark.sparkContext.getCheckpointDir() is None:
         found = spark.conf.get("spark.checkpoint.dir", None)
         if not found:
-            if not spark.sparkContext.master.startswith("local["):
+            if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
                 raise ValueError("spark.checkpoint.dir is not set")
             found = "file://" + tempfile.mkdtemp(prefix="tessera-")
         spark.sparkContext.setCheckpointDir(found)
