@@ -33,3 +33,17 @@ HANDOUT, MARKS, MARK_REACH = 500, 3, 5
 #: minimum n-gram count, minimum cluster count, clusters kept, of each round
 ROUNDS = [(3, 5, 300), (2, 3, 400), (2, 2, 500)]
 ENOUGH_TERMS = 100
+
+#: How speakers give their names, in the order they are tried; words that are no names; what a name never follows.
+INTRODUCTIONS = [
+    r"我是([\u4e00-\u9fff]{2,3})医生",
+    r"我是[^,，。]{0,12}?的([\u4e00-\u9fff]{2,3})医生",
+    r"创始人([\u4e00-\u9fff]{2,3})",
+    r"我是([\u4e00-\u9fff]{2,3})[,，]",
+]
+NO_NAMES = ["大家", "各位", "老师", "孩子", "正畸", "一个", "一名"]
+BEFORE_NO_NAME = "个名位"
+#: Kinds of listed goods that are lessons, those of them that count as missing, and the kind of containers.
+LESSON_KINDS = [3, 4, 50]
+LISTED_KINDS = [3, 50]
+CONTAINER_KIND = 7

@@ -123,3 +123,22 @@ def totals(per_course: DataFrame) -> DataFrame:
     """courses, questions, mean coverage over courses without an error."""
     fine = F.col("error").isNull()
     return per_course.agg(F.count("*").alias("courses"), F.sum(F.when(fine, F.col("questions")).otherwise(0)).alias("questions"), F.round(F.avg(F.when(fine, F.col("coverage"))), 3).alias("coverage"))
+
+
+def generate(courses: DataFrame, cards: DataFrame, ask, key: str = "course_id", least: int = 3, no_source: str = V.NO_SOURCE, most: int = 5) -> DataFrame:
+    """Ask once, validate, ask again for the courses that fall short, merge by stem, and select.
+
+    ask(courses, round) gives question rows; only the second round depends on what the first gave.
+    """
+    first = validated(ask(courses, 1), cards, key, "pos", no_source).filter("error is null").drop("error")
+    weak = course_gate(first, key, least, no_source).select(key)
+    none = courses.select(key).join(first.select(key).distinct(), key, "left_anti")
+    again = courses.join(weak.unionAll(none).distinct(), key, "left_semi")
+    second = validated(ask(again, 2), cards, key, "pos", no_source).filter("error is null").drop("error")
+    return selected(merged_by_stem(first, second, key), key, "pos", most, no_source)
+
+
+def completion(rows: DataFrame, flag: str, done: str) -> DataFrame:
+    """wanted, finished and their ratio among flagged rows."""
+    fine = F.col(flag) & F.coalesce(F.col(done), F.lit(False))
+    return rows.agg(F.count_if(flag).alias("wanted"), F.count_if(fine).alias("finished"), F.round(F.try_divide(F.count_if(fine), F.count_if(flag)), 4).alias("ratio"))

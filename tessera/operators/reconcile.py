@@ -130,3 +130,29 @@ def coverage(master: DataFrame, usage: DataFrame) -> DataFrame:
     joined = master.join(small(usage.withColumnRenamed("goods_id", "_g")), F.col("goods_id") == F.col("_g"), "left")
     zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("records", "users", "finishes")]
     return joined.select("canonical_id", "goods_id", *zero, (F.coalesce("records", F.lit(0)) > 0).alias("covered"))
+
+
+def lessons(goods: DataFrame, kinds: list[int] = V.LESSON_KINDS) -> DataFrame:
+    """Goods of the kinds that are lessons."""
+    return goods.filter(F.col("resource_type").isin(kinds))
+
+
+def containers(goods: DataFrame, part: str, kind: int = V.CONTAINER_KIND) -> DataFrame:
+    """Goods that hold a whole cohort's lessons: of one kind, their name has the cohort's part."""
+    return goods.filter(F.contains(F.coalesce("goods_name", F.lit("")), F.lit(part)) & (F.col("resource_type") == kind))
+
+
+def with_camp(roster: DataFrame, camps: DataFrame) -> DataFrame:
+    """Roster rows with their cohort's label and window."""
+    return roster.join(small(camps.select("camp", F.col("label").alias("camp_label"), "win_start", "win_end")), "camp")
+
+
+def master_rows(roster: DataFrame, matched: DataFrame, goods: DataFrame, live_matched: DataFrame, lives: DataFrame) -> DataFrame:
+    """Roster rows with the goods and the live matched to each, empty where there is none, sorted by id when written.
+
+    matched and live_matched: left (canonical_id), right (goods_id, live_id), score.
+    """
+    g = matched.select(F.col("left").alias("canonical_id"), F.col("right").alias("goods_id"), F.round("score", 3).alias("match_score")).join(goods.select("goods_id", "goods_name", F.col("created_at").alias("listed_at")), "goods_id")
+    v = live_matched.select(F.col("left").alias("canonical_id"), F.col("right").alias("live_id"), F.round("score", 3).alias("live_match_score")).join(lives.select("live_id", F.col("zb_start_at").alias("live_at")), "live_id")
+    zero = {"match_score": 0.0, "live_match_score": 0.0}
+    return roster.join(g, "canonical_id", "left").join(v, "canonical_id", "left").na.fill(zero)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions import text as X
+from tessera.functions import vocabulary as V
 from tessera.operators import ledger as L
 from tessera.operators import reconcile as RC
 from tessera.operators import relational as R
@@ -165,8 +166,7 @@ def instructors_from_intro(spark, sf_dir):
     intro = F.element_at(F.array(*map(F.lit, ["大家好我是张三医生", "我是北京的李四医生,今天", "创始人王五", "一个我是张三医生", "我是赵六,我是张三医生"])), (F.col("p_partkey") % 5 + 1).cast("int"))
     rows = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.lit("").alias("instructor"), intro.alias("intro"))
     names = spark.createDataFrame([("张三", "Zhang San"), ("李四", "Li Si"), ("王五", "Wang Wu")], "variant string, canonical string")
-    patterns = [r"我是([一-鿿]{2,3})医生", r"我是[^,，。]{0,12}?的([一-鿿]{2,3})医生", r"创始人([一-鿿]{2,3})", r"我是([一-鿿]{2,3})[,，]"]
-    return RC.with_instructor(rows, names, patterns, ["大家"], "个名位").select("id", "instructor")
+    return RC.with_instructor(rows, names, V.INTRODUCTIONS, V.NO_NAMES, V.BEFORE_NO_NAME).select("id", "instructor")
 
 
 @query(

@@ -222,3 +222,48 @@ def lost_quotes(spark, sf_dir):
     docs, b = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     cards = docs.select("doc_id").join(F.broadcast(b), F.col("doc_id") % 40 == F.col("item_id")).select(F.col("doc_id").alias("course_id"), F.col("item_id").cast("string").alias("card_id"), F.substring("text", 1, 30).alias("quote"))
     return checks.lost_quotes(cards, docs.select(F.col("doc_id").alias("course_id"), "text"))
+
+
+@query(
+    """WITH t AS (SELECT p_brand AS canonical, p_type AS variant, min(p_partkey) AS o FROM part GROUP BY ALL), f AS (SELECT canonical, min(o) AS ord FROM t GROUP BY canonical)
+    SELECT variant, arg_max(canonical, ord) AS canonical FROM t JOIN f USING (canonical) GROUP BY variant UNION ALL SELECT canonical, canonical FROM f"""
+)
+def variant_lookup(spark, sf_dir):
+    """What each form stands for; the last term that lists it wins."""
+    once = table(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("canonical"), F.col("p_type").alias("variant")).agg(F.min("p_partkey").alias("o"))
+    terms = once.groupBy("canonical").agg(F.collect_list("variant").alias("variants"), F.min("o").alias("ord")).withColumn("category", F.lit("c"))
+    return M.variant_map(terms, "c")
+
+
+@query(
+    """SELECT p_brand, string_agg(CAST(b AS VARCHAR), '/' ORDER BY b) AS batches, CAST(sum(n) AS BIGINT) AS items FROM (SELECT p_brand, p_partkey // 15 AS b, count(*) AS n FROM part WHERE (p_partkey // 15) % 5 = 0 GROUP BY ALL) GROUP BY p_brand"""
+)
+def failed_batches(spark, sf_dir):
+    """Batches without a reply, in one message per brand."""
+    rows = table(spark, sf_dir, "part").select("p_brand", F.floor(F.col("p_partkey") / 15).alias("batch_no"))
+    return M.failed_batches(rows, rows.filter("batch_no % 5 <> 0"), "p_brand")
+
+
+@query("SELECT doc_id, (length(text) - length(replace(text, 'tion', ''))) // 4 AS replaced, CAST(0 AS BIGINT) AS \"left\" FROM documents WHERE contains(text, 'tion')")
+def migration_counts(spark, sf_dir):
+    """Old forms per document before and after a migration."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = docs.withColumn("text", M.migrated(F.col("text"), {"tion": "TION"}))
+    return M.migration_report(docs, done, "doc_id", "text", ["tion"])
+
+
+@query("SELECT count(*) FILTER (p_size < 20) AS wanted, count(*) FILTER (p_size < 20 AND p_partkey % 3 = 0) AS finished, round(count(*) FILTER (p_size < 20 AND p_partkey % 3 = 0) / count(*) FILTER (p_size < 20), 4) AS ratio FROM part")
+def completion_ratio(spark, sf_dir):
+    """The share of small parts that are done."""
+    from tessera.operators.quiz import completion
+
+    rows = table(spark, sf_dir, "part").select((F.col("p_size") < 20).alias("case"), (F.col("p_partkey") % 3 == 0).alias("done"))
+    return completion(rows, "case", "done")
+
+
+@query()
+def mining_rounds(spark, sf_dir):
+    """The dictionary after two rounds in which a rule adopts what begins alike."""
+    judge = lambda found: found.select("a", "b", F.when(F.substring("a", 1, 1) == F.substring("b", 1, 1), "adopt").otherwise("reject").alias("decision"), F.col("a").alias("canonical"), F.col("b").alias("variant"), F.lit("mined").alias("category"))
+    rows = stats(spark, sf_dir).filter("n >= 20").cache()
+    return M.mined(rows, dictionary(spark).drop("note"), judge, SOUNDS, ((100, 200, 20), (50, 100, 20)), 1000).select("canonical", "variants", "source")

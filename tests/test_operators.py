@@ -272,3 +272,50 @@ def test_reconcile_rules(spark):
     led = spark.createDataFrame([("p", "m[1]", 1_000_000, 1_000_000, False), ("p", "other", 5, 5, False), ("p", "m[1]", 9, 9, True)], "part string, model string, input_tokens long, output_tokens long, cached boolean")
     r = ledger.cost_by_part(led, prices).first()
     assert (r.calls, r.cached_calls, r.input_tokens, r.cost, r.models) == (2, 1, 1_000_005, 3.0, "m[1]/other")
+
+
+def test_generate_asks_again_where_it_falls_short(spark):
+    schema = "course_id string, pos long, stem string, options map<string,string>, answer string, explanation string, source_card_ids array<string>, distractor_source array<string>, distractor_note string"
+    options = {k: f"option {k}" for k in "ABCD"}
+    row = lambda c, i, stem, other: (c, i, stem, options, "a", "explained at length", ["k"], other, "note")
+    asked = []
+
+    def ask(courses, n):
+        asked.append(sorted(r.course_id for r in courses.collect()))
+        rows = {1: [row("x", i, f"question {i}", ["k"]) for i in range(3)] + [row("y", 1, "question 1", [V.NO_SOURCE])], 2: [row("y", i, f"question {i}", ["k"]) for i in range(1, 4)]}[n]
+        return spark.createDataFrame(rows, schema).filter(F.col("course_id").isin(asked[-1]))
+
+    courses = spark.createDataFrame([("x",), ("y",), ("z",)], "course_id string")
+    cards = spark.createDataFrame([(c, "k") for c in "xyz"], "course_id string, card_id string")
+    got = sorted((r.course_id, r.pos, r.q_no) for r in quiz.generate(courses, cards, ask).collect())
+    assert asked == [["x", "y", "z"], ["y", "z"]]
+    assert got == [("x", 0, 1), ("x", 1, 2), ("x", 2, 3), ("y", 1, 3), ("y", 2, 1), ("y", 3, 2)]
+
+
+def test_mining_stops_and_does_not_ask_twice(spark):
+    stats = spark.createDataFrame([("aa", 9, 2), ("ab", 8, 2), ("ac", 3, 1), ("zz", 9, 1)], "gram string, n long, courses long")
+    dictionary = spark.createDataFrame([("aa", [], "c", "seed", 0)], "canonical string, variants array<string>, category string, source string, ord long")
+    table, asked = {"a": "v", "b": "v", "c": "v", "z": "z"}, []
+
+    def judge(found):
+        asked.append(sorted((r.a, r.b) for r in found.collect()))
+        return found.select("a", "b", F.when(F.col("b") == "ab", "adopt").otherwise("reject").alias("decision"), F.col("a").alias("canonical"), F.col("b").alias("variant"), F.lit("c").alias("category"))
+
+    out = terms.mined(stats, dictionary, judge, table, ((5, 5, 10), (2, 2, 10)), 100)
+    assert {r.canonical: r.variants for r in out.collect()} == {"aa": ["ab"]}
+    assert asked[0] == [("aa", "ab")] and ("aa", "ab") not in asked[1] and ("aa", "ac") in asked[1]
+    assert terms.mined(stats, dictionary, judge, table, ((5, 5, 10),), 1).count() == 1
+    assert terms.term_of(out, "ab") == "aa"
+    with pytest.raises(LookupError):
+        terms.term_of(out, "none")
+
+
+def test_master_rows(spark):
+    roster = spark.createDataFrame([("c1", "x"), ("c2", "y")], "canonical_id string, camp string")
+    camps = spark.createDataFrame([("x", "X", None, None), ("y", "Y", None, None)], schemas.CAMPS)
+    goods = spark.createDataFrame([("g1", "49 days", 7, 1.0, 1, 1, "2024-01-01"), ("g2", "lesson", 3, 1.0, 1, 1, "2024-01-02"), ("g3", None, 9, 1.0, 1, 1, None)], schemas.GOODS)
+    lives = spark.createDataFrame([("l1", "t", "2024-02-01", None, 1)], schemas.LIVES)
+    assert [r.goods_id for r in reconcile.lessons(goods).collect()] == ["g2"] and [r.goods_id for r in reconcile.containers(goods, "49").collect()] == ["g1"]
+    pairs = "left string, right string, score double"
+    out = reconcile.master_rows(reconcile.with_camp(roster, camps), spark.createDataFrame([("c1", "g2", 0.71234)], pairs), goods, spark.createDataFrame([("c2", "l1", 0.8)], pairs), lives)
+    assert sorted((r.canonical_id, r.camp_label, r.goods_name, r.match_score, r.live_at, r.live_match_score) for r in out.collect()) == [("c1", "X", "lesson", 0.712, None, 0.0), ("c2", "Y", None, 0.0, "2024-02-01", 0.8)]
