@@ -153,12 +153,14 @@ def near_duplicates(
 ) -> DataFrame:
     """One row for each row of docs: id_col, n_shingles, component_id."""
     written = written or Written(docs.sparkSession)
+    before = list(written.tables)
     a, b = similarity
-    held = written.save(shown(docs, id_col, text_col, size, similarity), "join-sets")
+    shows = written.save(shown(docs, id_col, text_col, size, similarity), "join-sets")
+    held = written.save(shows.drop("first"), "join-signatures")
 
     # 1. sets with too few common first shingles leave
     least = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * a / b) / 20)).cast("long")
-    entries = held.filter("n > 0").select("s1", "n", F.explode("first").alias("h"))
+    entries = shows.filter("n > 0").select("s1", "n", F.explode("first").alias("h"))
 
     def shared(rows: DataFrame) -> DataFrame:
         """Entries whose shingle another set shows too, each once."""
@@ -169,14 +171,16 @@ def near_duplicates(
         return rows.groupBy("s1").agg(F.max("n").alias("n"), F.count("*").alias("c")).filter(F.col("c") >= least).select("s1")
 
     common = written.save(shared(entries), "join-entries")
+    written.drop(shows)
     again = written.save(shared(common.join(staying(common), "s1", "left_semi")), "join-entries")
+    written.drop(common)
     stay = staying(again)
 
     # equal sets are one class, named by its least id
     classes = held.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc").alias("rep"), F.count("*").alias("members"))
     classes = written.save(classes.filter("rep is not null"), "join-classes")
     wanted = written.save(classes.join(stay, "s1", "left_semi").select(F.col("rep").alias("doc"), "s1"), "join-wanted")
-    written.drop(common, again)
+    written.drop(again)
     few = wanted.count() <= BROADCAST_ROWS
     sets = written.save(full_sets(docs, F.broadcast(wanted) if few else wanted, id_col, text_col, size), "join-full")
 
@@ -246,7 +250,8 @@ def near_duplicates(
     # documents outside their own class' name or component
     named = classes.join(joined.select(F.col("v").alias("rep"), "label"), "rep", "left").filter("members > 1 or label is not null")
     named = written.save(named.select("n", "s1", "s2", F.coalesce("label", "rep").alias("component")), "join-named")
-    out = held.drop("first").join(named, ["n", "s1", "s2"], "left")
+    written.keep(before, held, named)
+    out = held.join(named, ["n", "s1", "s2"], "left")
     return out.select(F.col("doc").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id"))
 
 

@@ -26,7 +26,7 @@ def shared_dir(spark: SparkSession) -> str:
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir is not set")
         found = "file://" + tempfile.mkdtemp(prefix="tessera-")
         spark.conf.set("spark.checkpoint.dir", found)
@@ -45,7 +45,7 @@ class Written:
     """Tables written to the shared folder; drop() removes those no longer read."""
 
     def __init__(self, spark: SparkSession):
-        self.spark, self.base = spark, shared_dir(spark)
+        self.spark, self.base, self.tables = spark, shared_dir(spark), []
 
     def save(self, df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
         """Write df, cut its lineage, and return the table as read again."""
@@ -54,6 +54,7 @@ class Written:
         df.write.option("compression", codec).parquet(path)
         out = self.spark.read.schema(schema).parquet(path)
         out.written_at = path
+        self.tables.append(out)
         return out
 
     def drop(self, *tables: DataFrame) -> None:
@@ -61,6 +62,13 @@ class Written:
         for df in tables:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(df.written_at)
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        gone = {df.written_at for df in tables}
+        self.tables = [df for df in self.tables if df.written_at not in gone]
+
+    def keep(self, since: list[DataFrame], *kept: DataFrame) -> None:
+        """Remove what was written since a copy of self.tables was taken, but for the kept."""
+        stay = {df.written_at for df in [*since, *kept]}
+        self.drop(*[df for df in self.tables if df.written_at not in stay])
 
 
 def text_or_empty(column: str = "text"):
