@@ -155,6 +155,7 @@ def near_duplicates(
     written = written or Written(docs.sparkSession)
     before = list(written.tables)
     a, b = similarity
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shows = written.save(shown(docs, id_col, text_col, size, similarity), "join-sets")
     held = written.save(shows.drop("first"), "join-signatures")
 
@@ -163,9 +164,27 @@ def near_duplicates(
     entries = shows.filter("n > 0").select("s1", "n", F.explode("first").alias("h"))
 
     def shared(rows: DataFrame) -> DataFrame:
-        """Entries whose shingle another set shows too, each once."""
-        of_h = Window.partitionBy("h")
-        return rows.repartition("h").dropDuplicates(["h", "s1"]).withColumn("sets", F.count("*").over(of_h)).filter("sets > 1").drop("sets")
+        """Entries whose shingle another set shows too, each once.
+
+        Rows are dealt out by ranges of (shingle, set) and compared with their neighbours, so a shingle
+        that a third of all sets show fills many tasks. The first and last shingle of a batch count as
+        shared, as this filter may keep too many.
+        """
+
+        def neighbours(batches):
+            for batch in batches:
+                h, s1 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+                if not len(h):
+                    continue
+                same, other = h[1:] == h[:-1], s1[1:] != s1[:-1]
+                begin = np.flatnonzero(np.concatenate([[True], ~same]))
+                mixed = np.add.reduceat(np.concatenate([[0], same & other]).astype(np.int64), begin) > 0
+                mixed[[0, -1]] = True
+                once = np.concatenate([[True], ~same | other])
+                yield batch.filter(pa.array(np.repeat(mixed, np.diff(np.append(begin, len(h)))) & once))
+
+        ranged = rows.select("h", "s1", "n").repartitionByRange(parts, "h", "s1").sortWithinPartitions("h", "s1")
+        return ranged.mapInArrow(neighbours, "h long, s1 long, n long")
 
     def staying(rows: DataFrame) -> DataFrame:
         return rows.groupBy("s1").agg(F.max("n").alias("n"), F.count("*").alias("c")).filter(F.col("c") >= least).select("s1")
