@@ -157,7 +157,8 @@ def near_duplicates(
     a, b = similarity
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shows = written.save(shown(docs, id_col, text_col, size, similarity), "join-sets")
-    held = written.save(shows.drop("first"), "join-signatures")
+    # a few bytes a row: few files
+    held = written.save(shows.drop("first").coalesce(max(1, parts // 8)), "join-signatures")
 
     # 1. sets with too few common first shingles leave
     least = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * a / b) / 20)).cast("long")
@@ -265,8 +266,7 @@ def near_duplicates(
             break
         each *= 8
 
-    joined = components(links, written)
-    # documents outside their own class' name or component
+    # the last round linked nothing, so its components are final; documents outside their own class' name or component
     named = classes.join(joined.select(F.col("v").alias("rep"), "label"), "rep", "left").filter("members > 1 or label is not null")
     named = written.save(named.select("n", "s1", "s2", F.coalesce("label", "rep").alias("component")), "join-named")
     written.keep(before, held, named)
