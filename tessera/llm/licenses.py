@@ -9,7 +9,8 @@ the template, W of the window), so at least one band agrees with a probability o
 1 - (1 - j) ** BANDS; guaranteed() gives it for each template, and it is above 0.999999 for all.
 A window can only agree with a template in a band if it holds one of its shingles, so the other
 windows are not hashed; that changes no result. Candidates are then verified exactly: the share
-of the template's distinct shingles in the window must be ``CONTAINED`` or more.
+of the template's distinct shingles in the window must be ``CONTAINED`` or more. The hits of such
+windows are split into places: runs in the template's order first, then what is left in any order.
 
 Shingles have five words; a template with fewer words is one shingle of all its words.
 
@@ -20,6 +21,8 @@ gives no rows. Other columns of the input are not looked at.
 
 from __future__ import annotations
 
+import bisect
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -78,10 +81,14 @@ class Index:
 
     def __init__(self, templates: dict[str, str]):
         self.groups: dict[tuple[int, int], list] = {}
+        self.orders: dict[str, dict[int, list[int]]] = {}  # where each shingle stands in its template
         for (name, _), h in zip(templates.items(), _hashes(list(templates.values())), strict=True):
             if len(h):
                 size = min(SHINGLE, len(h))
-                s = np.unique(_runs(h, size))
+                runs = _runs(h, size)
+                s = np.unique(runs)
+                for i, x in enumerate(runs.tolist()):
+                    self.orders.setdefault(name, {}).setdefault(x, []).append(i)
                 self.groups.setdefault((len(h), size), []).append((name, s, minhash(s)))
 
     def guaranteed(self) -> dict[str, float]:
@@ -95,6 +102,57 @@ class Index:
         return out
 
 
+def _apart(found: list, kept: list) -> None:
+    """Adds to kept (first word, end, share) those of found that overlap none: most of the template, then shortest, then first."""
+    for a, b, c in sorted(found, key=lambda x: (-x[2], x[1] - x[0], x[0])):
+        i = bisect.bisect_left(kept, (a, b, c))
+        if (i == 0 or kept[i - 1][1] <= a) and (i == len(kept) or b <= kept[i][0]):
+            kept.insert(i, (a, b, c))
+
+
+def places(at: list[int], shingles: list[int], order: dict[int, list[int]], length: int, size: int) -> list[tuple[float, int, int]]:
+    """(share, first word, end) of the places of a template, given where its shingles stand in a text.
+
+    First the runs of shingles in the template's order, so that each of several copies side by side
+    is a place; then, of what no such place covers, the spans with most of the template in any order.
+    No place has more than 2 * length words.
+    """
+    enough = lambda n: n * CONTAINED[1] >= len(order) * CONTAINED[0]
+    runs: list = []
+    last = 0
+    for p, x in zip(at, shingles, strict=True):
+        later = [i for i in order[x] if i > last]
+        if runs and later and p + size - runs[-1][0] <= 2 * length:
+            last = later[0]
+            runs[-1][1] = p + size
+            runs[-1][2].add(x)
+        else:
+            last = order[x][0]
+            runs.append([p, p + size, {x}])
+    kept: list = []
+    _apart([(a, b, len(own) / len(order)) for a, b, own in runs if enough(len(own))], kept)
+    taken, k, rest = list(kept), 0, [[]]
+    for p, x in zip(at, shingles, strict=True):
+        while k < len(taken) and taken[k][1] <= p:
+            k += 1
+            rest.append([])
+        if k == len(taken) or p + size <= taken[k][0]:
+            rest[-1].append((p, x))
+    for part in rest:
+        spans = []
+        for i, (p, _) in enumerate(part):
+            own: set = set()
+            for q, x in part[i:]:
+                if q + size - p > 2 * length:
+                    break
+                if x not in own:
+                    own.add(x)
+                    if enough(len(own)):
+                        spans.append((p, q + size, len(own) / len(order)))
+        _apart(spans, kept)
+    return [(c, a, b) for a, b, c in kept]
+
+
 def matches(w: scan.Words, index: Index):
     """(row, template, contained, start word, end word) in a slice."""
     runs = {size: _runs(w.hash, size) for size in {s for _, s in index.groups}}
@@ -111,7 +169,7 @@ def matches(w: scan.Words, index: Index):
         for p, r in zip(hits.tolist(), rows[hits].tolist(), strict=True):
             at = (p - int(w.first[r])) // length
             windows.update((r, k) for k in (at - 1, at) if k >= 0)
-        spots: dict = {}
+        found: dict = {}
         for r, k in sorted(windows):
             begin = int(w.first[r]) + k * length
             end = min(begin + 2 * length, int(w.first[r + 1]))
@@ -125,15 +183,11 @@ def matches(w: scan.Words, index: Index):
                     continue
                 common = len(np.intersect1d(own, s, assume_unique=True))
                 if common * CONTAINED[1] >= len(s) * CONTAINED[0]:
-                    at = np.flatnonzero(np.isin(inside, s))
-                    spots.setdefault((r, name), []).append((common / len(s), begin + int(at[0]), begin + int(at[-1]) + size))
-        for (r, name), found in spots.items():
-            # windows overlap: of places that do, the one with most of the template stays
-            kept: list = []
-            for c, a, b in sorted(found, key=lambda x: (-x[0], x[2] - x[1], x[1])):
-                if all(b <= x or y <= a for _, x, y in kept):
-                    kept.append((c, a, b))
-            for c, a, b in sorted(kept, key=lambda x: x[1]):
+                    found.setdefault((r, name), set()).update((begin + np.flatnonzero(np.isin(inside, s))).tolist())
+        orders = {name: index.orders[name] for name, _, _ in templates}
+        for (r, name), at in found.items():
+            at = sorted(at)
+            for c, a, b in places(at, h[at].tolist(), orders[name], length, size):
                 yield r, name, c, a, b
 
 
