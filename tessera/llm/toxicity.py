@@ -8,8 +8,9 @@ lower-cased words without outer ASCII punctuation, and their leading letters (th
 
 Training uses labelled rows whose crc32(id as text) mod 3 is not 1. At most ``max_rows``
 of them are used, those with the least hash of their id (a documented bound, so that the
-model fits on the driver); slots that too few training rows have, or whose tie to the
-label may be chance, stay 0.
+model fits on the driver); slots that too few training rows have stay 0. All others get a
+weight and factors, so that terms which are neutral alone can be toxic together; slots whose
+own tie to the label may be chance learn at lower rates, as there are thousands of them.
 Labels, language, source and id are never inputs of a score.
 
 Results for special inputs: null or empty texts have no terms and score the bias alone;
@@ -36,6 +37,9 @@ MAX_ROWS = 20_000
 MIN_ROWS = 4
 #: Likelihood ratio from which a slot's tie to the label counts (chance reaches it in 1 of 100,000 slots).
 MIN_G2 = 20.0
+#: Learning rates of weights and factors: of slots with a tie of their own to the label, and of the others.
+RATES = (0.3, 0.05)
+NEUTRAL_RATES = (0.003, 0.01)
 THRESHOLD = 0.7
 EPOCHS = 24
 #: Words a worker remembers the slots of.
@@ -115,6 +119,12 @@ def telling(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     return np.flatnonzero((both >= MIN_ROWS) & (g2 >= MIN_G2))
 
 
+def frequent(rows: list[np.ndarray]) -> np.ndarray:
+    """Slots in MIN_ROWS training rows at least."""
+    everyone = np.ones(len(rows), bool)
+    return np.flatnonzero(sum((np.bincount(r, minlength=DIMENSIONS) for r in _joined(rows, everyone)), np.zeros(DIMENSIONS, np.int64)) >= MIN_ROWS)
+
+
 def _joined(rows, chosen, size=2000):
     picked = [r for r, c in zip(rows, chosen, strict=True) if c]
     for lo in range(0, len(picked), size):
@@ -123,13 +133,15 @@ def _joined(rows, chosen, size=2000):
 
 def train(rows: list[np.ndarray], labels: np.ndarray, factors: int = FACTORS, epochs: int = EPOCHS, seed: int = 0) -> Machine:
     """Fit by AdaGrad on the logistic loss, both labels of equal total weight."""
-    keep = telling(rows, labels)
+    keep = frequent(rows)
+    tied = np.concatenate([[False], np.isin(keep, telling(rows, labels))])
+    rate_w, rate_v = (np.where(tied, a, b) for a, b in zip(RATES, NEUTRAL_RATES, strict=True))
     place_of = np.zeros(DIMENSIONS, np.int32)
     place_of[keep] = np.arange(1, len(keep) + 1)
     kept = [p[p > 0] for p in (place_of[r] for r in rows)]
     rng = np.random.default_rng(seed)
     k = len(keep) + 1
-    w, v, bias = np.zeros(k), rng.normal(0, 0.01, (k, factors)), 0.0
+    w, v, bias = np.zeros(k), rng.normal(0, 0.001, (k, factors)), 0.0
     v[0] = 0
     gw, gv, gb = np.full(k, 1e-6), np.full((k, factors), 1e-6), 1e-6
     positive = max(1, int(labels.sum()))
@@ -153,8 +165,8 @@ def train(rows: list[np.ndarray], labels: np.ndarray, factors: int = FACTORS, ep
             gw[u] += dw * dw
             gv[u] += dv * dv
             gb += err.sum() ** 2
-            w[u] -= 0.3 * dw / np.sqrt(gw[u])
-            v[u] -= 0.05 * dv / np.sqrt(gv[u])
+            w[u] -= rate_w[u] * dw / np.sqrt(gw[u])
+            v[u] -= rate_v[u, None] * dv / np.sqrt(gv[u])
             bias -= 0.2 * err.sum() / np.sqrt(gb)
             w[0], v[0] = 0, 0
     return Machine(keep, bias, w[1:], v[1:])
