@@ -429,7 +429,7 @@ def template_handouts(spark, sf_dir):
 @query()
 def contained_cards(spark, sf_dir):
     """Turns that neither hold an earlier kept turn's text nor are part of one."""
-    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.substr("text", F.lit(1), (F.col("turn") % 3 + 1).cast("int") * 4).alias("quote"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.col("text").alias("quote"))
     return C.drop_contained(rows, "conv_id", "turn", "quote")
 
 
