@@ -1,21 +1,26 @@
 """Words of Arrow string columns as numpy arrays, without a Python string for each word.
 
-A word's 64-bit hash is a polynomial over its bytes, found from prefix sums modulo 2**64
-(the base is odd, so its powers can be divided out), and then mixed.
+A word's 64-bit hash takes its bytes in steps of eight through a bijection that spreads them, so
+words of one length up to eight bytes never share a hash; words and lines of more than ``LONG``
+bytes are hashed by BLAKE2. Runs of words are hashed by doubling: two runs of p words give one of 2p,
+with the bijection after each step, so no algebra of the words' hashes (as of polynomials,
+where the Thue-Morse words of a power of two letters agree) survives.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-BASE = 0x9E3779B97F4A7C15
-INVERSE = pow(BASE, -1, 1 << 64)
+ODD = U(0x9E3779B97F4A7C15)
 #: Bytes handled at a time, unless one text is longer.
 SLICE = 1 << 20
+#: Bytes of a word or line up to which it is hashed by steps.
+LONG = 512
 
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
@@ -29,21 +34,42 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-_VALUE = mix(np.arange(256, dtype=U), 41)
-_LOWER = _VALUE.copy()
-_LOWER[65:91] = _VALUE[97:123]
-_powers: list[np.ndarray] = [np.ones(1, U), np.ones(1, U)]
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE**0.. and BASE**-0.. modulo 2**64, n of each at least."""
-    if len(_powers[0]) < n:
-        n = max(n, SLICE + 1)
-        for k, base in enumerate((BASE, INVERSE)):
-            out = np.full(n, base, U)
-            out[0] = 1
-            _powers[k] = np.multiply.accumulate(out)
-    return _powers[0], _powers[1]
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_PART = np.array([(1 << 8 * k) - 1 for k in range(9)], U)
+
+
+def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the bytes [start, end) of each word or line."""
+    n = end - start
+    out = mix(n.astype(U), 5)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))  # the eight bytes from each position on
+    live = np.flatnonzero(n <= LONG)
+    at, left = start[live], n[live]
+    while len(live):
+        out[live] = mix(out[live] ^ (eight[at] & _PART[np.minimum(left, 8)]))
+        more = left > 8
+        live, at, left = live[more], at[more] + 8, left[more] - 8
+    for i in np.flatnonzero(n > LONG).tolist():
+        out[i] = int.from_bytes(blake2b(data[start[i] : end[i]].tobytes(), digest_size=8).digest(), "little")
+    return out
+
+
+def runs(h: np.ndarray, size: int) -> np.ndarray:
+    """Hash of each `size` values in a row."""
+    out, done, p, power = None, 0, 1, h
+    while True:
+        if size & p:
+            if out is None:
+                out = power
+            else:
+                m = max(0, min(len(out), len(power) - done))
+                out = mix(out[:m] * ODD + power[done : done + m], p)
+            done += p
+        if done == size:
+            return mix(out[: max(0, len(h) - size + 1)], size)
+        power, p = mix(power[: max(0, len(power) - p)] * ODD + power[p:], 11), 2 * p
 
 
 @dataclass
@@ -95,10 +121,7 @@ def hashed(data: np.ndarray, text: np.ndarray, row: int, lower: bool, white: np.
     ends[:-1] = white
     ends[text] = True
     end = np.flatnonzero(solid & ends[1:]) + 1
-    up, down = powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, U)
-    np.cumsum((_LOWER if lower else _VALUE)[data] * up[: len(data)], out=sums[1:])
-    h = mix((sums[end] - sums[start]) * down[start])
+    h = hashes(_LOWER[data] if lower else data, start, end)
     return Words(row, len(text) - 1, data, text, start, end, h, np.searchsorted(start, text).astype(np.int64))
 
 
@@ -108,21 +131,16 @@ def shingles(w: Words, size: int, whole_if_short: bool = True) -> tuple[np.ndarr
     A text with fewer words (one at least) has its whole sequence as one run if whole_if_short.
     """
     count = np.diff(w.first)
-    total = len(w.hash)
-    runs = max(0, total - size + 1)
-    h = np.zeros(runs, U)
-    for k in range(size):
-        h = h * U(BASE) + w.hash[k : k + runs]
-    begin = np.arange(runs)
-    row = w.row_of[:runs]
-    keep = begin + size <= w.first[1:][row] if runs else np.zeros(0, bool)
-    h, row = mix(h[keep]), row[keep]
+    h = runs(w.hash, size)
+    begin, row = np.arange(len(h)), w.row_of[: len(h)]
+    keep = begin + size <= w.first[1:][row]
+    h, row = h[keep], row[keep]
     if whole_if_short and (short := np.flatnonzero((count > 0) & (count < size))).size:
-        extra = np.zeros(len(short), U)
+        extra = mix(count[short].astype(U), 7)
         for k in range(size - 1):
             has = count[short] > k
-            extra[has] = extra[has] * U(BASE) + w.hash[w.first[short[has]] + k]
-        h, row = np.concatenate([h, mix(extra + count[short].astype(U), 7)]), np.concatenate([row, short])
+            extra[has] = mix(extra[has] * ODD + w.hash[w.first[short[has]] + k], 13)
+        h, row = np.concatenate([h, extra]), np.concatenate([row, short])
         order = np.argsort(row, kind="stable")
         h, row = h[order], row[order]
     return h, np.searchsorted(row, np.arange(w.n + 1)).astype(np.int64)

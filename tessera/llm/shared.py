@@ -71,6 +71,20 @@ class Written:
         self.drop(*[df for df in self.tables if df.written_at not in stay])
 
 
+def looked_up(rows: DataFrame, table: DataFrame, keys: list[str], n: str, how: str = "inner") -> DataFrame:
+    """rows joined with table, which holds each key once and tells in column n how many rows have it.
+
+    Keys that more than 1 / (4 * partitions) of the counted rows have are at most 4 * partitions, so
+    their part of the table is broadcast; the rows of all others are joined by a shuffle in which no key is
+    large. how is inner or left.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = max(100, (table.agg(F.sum(n)).first()[0] or 0) // (4 * parts))
+    hot, cold = (table.filter(c).drop(n) for c in (F.col(n) > most, F.col(n) <= most))
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
+    return rows.join(F.broadcast(hot), keys).unionByName(rest.join(cold, keys, how))
+
+
 def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 

@@ -43,3 +43,27 @@ def test_words_and_shingles_like_brute_force(texts, slice_bytes):
 def test_long_text():
     w = next(iter(scan.words(pa.array(["ab " * 700_000]))))
     assert len(w.hash) == 700_000 and len(np.unique(w.hash)) == 1
+
+
+def test_thue_morse_words_differ():
+    a, b = "a", "b"
+    for _ in range(11):
+        a, b = a + b, b + a
+    w = next(iter(scan.words(pa.array([f"{a} {b} {' '.join(a)} {' '.join(b)}"]))))
+    assert len(np.unique(w.hash)) == 4
+    for size in (2, 8, 50, 1024, 2048):
+        h = scan.runs(w.hash[2:], size)
+        assert len(h) == len(w.hash) - 2 - size + 1
+        seen = {}
+        for i, x in enumerate(h.tolist()):
+            assert seen.setdefault(w.hash[2 + i : 2 + i + size].tobytes(), x) == x
+        assert len(set(seen.values())) == len(seen)
+
+
+def test_lines_by_any_length_like_brute_force():
+    r = np.random.default_rng(3)
+    parts = [bytes(r.integers(97, 99, n).astype(np.uint8)) for n in [*range(40), 511, 512, 513, 513, 600] for _ in range(4)]
+    data = np.frombuffer(b"".join(parts), np.uint8)
+    end = np.cumsum([len(p) for p in parts])
+    h = scan.hashes(data, end - [len(p) for p in parts], end)
+    assert len(set(h.tolist())) == len(set(parts)) and len(set(zip(h.tolist(), parts, strict=True))) == len(set(parts))

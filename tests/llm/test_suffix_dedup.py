@@ -66,7 +66,7 @@ def test_random_passages(spark):
 
 
 def test_special_inputs(spark, monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "BROADCAST_SUFFIXES", 0)
+    monkeypatch.setattr(suffix_dedup, "BROADCAST_BYTES", 0)
     text = " ".join(f"w{i}" for i in range(30))
     rows = [(5, "x " + text), (2, text + " y"), (2, text + " y"), (None, text), (3, None), (4, ""), (6, "z z z z " * 6000), (7, "short")]
     want = brute(rows, 10)
@@ -81,6 +81,27 @@ def test_special_inputs(spark, monkeypatch):
     assert suffix_dedup.spans(df.limit(0)).count() == 0 and suffix_dedup.cut(df.limit(0)).count() == 0
 
 
+def test_neighbours_alone_would_miss(spark):
+    """The middle row is nearest to both others in the order of suffixes; the outer two share a passage of their own."""
+    seed = [f"s{i}" for i in range(5)]
+    left, right = [f"l{i}" for i in range(6)], [f"r{i}" for i in range(6)]
+    rows = [
+        (1, " ".join(left + seed + right[:2] + ["x1", "y1"])),
+        (2, " ".join(["q"] * 2 + left[-1:] + seed + right + ["x2"])),
+        (3, " ".join(left + seed + right[:2] + ["x3", "y3"])),
+        (4, " ".join(["p"] * 2 + left[-1:] + seed + right + ["x4"])),
+    ]
+    for m in (8, 10, 12):
+        assert run(spark, rows, m) == brute(rows, m)
+
+
+def test_an_id_with_two_texts(spark):
+    text, other = " ".join(f"w{i}" for i in range(30)), " ".join(f"v{i}" for i in range(40))
+    df = spark.createDataFrame([(1, text), (2, text + " end"), (2, other), (2, other)], "doc_id long, text string")
+    out = sorted(r.text for r in suffix_dedup.cut(df, min_words=10, length_col=None).collect())
+    assert out == sorted([text, " end", other, other])
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
