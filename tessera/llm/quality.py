@@ -3,11 +3,16 @@
 A document's measures are counted from its whole text. For each language, source and ratio a
 logarithmic quantile sketch counts the documents in buckets whose bounds grow by a fixed
 factor, so that any quantile is known within ``ERROR`` of its value; two sketches merge by
-adding counts, which makes them independent of order and partitioning. A ratio is an outlier
-beyond median +- ``REACH`` * max(interquartile range, least spread): the fence follows each
-source, and the least spread keeps sources where nearly all values agree from rejecting
-ordinary documents. Sources with few documents use the merged sketch of their language, or of
-everything. Documents that fail the base rules are in no sketch.
+adding counts, which makes them independent of order and partitioning. Documents that fail the
+base rules are in no sketch.
+
+A ratio is an outlier beyond median + times * (upper quantile - median), and for some ratios also
+below median - times * (median - lower quantile). Median and quantiles all come from the
+sketches, so place and width of a fence both follow the group; only the level of the quantile
+and the multiple are set for each ratio (``RATIOS``). Quantiles are shrunk: those of a source
+with n documents are (n * own + ``WEIGHT`` * the language's) / (n + ``WEIGHT``), and the language's
+likewise with those of all documents, so a group's own share grows with its size without a
+step. One unit (a symbol, a line) beyond a fence is not held against a text.
 
 Results for special inputs: a null or empty text has measures 0 and fails the base rules;
 null language or source is a group of its own; repeated rows are judged alike (and each
@@ -29,16 +34,15 @@ from tessera.llm.shared import Written, bounded
 
 #: Relative error of quantiles.
 ERROR = 0.01
-REACH = 6.0
-#: Documents from which a group's own sketch is used.
-ENOUGH = 50
-#: ratio: (numerator, denominator, least spread, low side counts too)
+#: Documents that a merged sketch counts for beside a group's own.
+WEIGHT = 100
+#: ratio: (numerator, denominator, level of the upper quantile, times, low side counts too)
 RATIOS = {
-    "word_length": ("word_chars", "n_words", 0.35, True),
-    "symbols": ("n_symbols", "n_words", 0.05, False),
-    "dup_lines": ("n_dup_lines", "n_lines", 0.09, False),
-    "repeats": ("n_repeat_words", "n_words", 0.04, False),
-    "capitals": ("n_capitals", "word_chars", 0.04, False),
+    "word_length": ("word_chars", "n_words", 0.75, 8, True),
+    "symbols": ("n_symbols", "n_words", 0.9, 2, False),
+    "dup_lines": ("n_dup_lines", "n_lines", 0.99, 2, False),
+    "repeats": ("n_repeat_words", "n_words", 0.99, 2, False),
+    "capitals": ("n_capitals", "word_chars", 0.95, 4, False),
 }
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals"]
 WINDOW = 8
@@ -84,10 +88,7 @@ def measures(w: scan.Words) -> list[np.ndarray]:
     start = line_start[used]
     end = np.append(line_start[1:], len(data))[used] if len(line_start) else start
     end = end - ((end > start) & (data[np.maximum(end - 1, 0)] == 0x0A))
-    up, down = scan.powers(len(data) + 1)
-    byte = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(scan._VALUE[data] * up[: len(data)], out=byte[1:])
-    h = scan.mix((byte[end] - byte[start]) * down[start])
+    h = scan.hashes(data, start, end)
     line_row = np.searchsorted(at, start, "right") - 1
     lines = np.bincount(line_row, minlength=n)
     _, new = _distinct(line_row, h)
@@ -132,37 +133,52 @@ def base_failed():
 def sketches(stats: DataFrame, groups: list[str]) -> DataFrame:
     """(groups, ratio, bucket, docs): mergeable sketches of the rows that pass the base rules."""
     gamma = (1 + ERROR) / (1 - ERROR)
-    ratio = F.explode(F.array(*[F.struct(F.lit(k).alias("ratio"), F.try_divide(F.col(a), F.col(b)).alias("value")) for k, (a, b, _, _) in RATIOS.items()]))
+    ratio = F.explode(F.array(*[F.struct(F.lit(k).alias("ratio"), F.try_divide(F.col(a), F.col(b)).alias("value")) for k, (a, b, *_) in RATIOS.items()]))
     rows = stats.filter(~base_failed()).select(*groups, ratio.alias("r")).select(*groups, "r.ratio", "r.value")
     bucket = F.when(F.col("value") > 0, F.ceil(F.log("value") / math.log(gamma))).otherwise(F.lit(None)).cast("long")
     return rows.groupBy(*groups, "ratio", bucket.alias("bucket")).agg(F.count("*").alias("docs"))
 
 
-def fences(sketch: DataFrame, groups: list[str]) -> DataFrame:
-    """(groups, ratio, low, high, docs) of sketches grouped by the given columns."""
+def quantiles(sketch: DataFrame, groups: list[str]) -> DataFrame:
+    """(groups, ratio, docs, low, mid, high) of sketches grouped by the given columns."""
     gamma = (1 + ERROR) / (1 - ERROR)
     merged = sketch.groupBy(*groups, "ratio", "bucket").agg(F.sum("docs").alias("docs"))
     by = Window.partitionBy(*groups, "ratio")
     rows = merged.withColumn("upto", F.sum("docs").over(by.orderBy(F.asc_nulls_first("bucket")))).withColumn("total", F.sum("docs").over(by))
     value = F.when(F.col("bucket").isNull(), 0.0).otherwise(2 * F.pow(F.lit(gamma), F.col("bucket")) / (gamma + 1))
-    quantile = lambda q: F.min(F.when(F.col("upto") >= q * F.col("total"), value))
-    spread = reduce(lambda c, k: c.when(F.col("ratio") == k, RATIOS[k][2]), RATIOS, F)
-    sided = F.col("ratio").isin([k for k, v in RATIOS.items() if v[3]])
-    out = rows.groupBy(*groups, "ratio").agg(quantile(0.25).alias("q1"), quantile(0.5).alias("q2"), quantile(0.75).alias("q3"), F.max("total").alias("docs"))
-    reach = REACH * F.greatest(F.col("q3") - F.col("q1"), spread)
-    return out.select(*groups, "ratio", F.when(sided, F.col("q2") - reach).alias("low"), (F.col("q2") + reach).alias("high"), "docs")
+    per_mille = reduce(lambda c, k: c.when(F.col("ratio") == k, round(1000 * RATIOS[k][2])), RATIOS, F).cast("long")
+    reached = lambda level: F.min(F.when(1000 * F.col("upto") >= level * F.col("total"), value))
+    out = rows.withColumn("level", per_mille).groupBy(*groups, "ratio")
+    return out.agg(F.max("total").alias("docs"), reached(1000 - F.col("level")).alias("low"), reached(F.lit(500)).alias("mid"), reached(F.col("level")).alias("high"))
+
+
+def shrunk(own: DataFrame, wider: DataFrame, groups: list[str]) -> DataFrame:
+    """The quantiles of own, drawn towards those of the wider groups (by the given columns) it lies in."""
+    names = [*groups, "ratio", "low", "mid", "high"]
+    wider = wider.select(*[F.col(c).alias(f"w_{c}") for c in names])
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"w_{c}")) for c in [*groups, "ratio"]])
+    drawn = [((F.col("docs") * F.col(c) + WEIGHT * F.col(f"w_{c}")) / (F.col("docs") + WEIGHT)).alias(c) for c in ("low", "mid", "high")]
+    few = wider if groups else F.broadcast(wider)  # without groups: a row for each ratio
+    return own.join(few, same).select(*[c for c in own.columns if c not in ("low", "mid", "high")], *drawn)
+
+
+def fences(sketch: DataFrame) -> DataFrame:
+    """(q_lang, q_source, ratio, docs, floor, ceiling) from the sketches of languages and sources."""
+    every, lang, own = (quantiles(sketch, g) for g in ([], ["q_lang"], ["q_lang", "q_source"]))
+    drawn = shrunk(own, shrunk(lang, every, []), ["q_lang"])
+    times = reduce(lambda c, k: c.when(F.col("ratio") == k, float(RATIOS[k][3])), RATIOS, F)
+    sided = F.col("ratio").isin([k for k, v in RATIOS.items() if v[4]])
+    floor, ceiling = (F.col("mid") + times * (F.col(c) - F.col("mid")) for c in ("low", "high"))
+    return drawn.select("q_lang", "q_source", "ratio", "docs", F.when(sided, floor).alias("floor"), ceiling.alias("ceiling"))
 
 
 def thresholds(stats: DataFrame, written: Written) -> DataFrame:
-    """One row for each (q_lang, q_source) of stats, with low_ and high_ of each ratio."""
+    """One row for each (q_lang, q_source) of stats, with floor_ and ceiling_ of each ratio."""
     sketch = written.save(sketches(stats, ["q_lang", "q_source"]), "quality-sketch")
-    own, lang, every = (fences(sketch, g) for g in (["q_lang", "q_source"], ["q_lang"], []))
-    lang = lang.select(F.col("q_lang").alias("l"), F.col("ratio").alias("lr"), *[F.col(c).alias(f"l_{c}") for c in ("low", "high", "docs")])
-    every = every.select(F.col("ratio").alias("er"), *[F.col(c).alias(f"e_{c}") for c in ("low", "high", "docs")])
-    picked = own.join(lang, F.col("q_lang").eqNullSafe(F.col("l")) & (F.col("ratio") == F.col("lr"))).join(F.broadcast(every), F.col("ratio") == F.col("er"))
-    choose = lambda c: F.when(F.col("docs") >= ENOUGH, F.col(c)).when(F.col("l_docs") >= ENOUGH, F.col(f"l_{c}")).otherwise(F.col(f"e_{c}"))
-    one = [F.max(F.when(F.col("ratio") == k, choose(c))).alias(f"{c}_{k}") for k in RATIOS for c in ("low", "high")]
-    return written.save(picked.groupBy("q_lang", "q_source").agg(*one), "quality-fences")
+    one = [F.max(F.when(F.col("ratio") == k, F.col(c))).alias(f"{c}_{k}") for k in RATIOS for c in ("floor", "ceiling")]
+    out = written.save(fences(sketch).groupBy("q_lang", "q_source").agg(*one), "quality-fences")
+    written.drop(sketch)
+    return out
 
 
 def judged(stats: DataFrame, fence: DataFrame) -> DataFrame:
@@ -172,11 +188,10 @@ def judged(stats: DataFrame, fence: DataFrame) -> DataFrame:
         fence = F.broadcast(fence)
     same = F.col("q_lang").eqNullSafe(F.col("f_lang")) & F.col("q_source").eqNullSafe(F.col("f_source"))
     fine = F.lit(True)
-    for k, (a, b, _, low) in RATIOS.items():
-        value = F.try_divide(F.col(a), F.col(b))
-        fine &= F.coalesce(value <= F.col(f"high_{k}"), F.lit(True))
+    for k, (a, b, _, _, low) in RATIOS.items():
+        fine &= F.coalesce(F.col(a) <= F.col(f"ceiling_{k}") * F.col(b) + 1, F.lit(True))
         if low:
-            fine &= F.coalesce(value >= F.col(f"low_{k}"), F.lit(True))
+            fine &= F.coalesce(F.col(a) >= F.col(f"floor_{k}") * F.col(b) - 1, F.lit(True))
     return stats.join(fence, same, "left").withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & fine)
 
 
@@ -195,10 +210,9 @@ def assess(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", s
 def keep_good(docs: DataFrame, text_col="text", lang_col="lang", source_col="source", written: Written | None = None) -> DataFrame:
     """The rows of docs, as they are, that the rules keep."""
     written = written or Written(docs.sparkSession)
-    groups = _grouped(lang_col, source_col)
-    stats = written.save(measured(docs, groups, text_col), "quality-stats")
-    whole = measured(docs, [F.struct("*").alias("q_row"), *groups], text_col)
-    return judged(whole, thresholds(stats, written)).filter("kept").select("q_row.*")
+    # the rows are written beside their measures, so that texts are measured once
+    stats = written.save(measured(docs, [F.struct("*").alias("q_row"), *_grouped(lang_col, source_col)], text_col), "quality-rows")
+    return judged(stats, thresholds(stats, written)).filter("kept").select("q_row.*")
 
 
 def op2_quality(spark, sf_dir: str) -> DataFrame:

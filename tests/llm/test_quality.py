@@ -58,14 +58,38 @@ def test_quantiles_within_the_error(spark):
     rows, _ = made()
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     stats = quality.measured(df, [*quality._grouped("lang", "source")]).cache()
-    fence = {r.q_source: r for r in quality.fences(quality.sketches(stats, ["q_source"]), ["q_source"]).filter("ratio = 'word_length'").collect()}
-    for source, f in fence.items():
+    found = {r.q_source: r for r in quality.quantiles(quality.sketches(stats, ["q_source"]), ["q_source"]).filter("ratio = 'word_length'").collect()}
+    for source, f in found.items():
         values = sorted(r.word_chars / r.n_words for r in stats.filter(f"q_source = '{source}'").collect())
-        q = [values[max(0, -(-len(values) * k // 4) - 1)] for k in (1, 2, 3)]
-        assert abs((f.low + f.high) / 2 - q[1]) <= 0.0101 * q[1]
+        for level, got in ((0.25, f.low), (0.5, f.mid), (0.75, f.high)):
+            want = values[max(0, -(-round(len(values) * 1000 * level) // 1000) - 1)]
+            assert abs(got - want) <= 0.0101 * want
         assert f.docs == len(values)
 
 
+def test_places_and_widths_follow_the_sketches(spark):
+    """Two sources of one language with the same median: the wider one has the wider fence."""
+    r = random.Random(6)
+    rows = []
+    for i in range(2000):
+        spread = 0.2 if i % 2 else 2.0
+        size = max(1, round(r.gauss(6, spread)))
+        rows.append((i, " ".join(f"{k:0{size}d}" for k in range(40)), "en", f"s{i % 2}"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    stats = quality.measured(df, [*quality._grouped("lang", "source")]).cache()
+    f = {x.q_source: x for x in quality.fences(quality.sketches(stats, ["q_lang", "q_source"])).filter("ratio = 'word_length'").collect()}
+    assert f["s0"].ceiling - f["s0"].floor > 2 * (f["s1"].ceiling - f["s1"].floor)
+
+
+def test_a_groups_share_grows_without_a_step(spark):
+    own = spark.createDataFrame([("en", "word_length", n, 1.0, 2.0, 3.0) for n in (1, 50, 100, 10**6)], "q_lang string, ratio string, docs long, low double, mid double, high double")
+    wider = spark.createDataFrame([("en", "word_length", 10**7, 5.0, 6.0, 7.0)], own.schema)
+    got = {r.docs: (r.low, r.mid, r.high) for r in quality.shrunk(own, wider, ["q_lang"]).collect()}
+    for n, values in got.items():
+        w = quality.WEIGHT / (n + quality.WEIGHT)
+        assert all(abs(v - (x + 4 * w)) < 1e-9 for v, x in zip(values, (1.0, 2.0, 3.0), strict=True))
+
+
 def test_merging_order_changes_nothing(spark):
     rows, _ = made(200)
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
