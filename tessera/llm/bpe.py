@@ -30,7 +30,28 @@ from tessera.llm.shared import bounded
 
 #: White space and word pattern of the vocabulary's normaliser and splitter.
 SPACE = r"\x09-\x0D\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
-PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+"
+#: Code points that newer Unicode tables call letters or numbers and the tokenizers library does not.
+NO_LETTERS = (
+    r"\u0558\u058B\u058C\u088F\u0C5C\u0CDC\u208F\u209D-\u209F\uA7CE\uA7CF\uA7D2\uA7D4\uA7DD\uA7E2\uA7F1\uAB6C\uAB6D"
+    r"\U000107BB-\U000107BF\U00010940-\U00010959\U00010EC5-\U00010EC7\U00010ED9-\U00010EEE\U00011B0A\U00011DB0-\U00011DDB\U00011DF1"
+    r"\U00016EA0-\U00016EB8\U00016EBB-\U00016ED3\U00016FF2\U00016FF3\U000187F8-\U000187FF\U00018CD6-\U00018CDA\U00018D09-\U00018D20"
+    r"\U00018D80-\U00018DF2\U00018E00-\U00019191\U000191A0-\U000191D2\U0001B123-\U0001B128\U0001B168\U0001D6A6\U0001DF1F-\U0001DF24"
+    r"\U0001DF2B-\U0001DF81\U0001DF90-\U0001DF96\U0001DFCD-\U0001DFFF\U0001E6C0-\U0001E6DE\U0001E6E0-\U0001E6E2\U0001E6E4\U0001E6E5"
+    r"\U0001E6E7-\U0001E6ED\U0001E6F0-\U0001E6F4\U0001E6FE\U0001E6FF\U0002B73A-\U0002B73F\U0002B81E\U0002CEA2-\U0002CEAD"
+    r"\U000323B0-\U00033479\U0003D000-\U0003FC3F"
+)
+NO_NUMBERS = r"\U00011DE0-\U00011DE9\U0001246F\U00012475-\U0001247F\U00012550-\U00012686\U00016FF4-\U00016FF6"
+LETTER, NUMBER = rf"(?:(?![{NO_LETTERS}])\p{{L}})", rf"(?:(?![{NO_NUMBERS}])\p{{N}})"
+OTHER = rf"(?:[{NO_LETTERS}{NO_NUMBERS}]|[^{SPACE}\p{{L}}\p{{N}}])"
+PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d|{LETTER}+|{NUMBER}|{OTHER}+"
+#: The same for texts without the code points that the tables disagree on.
+QUICK = rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+"
+#: Fixed values: (first, last, distance) of code points that the library lower-cases beyond Python's tables; 0x3C3 for sigma in any place.
+LOWER = [
+    (0x3A3, 0x3A3, 32), (0x1C89, 0x1C89, 1), (0xA7CB, 0xA7CB, 0x264 - 0xA7CB), (0xA7CC, 0xA7CC, 1), (0xA7CE, 0xA7CE, 1), (0xA7D2, 0xA7D2, 1),
+    (0xA7D4, 0xA7D4, 1), (0xA7DA, 0xA7DA, 1), (0xA7DC, 0xA7DC, 0x19B - 0xA7DC), (0x10D50, 0x10D65, 32), (0x16EA0, 0x16EB8, 27),
+]
+LOWERED = {c: c + by for a, b, by in LOWER for c in range(a, b + 1)}
 
 #: Words a worker remembers; beyond it the memory starts anew, which changes no result.
 MEMORY = 400_000
@@ -63,15 +84,22 @@ class PairIndexBPE:
         self.first = [self.vocab.get(c) for c in alphabet]
         self.last = [self.vocab.get(c + self.suffix) for c in alphabet]
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.pattern = regex.compile(PATTERN)
+        self.pattern, self.quick = regex.compile(PATTERN), regex.compile(QUICK)
+        self.odd = regex.compile(f"[{NO_LETTERS}{NO_NUMBERS}]")
         self.memory: dict[str, tuple[bytes, str]] = {}
 
     def words(self, text: str) -> list[str]:
         """Normalise and split one text without special tokens."""
-        if not text.isascii():
-            # one character at a time, so that a final sigma is no special case
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        return self.pattern.findall(text.lower())
+        if text.isascii():
+            return self.quick.findall(text.lower())
+        text = unicodedata.normalize("NFC", text)
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            # capital sigma goes first, so that a final one is no special case
+            text = text.translate(LOWERED)
+            return (self.pattern if self.odd.search(text) else self.quick).findall(text.lower())
+        return self.quick.findall(text.lower())
 
     def merge_words(self, words: list[str]) -> list[list[int]]:
         """Ids of each word, by the pair occurrence index over all of them."""
@@ -153,7 +181,7 @@ class PairIndexBPE:
         for t in texts:
             if not t:
                 split.append([])
-            elif self.split_special is not None and "<|" in t:
+            elif any(x in t for x in self.special):
                 found: list = []
                 for k, part in enumerate(self.split_special.split(t)):
                     found += [self.special[part]] if k % 2 else self.words(part)

@@ -37,6 +37,35 @@ def test_random_texts(text):
     check(text)
 
 
+def test_every_code_point_is_split_and_lowered_as_by_the_library():
+    own, stands = bpe.loaded(PATH), bpe.byte_alphabet()
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for lo in range(0, len(points), 10_000):
+        text = " ".join(f"a{c}b {c}1 {c}{c}" for c in points[lo : lo + 10_000])
+        want = [p for p, _ in LIB.pre_tokenizer.pre_tokenize_str(LIB.normalizer.normalize_str(text))]
+        assert ["".join(stands[b] for b in w.encode()) for w in own.words(text)] == want
+
+
+@pytest.mark.parametrize("c", ["\u0558", "\U00010940", "\u1c89", "\ua7cb", "\U00016ea0", "\U00011de0", "\U00012550"])
+def test_code_points_of_newer_tables(c):
+    check(f"a{c}b {c}1 {c}{c}")
+
+
+def test_special_tokens_of_any_spelling(tmp_path):
+    import json
+
+    spec = json.load(open(PATH, encoding="utf-8"))
+    for t in spec["added_tokens"]:
+        if t["id"] == 49407:
+            t["content"] = "[end]"
+    for old in [t for t, i in spec["model"]["vocab"].items() if i == 49407]:
+        spec["model"]["vocab"]["[end]"] = spec["model"]["vocab"].pop(old)
+    (tmp_path / "v.json").write_text(json.dumps(spec))
+    own, lib = bpe.PairIndexBPE(str(tmp_path / "v.json")), Tokenizer.from_file(str(tmp_path / "v.json"))
+    for text in ("a[end]b <|endoftext|> [END]", "[end]", "<|startoftext|>x"):
+        assert own.encode(text) == lib.encode(text, add_special_tokens=False).ids
+
+
 def test_many_words_at_once_and_forgetting(monkeypatch):
     monkeypatch.setattr(bpe, "MEMORY", 50)
     own, r = bpe.PairIndexBPE(PATH), random.Random(3)
