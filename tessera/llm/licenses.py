@@ -1,16 +1,21 @@
-"""License scans: MinHash bands over overlapping windows find templates, shingles verify them.
+"""License scans: MinHash bands over overlapping windows retrieve templates, shingles verify them.
 
 Words are runs of ASCII letters and digits or of other non-ASCII characters, in lower case. A
-template of L words is looked for in windows of 2L words that begin every L words, so each place
-where it may stand lies wholly in one window. A window and a template are brought together by
-MinHash: ``BANDS`` bands of one hash each. A window that holds ``CONTAINED`` of a template's
-shingles has a Jaccard similarity of at least j = 0.8 * S / (W + 0.2 * S) with it (S shingles of
-the template, W of the window), so at least one band agrees with a probability of
-1 - (1 - j) ** BANDS; guaranteed() gives it for each template, and it is above 0.999999 for all.
-A window can only agree with a template in a band if it holds one of its shingles, so the other
-windows are not hashed; that changes no result. Candidates are then verified exactly: the share
-of the template's distinct shingles in the window must be ``CONTAINED`` or more. The hits of such
-windows are split into places: runs in the template's order first, then what is left in any order.
+place of a template of L words has at most 2L words (a notice with words put in), and holds
+``CONTAINED`` of its shingles. Windows begin every `step` words (a power of two, L / 4 at
+most) and are so long that each such place lies wholly in one.
+
+Every template is filed under the values of its bands; a band is the least hashes of the template's
+shingles by ROWS functions. The bands of each window are looked up there, and a template with a
+common band is a candidate. A window of W shingles that holds ``CONTAINED`` of a template's S
+has a Jaccard similarity of at least j = need / (W + S - need) with it, so some band agrees with a
+probability of 1 - (1 - j ** rows) ** bands; each group of templates has as many bands as bring
+that to ``GUARANTEE``, of one row for short templates and of two rows for long ones. A
+template that is one shingle has windows of that length, and one band.
+
+Candidates are then verified exactly: the share of the template's distinct shingles in the window
+must be ``CONTAINED`` or more. The hits of such windows are split into places: runs in the
+template's order first, then what is left in any order.
 
 Shingles have five words; a template with fewer words is one shingle of all its words.
 
@@ -22,6 +27,9 @@ gives no rows. Other columns of the input are not looked at.
 from __future__ import annotations
 
 import bisect
+import math
+from collections import defaultdict
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,31 +37,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import scan
+from tessera.llm.license_texts import TEMPLATES
 from tessera.llm.shared import bounded
 
 SHINGLE = 5
-BANDS = 128
 CONTAINED = (4, 5)
-
-#: Notices as licenses word them.
-TEMPLATES = {
-    "mit": "Released under the MIT License.",
-    "mit-licensed": "Licensed under the MIT License.",
-    "apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "apache-2.0-header": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0',
-    "gpl-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "gpl-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
-    "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0.",
-    "cc-by-4.0": "Licensed under CC BY 4.0.",
-    "cc-by-sa-4.0": "Licensed under CC BY-SA 4.0.",
-    "cc-work": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    "all-rights-reserved": "All rights reserved.",
-    "mit-permission": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software',
-    "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
-    "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-}
+GUARANTEE = 1 - 5e-7
+#: Words of a template from which its bands have two rows.
+LONG = 32
 
 SEPARATORS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+NOTHING = np.uint32(0xFFFFFFFF)
 
 
 def _hashes(texts: list[str]) -> list[np.ndarray]:
@@ -63,42 +57,138 @@ def _hashes(texts: list[str]) -> list[np.ndarray]:
     return out
 
 
-def _runs(h: np.ndarray, size: int) -> np.ndarray:
-    n = max(0, len(h) - size + 1)
-    out = np.zeros(n, np.uint64)
-    for k in range(size):
-        out = out * np.uint64(scan.BASE) + h[k : k + n]
-    return scan.mix(out, size)
-
+@lru_cache(maxsize=4096)
+def seeds(k: int) -> tuple[np.uint32, np.uint32]:
+    a, b = scan.mix(np.arange(2, dtype=np.uint64), 1000 + k) >> np.uint64(32)
+    return np.uint32(a), np.uint32(b | np.uint64(1))
+
+
+def function(k: int, short: np.ndarray) -> np.ndarray:
+    """Values of hash function k on 32-bit shingles."""
+    a, b = seeds(k)
+    return (short ^ a) * b
+
+
+def least(blocks: np.ndarray, n: int) -> np.ndarray:
+    """Least value of each n blocks in a row."""
+    m, p = blocks, 1
+    while 2 * p <= n:
+        m, p = np.minimum(m[:-p], m[p:]), 2 * p
+    return np.minimum(m[: len(blocks) - n + 1], m[n - p :]) if n > p else m
+
+
+def shorten(h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(32)).astype(np.uint32)
+
+
+class Group:
+    """Templates whose windows have the same shingle size, step and number of steps."""
+
+    def __init__(self, size: int, step: int, steps: int, rows: int):
+        self.size, self.step, self.steps, self.rows, self.bands = size, step, steps, rows, 1
+        self.names: list[str] = []
+        self.shingles: list[np.ndarray] = []
+        self.needs: list[int] = []
+
+    def add(self, name: str, shingles: np.ndarray, need: int) -> None:
+        self.names.append(name)
+        self.shingles.append(shingles)
+        self.needs.append(need)
+        j = self.similarity(-1)
+        self.bands = max(self.bands, 1 if j == 1 else math.ceil(math.log(1 - GUARANTEE) / math.log(1 - j**self.rows)))
+
+    def similarity(self, k: int) -> float:
+        """Least Jaccard similarity of template k and a window that holds enough of it."""
+        return self.needs[k] / (self.step * self.steps + len(self.shingles[k]) - self.needs[k])
+
+    def file(self) -> None:
+        """The index: for each band its values in order, the templates that have them, and a quick first test."""
+        self.index, self.heads = [], []
+        short = [shorten(s) for s in self.shingles]
+        for b in range(self.bands):
+            mins = [[function(b * self.rows + r, s).min(keepdims=True) for r in range(self.rows)] for s in short]
+            keys, heads = np.array([self.key(m)[0] for m in mins], np.uint64), np.array([m[0][0] for m in mins], np.uint32)
+            order = np.argsort(keys, kind="stable")
+            low = np.zeros(1 << 16, bool)
+            low[(heads & np.uint32(0xFFFF)).astype(np.intp)] = True
+            self.index.append((keys[order], order, low))
+            self.heads.append(np.unique(heads))
+
+    def lookup(self, band: int, values: list[np.ndarray]):
+        """(windows, templates) that have the same value of a band."""
+        keys, templates, low = self.index[band]
+        if len(keys) <= 4:  # a first test by the first row
+            at = np.flatnonzero(np.logical_or.reduce([values[0] == x for x in self.heads[band]]))
+        else:
+            at = np.flatnonzero(low[(values[0] & np.uint32(0xFFFF)).astype(np.intp)])
+        if not len(at):
+            return
+        found = self.key([v[at] for v in values])
+        for x in np.intersect1d(found, keys).tolist():
+            yield at[found == np.uint64(x)].tolist(), templates[keys == np.uint64(x)].tolist()
 
-def minhash(shingles: np.ndarray) -> np.ndarray:
-    """The least of each band's hashes of a set."""
-    return np.array([scan.mix(shingles, 100 + b).min() for b in range(BANDS)], np.uint64)
+    def key(self, values: list[np.ndarray]) -> np.ndarray:
+        out = values[0].astype(np.uint64)
+        for v in values[1:]:
+            out = out * scan.ODD + v
+        return out ^ out >> np.uint64(29)
 
 
 class Index:
-    """Templates by the values of their bands, in groups of equal length and shingle size."""
+    """Templates by the values of their bands."""
 
     def __init__(self, templates: dict[str, str]):
-        self.groups: dict[tuple[int, int], list] = {}
         self.orders: dict[str, dict[int, list[int]]] = {}  # where each shingle stands in its template
+        self.lengths: dict[str, int] = {}
+        groups: dict[tuple, Group] = {}
         for (name, _), h in zip(templates.items(), _hashes(list(templates.values())), strict=True):
-            if len(h):
-                size = min(SHINGLE, len(h))
-                runs = _runs(h, size)
-                s = np.unique(runs)
-                for i, x in enumerate(runs.tolist()):
-                    self.orders.setdefault(name, {}).setdefault(x, []).append(i)
-                self.groups.setdefault((len(h), size), []).append((name, s, minhash(s)))
+            if not len(h):
+                continue
+            size, length = min(SHINGLE, len(h)), len(h)
+            runs = scan.runs(h, size)
+            shingles = np.unique(runs)
+            self.lengths[name] = length
+            order = self.orders.setdefault(name, {})
+            for i, x in enumerate(runs.tolist()):
+                order.setdefault(x, []).append(i)
+            need = -(-len(shingles) * CONTAINED[0] // CONTAINED[1])
+            step = 1 << max(0, (length // 4).bit_length() - 1)
+            steps = -(-(2 * length - size + step) // step)
+            if need == 1:  # a place is the shingle itself
+                step = steps = 1
+            key = (size, step, steps, 2 if length >= LONG else 1)
+            groups.setdefault(key, Group(*key)).add(name, shingles, need)
+        self.groups = list(groups.values())
+        for g in self.groups:
+            g.file()
 
     def guaranteed(self) -> dict[str, float]:
         """Probability that some band brings a window with enough of a template to it."""
-        out = {}
-        for (length, size), found in self.groups.items():
-            for name, s, _ in found:
-                share = CONTAINED[0] / CONTAINED[1]
-                j = share * len(s) / (2 * length - size + 1 + (1 - share) * len(s))
-                out[name] = 1 - (1 - j) ** BANDS
+        return {name: 1 - (1 - g.similarity(k) ** g.rows) ** g.bands for g in self.groups for k, name in enumerate(g.names)}
+
+    def candidates(self, size: int, h: np.ndarray) -> dict[Group, set[tuple[int, int]]]:
+        """(window, template) pairs with a common band, for the groups of a shingle size; h: shingles, 0 for none."""
+        groups = [g for g in self.groups if g.size == size]
+        # beyond the end stands nothing, so that windows there are whole
+        tail = np.full(max((g.step * g.steps for g in groups), default=0), NOTHING)
+        short, none = shorten(h), np.flatnonzero(h == 0)
+        out: dict[Group, set[tuple[int, int]]] = {g: set() for g in groups}
+        values: dict[Group, list[np.ndarray]] = {g: [] for g in groups}
+        for k in range(max((g.rows * g.bands for g in groups), default=0)):
+            own = np.append(function(k, short), tail)
+            own[none] = NOTHING
+            wanted = sorted((g for g in groups if k < g.rows * g.bands), key=lambda g: g.step)
+            step = 1
+            for g in wanted:
+                while step < g.step:
+                    own = np.append(own, NOTHING) if len(own) % 2 else own
+                    own, step = np.minimum(own[::2], own[1::2]), 2 * step
+                values[g].append(least(own, g.steps))
+                if len(values[g]) < g.rows:
+                    continue
+                found, values[g] = values[g], []
+                for at, templates in g.lookup(k // g.rows, found):
+                    out[g].update((i, t) for i in at for t in templates)
         return out
 
 
@@ -155,40 +245,28 @@ def places(at: list[int], shingles: list[int], order: dict[int, list[int]], leng
 
 def matches(w: scan.Words, index: Index):
     """(row, template, contained, start word, end word) in a slice."""
-    runs = {size: _runs(w.hash, size) for size in {s for _, s in index.groups}}
     rows = w.row_of
-    for (length, size), templates in index.groups.items():
-        h = runs[size]
-        known = np.unique(np.concatenate([s for _, s, _ in templates]))
-        low = np.zeros(1 << 16, bool)  # a quick first test
-        low[(known & np.uint64(0xFFFF)).astype(np.int64)] = True
-        hits = np.flatnonzero(low[(h & np.uint64(0xFFFF)).astype(np.int64)])
-        hits = hits[np.isin(h[hits], known)]
-        hits = hits[rows[hits] == rows[hits + size - 1]]
-        windows = set()
-        for p, r in zip(hits.tolist(), rows[hits].tolist(), strict=True):
-            at = (p - int(w.first[r])) // length
-            windows.update((r, k) for k in (at - 1, at) if k >= 0)
-        found: dict = {}
-        for r, k in sorted(windows):
-            begin = int(w.first[r]) + k * length
-            end = min(begin + 2 * length, int(w.first[r + 1]))
-            inside = h[begin : max(begin, end - size + 1)]
-            if not len(inside):
-                continue
-            own = np.unique(inside)
-            bands = minhash(own)
-            for name, s, template in templates:
-                if not (bands == template).any():
-                    continue
-                common = len(np.intersect1d(own, s, assume_unique=True))
-                if common * CONTAINED[1] >= len(s) * CONTAINED[0]:
-                    found.setdefault((r, name), set()).update((begin + np.flatnonzero(np.isin(inside, s))).tolist())
-        orders = {name: index.orders[name] for name, _, _ in templates}
-        for (r, name), at in found.items():
-            at = sorted(at)
-            for c, a, b in places(at, h[at].tolist(), orders[name], length, size):
-                yield r, name, c, a, b
+    for size in sorted({g.size for g in index.groups}):
+        h = np.maximum(scan.runs(w.hash, size), np.uint64(1))
+        h[rows[: len(h)] != rows[size - 1 :][: len(h)]] = 0  # a run over two texts is none
+        for g, found in index.candidates(size, h).items():
+            hits: dict = defaultdict(set)
+            for window, t in sorted(found):
+                name, begin = g.names[t], window * g.step
+                order = index.orders[name]
+                own = [(begin + i, x) for i, x in enumerate(h[begin : begin + g.step * g.steps].tolist()) if x in order]
+                for r in {int(rows[p]) for p, _ in own}:
+                    if len({x for p, x in own if rows[p] == r}) >= g.needs[t]:
+                        hits[r, name].update(p for p, _ in own if rows[p] == r)
+            for (r, name), at in hits.items():
+                places_ = sorted(at)
+                for c, a, b in places(places_, h[places_].tolist(), index.orders[name], index.lengths[name], size):
+                    yield r, name, c, a, b
+
+
+@lru_cache(maxsize=2)
+def loaded(templates: tuple[tuple[str, str], ...]) -> Index:
+    return Index(dict(templates))
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -197,7 +275,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, id_c
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        index = Index(templates)
+        index = loaded(tuple(templates.items()))
         for batch in batches:
             for w in scan.words(batch.column(1), lower=True, white=SEPARATORS):
                 found = list(matches(w, index))
