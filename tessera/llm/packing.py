@@ -13,8 +13,9 @@ then scaled anew over the rest, as a round-robin over the remaining queues does.
 The windows follow each other in one gapless stream that is cut every ``sequence`` tokens,
 so that only the very last sequence is padded.
 
-Sources that earn less than one token a window cannot hold a share of any window; they
-queue behind the largest source, so at most ``window`` queues reach the driver.
+A source with a target has a queue of its own, however small it is, and so has every source that
+earns a token a window. The others cannot each be in every window; they share one queue, which earns
+what they earn together. So at most ``window`` queues and those of the targets reach the driver.
 
 Results for special inputs: a null or empty text is a document of its end id alone; a
 null source is a source of its own; repeated rows are packed each; an empty table gives
@@ -41,6 +42,8 @@ from tessera.llm.shared import Written, bounded
 SEQUENCE = 2048
 #: Tokens of a mixture window: sixteen sequences.
 WINDOW = 16 * SEQUENCE
+#: Shares of the query's sequences; sources that are not named keep their share of the corpus.
+TARGETS = {"src0": 0.2, "src1": 0.1, "src2": 0.05}
 #: Id after each document.
 END = 1
 #: Rows of (source, partition) offsets up to which they are broadcast; beyond, they are joined.
@@ -187,7 +190,7 @@ def pack(
 ) -> DataFrame:
     """Pack all documents; one row for each piece of a document that lies in one sequence.
 
-    targets: weights by source (sources without one keep their share of the corpus).
+    targets: shares by source (sources without one keep their share of the corpus; all are scaled to one).
     keep_ids: also return each piece's ids (binary, little-endian unsigned 32-bit).
     """
     written = written or Written(docs.sparkSession)
@@ -195,23 +198,28 @@ def pack(
     parts = written.save(held.groupBy("source", "part").agg(F.sum("n").alias("n")), "packing-parts")
     of_source = parts.groupBy("source").agg(F.sum("n").alias("n"))
     whole = of_source.agg(F.sum("n")).first()[0] or 0
-    # at most `window` sources earn a token a window: a bounded list
-    rows = of_source.filter(F.col("n") * window >= F.lit(whole)).collect()
+    # at most `window` sources earn a token a window, so this is a bounded list
+    own = F.col("n") * window >= F.lit(whole)
+    for name in targets or {}:
+        own |= F.col("source").eqNullSafe(F.lit(name))
+    rows = of_source.filter(own).collect()
     queues = sorted(((r.source, r.n) for r in rows), key=lambda r: (-r[1], r[0] is not None, r[0] or ""))
     names, totals = [q[0] for q in queues], [q[1] for q in queues]
-    if totals:
-        totals[0] += whole - sum(totals)
+    shares = [(targets or {}).get(s, n / whole) for s, n in zip(names, totals, strict=True)]
+    if whole > sum(totals):  # the queue of all others
+        totals.append(whole - sum(totals))
+        shares.append(totals[-1] / whole)
     weights = None
     if targets is not None and totals:
-        weights = [float(targets.get(s, n / whole)) for s, n in zip(names, totals, strict=True)]
+        weights = [float(x) for x in shares]
         if min(weights) <= 0:
             raise ValueError("targets must be above 0")
     schedule = Schedule(totals, window, weights)
     number = docs.sparkSession.createDataFrame([(s, i) for i, s in enumerate(names)], "name string, queue int")
-    order = Window.partitionBy("queue").orderBy("small", "source", "part")
+    order = Window.partitionBy("queue").orderBy("source", "part")
     bases = (
         parts.join(F.broadcast(number), F.col("source").eqNullSafe(F.col("name")), "left")
-        .select("source", "part", "n", F.col("queue").isNull().alias("small"), F.coalesce("queue", F.lit(0)).alias("queue"))
+        .select("source", "part", "n", F.coalesce("queue", F.lit(len(names))).alias("queue"))
         .withColumn("base", F.sum("n").over(order) - F.col("n"))
         .select(F.col("source").alias("b_source"), F.col("part").alias("b_part"), "queue", "base")
     )
@@ -243,8 +251,8 @@ def pack(
 
 
 def op7_packing(spark, sf_dir: str) -> DataFrame:
-    """All documents packed at the corpus' own mixture of sources."""
+    """All documents packed with the shares of TARGETS in every window."""
     import public_tokenizers
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), targets=TARGETS)

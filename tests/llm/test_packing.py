@@ -93,6 +93,53 @@ def test_targets_hold_until_a_queue_is_dry(spark):
     assert all(abs(by[w] - 32) <= 2 for w in range(ends - 1))
 
 
+def test_a_rare_source_has_its_target_from_the_first_window(spark):
+    docs = [(i, "word and more " * 400, "big") for i in range(20)] + [(20, "tiny text", "rare")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    rows = packing.pack(df, PATH, sequence=4, window=8, targets={"rare": 0.5, "big": 0.5}).collect()
+    whole(rows, docs, 4)
+    tokens = len(want_ids("tiny text"))
+    assert tokens * 8 < sum(len(want_ids(t)) for _, t, _ in docs)  # less than a token a window by its share
+    by = defaultdict(int)
+    for r in rows:
+        by[r.sequence_id // 2] += r.length * (r.doc_id == 20)
+    assert [by[w] for w in range(-(-tokens // 4))] == [min(4, tokens - 4 * w) for w in range(-(-tokens // 4))]
+
+
+def test_small_sources_share_a_queue(spark):
+    docs = [(i, "word and more " * 100, "big") for i in range(60)] + [(100 + i, "few", f"s{i:02d}") for i in range(40)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    rows = packing.pack(df, PATH, sequence=64, window=256).collect()
+    whole(rows, docs, 64)
+    total, small = sum(r.length for r in rows), sum(r.length for r in rows if r.doc_id >= 100)
+    assert small // 40 * 256 < total < small * 256
+    by = defaultdict(int)
+    for r in rows:
+        by[r.sequence_id // 4] += r.length * (r.doc_id >= 100)
+    assert all(abs(by[w] - 256 * small / total) <= 2 for w in range(max(by)))
+
+
+def test_targets_of_the_query_hold_while_all_sources_last(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "source").collect()}
+    rows = packing.op7_packing(spark, sf).collect()
+    n = defaultdict(int)
+    for r in docs.values():
+        n[r.source] += len(want_ids(r.text))
+    total = sum(n.values())
+    share = {s: packing.TARGETS.get(s, n[s] / total) for s in n}
+    scale = sum(share.values())
+    lasts = int(min(n[s] / share[s] * scale for s in n)) // packing.WINDOW
+    by = defaultdict(lambda: defaultdict(int))
+    for r in rows:
+        by[r.sequence_id // 16][docs[r.doc_id].source] += r.length
+    assert lasts > 1
+    for w in range(lasts):
+        for s in n:
+            # each queue may be a token behind, so a window begins up to as many tokens early
+            assert abs(by[w][s] - packing.WINDOW * share[s] / scale) <= len(n) + 1
+
+
 def test_special_inputs(spark, monkeypatch):
     monkeypatch.setattr(packing, "BROADCAST_ROWS", 0)
     docs = [(1, None, None, "x"), (2, "", "s", "x"), (3, "long text " * 30000, "s", "x"), (4, "tie", "t", "x"), (4, "tie", "t", "x"), (5, "tie", "t", None)]
