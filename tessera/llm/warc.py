@@ -1,11 +1,16 @@
 """Merkle fixity audit of WARC archives.
 
-Every record of an archive is hashed over its bytes. Records lie in files in the order of their
-keys, so each has an offset range; nodes over ``FANOUT`` consecutive keys hash their children
-and the offset range that these fill, level by level up to one root. To compare two replicas
-their roots are compared, and only the children of nodes that differ are compared further, down
-to the records. A key's place in the tree does not depend on other records, so a lost or an
-added record changes its own branch alone.
+Every record of an archive is hashed over its bytes. A leaf tells a key's file, its offset range
+[start, end) there, and hashes the records' hash, the range's length and the gap between it and the
+range before; so a record that lies elsewhere is told from one that only follows a lost one.
+Nodes over ``FANOUT`` consecutive keys hash their children, each with its offset range counted
+from the node's own start, level by level up to one root. To compare two replicas their roots are
+compared, and only the children of nodes that differ are compared further, down to the
+records. A key's place in the tree does not depend on other records, so a lost or an added
+record changes its own branch alone.
+
+Records of archives that were read (read_archive) have the file and offset they were read from;
+others are laid out in the order of their keys, ``FILE`` keys to a file, without gaps.
 
 Results for special inputs: a null URL or body counts as empty; records with a null key get a key
 of their content below 0; records that repeat a key form one leaf, in the order of their hashes;
@@ -67,76 +72,85 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
 
 def leaves(rows: DataFrame) -> DataFrame:
-    """(key, file, offset, length, hash) of (key, record): one leaf for each key."""
-    one = rows.select("key", F.octet_length("record").cast("long").alias("length"), F.sha2("record", 256).alias("hash"))
+    """(key, file, start, end, gap, records, hash) of (key, record), or (key, record, file, offset): one leaf for each key."""
+    laid = "offset" in rows.columns
+    file = F.col("file").cast("string") if laid else F.floor(F.col("key") / FILE).cast("string")
+    offset = F.col("offset").cast("long") if laid else F.lit(None).cast("long")
+    one = rows.select("key", file.alias("file"), offset.alias("offset"), F.octet_length("record").cast("long").alias("length"), F.sha2("record", 256).alias("hash"))
     # keys repeat rarely; a leaf of repeats hashes their count and the sums of their hashes' parts
     parts = [F.sum(F.conv(F.substring("hash", 1 + 8 * k, 8), 16, 10).cast("decimal(20,0)")).cast("string").alias(f"h{k}") for k in range(8)]
-    grouped = one.groupBy("key").agg(F.sum("length").alias("length"), F.count("*").alias("n"), F.min("hash").alias("hash"), *parts)
+    grouped = one.groupBy("key").agg(F.min(F.struct("file", "offset")).alias("at"), F.sum("length").alias("length"), F.count("*").alias("n"), F.min("hash").alias("hash"), *parts)
     many = F.sha2(F.concat_ws(" ", F.col("n").cast("string"), *[f"h{k}" for k in range(8)]), 256)
-    grouped = grouped.select("key", F.floor(F.col("key") / FILE).alias("file"), "length", F.when(F.col("n") == 1, F.col("hash")).otherwise(many).alias("hash"))
-    order = Window.partitionBy("file").orderBy("key")  # a file has FILE keys at most
-    return grouped.withColumn("offset", F.sum("length").over(order) - F.col("length"))
+    grouped = grouped.select("key", F.col("at.file").alias("file"), F.col("at.offset").alias("offset"), "length", F.when(F.col("n") == 1, F.col("hash")).otherwise(many).alias("records"))
+    if laid:
+        order = Window.partitionBy("file").orderBy("start", "key")  # the records of a file
+        grouped = grouped.withColumnRenamed("offset", "start")
+    else:
+        order = Window.partitionBy("file").orderBy("key")  # FILE keys at most
+        grouped = grouped.withColumn("start", F.sum("length").over(order) - F.col("length")).drop("offset")
+    grouped = grouped.withColumn("end", F.col("start") + F.col("length"))
+    grouped = grouped.withColumn("gap", F.col("start") - F.coalesce(F.lag("end").over(order), F.lit(0)))
+    text = F.concat_ws(":", "records", F.col("length").cast("string"), F.col("gap").cast("string"))
+    return grouped.select("key", "file", "start", "end", "gap", "records", F.sha2(text, 256).alias("hash"))
 
 
-def tree(rows: DataFrame, written: Written) -> list[DataFrame]:
-    """Levels of the tree from the leaves to the root: each (node, start, end, hash).
+def above(node, root: bool):
+    """The node over a node; the root is over all."""
+    return F.lit(0).cast("long") if root else F.floor(node / FANOUT)
 
-    start and end: the offset range of a node's records, over all files.
+
+def parents(level: DataFrame, root: bool) -> DataFrame:
+    """(node, size, hash) of the nodes over (node, size, hash): children are hashed with their ranges in the node."""
+    child = F.struct("node", "size", "hash")
+    kids = level.groupBy(above(F.col("node"), root).alias("node")).agg(F.array_sort(F.collect_list(child)).alias("kids"))  # FANOUT at most
+    start = lambda i: F.aggregate(F.slice("kids", 1, i), F.lit(0).cast("long"), lambda total, k: total + k["size"])
+    told = F.transform("kids", lambda k, i: F.concat_ws(":", k["node"].cast("string"), start(i).cast("string"), (start(i) + k["size"]).cast("string"), k["hash"]))
+    return kids.select("node", start(F.size("kids")).alias("size"), F.sha2(F.array_join(told, "|"), 256).alias("hash"))
+
+
+def tree(leaf: DataFrame, low: int, high: int, written: Written) -> list[DataFrame]:
+    """Levels of the tree from the leaves to the root, over keys from low to high: above the leaves (node, size, hash).
+
+    size: bytes that a node's records and the gaps before them take.
     """
-    leaf = written.save(leaves(rows), "warc-leaves")
-    files = leaf.groupBy("file").agg(F.sum("length").alias("size"))
-    level = leaf.select(F.col("key").alias("node"), "length", "hash")
-    low, high = files.agg(F.min("file"), F.max("file")).first()
+    level = leaf.select(F.col("key").alias("node"), (F.col("end") - F.col("start") + F.col("gap")).alias("size"), "hash")
     levels = [leaf]
-    width = FANOUT
-    while low is not None:
-        child = F.struct("node", "length", "hash")
-        parent = F.floor(F.col("node") / FANOUT)
-        kids = level.groupBy(parent.alias("node")).agg(F.array_sort(F.collect_list(child)).alias("kids"), F.sum("length").alias("length"))  # FANOUT at most
-        text = F.array_join(F.transform("kids", lambda k: F.concat_ws(":", k["node"].cast("string"), k["length"].cast("string"), k["hash"])), "|")
-        level = written.save(kids.select("node", "length", F.sha2(text, 256).alias("hash")), "warc-level")
+    while not levels[1:] or low != high:
+        root = high - low < FANOUT
+        level = written.save(parents(level, root), "warc-level")
         levels.append(level)
-        if low * FILE // width == ((high + 1) * FILE - 1) // width or width > 1 << 62:
-            break
-        width *= FANOUT
+        low, high = (0, 0) if root else (low // FANOUT, high // FANOUT)
     return levels
 
 
 def audit(primary: DataFrame, replica: DataFrame, written: Written | None = None) -> DataFrame:
-    """Records (key, record) that differ between two replicas.
+    """Records (key, record[, file, offset]) that differ between two replicas.
 
     Returns key, file, offset, length (in the replica that has it, the primary first), and fault:
-    changed, missing (in the replica) or added.
+    changed, missing (in the replica), added, or moved (the same record elsewhere in its file).
     """
     written = written or Written(primary.sparkSession)
-    one, two = tree(primary, written), tree(replica, written)
-    top = max(len(one), len(two))
-    for t, other in ((one, two), (two, one)):
-        while 1 < len(t) < top:  # the smaller tree grows to the height of the other
-            node = t[-1].select(F.floor(F.col("node") / FANOUT).alias("node"), F.array(F.struct("node", "length", "hash")).alias("kids"), "length")
-            text = F.array_join(F.transform("kids", lambda k: F.concat_ws(":", k["node"].cast("string"), k["length"].cast("string"), k["hash"])), "|")
-            t.append(node.groupBy("node").agg(F.first("length").alias("length"), F.first(F.sha2(text, 256)).alias("hash")))
+    told = [written.save(leaves(rows), "warc-leaves") for rows in (primary, replica)]
+    low, high = told[0].select("key").unionAll(told[1].select("key")).agg(F.min("key"), F.max("key")).first()
+    one, two = (tree(leaf, low or 0, high or 0, written) for leaf in told)
     wrong: DataFrame | None = None
-    for k in range(top - 1, 0, -1):
-        pair = [(t[k] if k < len(t) else _none(t[0])).select("node", F.col("hash").alias(f"h{i}")) for i, t in enumerate((one, two))]
+    for k in range(len(one) - 1, 0, -1):
+        pair = [t[k].select("node", F.col("hash").alias(f"h{i}")) for i, t in enumerate((one, two))]
         if wrong is not None:
-            parents = wrong.select(F.col("node").alias("parent"))
-            pair = [p.withColumn("parent", F.floor(F.col("node") / FANOUT)).join(parents, "parent", "left_semi").drop("parent") for p in pair]
+            over, root = wrong.select(F.col("node").alias("parent")), k == len(one) - 2
+            pair = [p.withColumn("parent", above(F.col("node"), root)).join(over, "parent", "left_semi").drop("parent") for p in pair]
         wrong = pair[0].join(pair[1], "node", "full_outer").filter(~F.col("h0").eqNullSafe(F.col("h1"))).select("node")
         wrong = written.save(wrong, "warc-wrong")
+    over = wrong.select(F.col("node").alias("parent"))
     sides = []
     for i, t in enumerate((one, two)):
-        leaf = t[0].select("key", *[F.col(c).alias(f"{c}{i}") for c in ("file", "offset", "length", "hash")])
-        if wrong is not None:
-            leaf = leaf.withColumn("parent", F.floor(F.col("key") / FANOUT)).join(wrong.select(F.col("node").alias("parent")), "parent", "left_semi").drop("parent")
+        leaf = t[0].select("key", *[F.col(c).alias(f"{c}{i}") for c in ("file", "start", "end", "records", "hash")])
+        leaf = leaf.withColumn("parent", above(F.col("key"), len(one) == 2)).join(over, "parent", "left_semi").drop("parent")
         sides.append(leaf)
     found = sides[0].join(sides[1], "key", "full_outer").filter(~F.col("hash0").eqNullSafe(F.col("hash1")))
-    fault = F.when(F.col("hash1").isNull(), "missing").when(F.col("hash0").isNull(), "added").otherwise("changed")
-    return found.select("key", *[F.coalesce(f"{c}0", f"{c}1").alias(c) for c in ("file", "offset", "length")], fault.alias("fault"))
-
-
-def _none(leaf: DataFrame) -> DataFrame:
-    return leaf.select(F.col("key").alias("node"), "length", "hash").limit(0)
+    fault = F.when(F.col("hash1").isNull(), "missing").when(F.col("hash0").isNull(), "added").when(F.col("records0") == F.col("records1"), "moved").otherwise("changed")
+    start, end = F.coalesce("start0", "start1"), F.coalesce("end0", "end1")
+    return found.select("key", F.coalesce("file0", "file1").alias("file"), start.alias("offset"), (end - start).alias("length"), fault.alias("fault"))
 
 
 def damaged(rows: DataFrame) -> DataFrame:
@@ -165,7 +179,7 @@ WITH r AS (
   FROM pages),
 o AS (
   SELECT *, sum(length) OVER (PARTITION BY file ORDER BY key) - length AS before FROM r)
-SELECT CAST(key AS BIGINT) AS key, CAST(file AS BIGINT) AS file, CAST(before AS BIGINT) AS "offset", CAST(length AS BIGINT) AS length,
+SELECT CAST(key AS BIGINT) AS key, CAST(file AS VARCHAR) AS file, CAST(before AS BIGINT) AS "offset", CAST(length AS BIGINT) AS length,
        CASE WHEN part = 0 THEN 'missing' ELSE 'changed' END AS fault
 FROM o WHERE part IN (0, 1, 2)
 """

@@ -47,6 +47,45 @@ def test_special_inputs(spark):
     assert warc.audit(rows, rows.limit(0)).count() == 3
 
 
+def test_layout_alone(spark):
+    """The same records; in the replica one lies three bytes later in its file, and another in another file."""
+    rows = [(k, bytes([k]) * (5 + k % 3), "f", 0) for k in range(40)]
+    laid, at = [], 0
+    for k, v, f, _ in rows:
+        laid.append((k, v, f, at))
+        at += len(v)
+    schema = "key long, record binary, file string, offset long"
+    a = spark.createDataFrame(laid, schema)
+    later = spark.createDataFrame([(k, v, f, o + 3 * (k >= 20)) for k, v, f, o in laid], schema)
+    assert warc.audit(a, a).count() == 0
+    assert [(r.key, r.fault, r.offset) for r in warc.audit(a, later).collect()] == [(20, "moved", laid[20][3])]
+    first, second = (warc.tree(warc.leaves(x), 0, 39, warc.Written(spark)) for x in (a, later))
+    roots = [t[-1].collect() for t in (first, second)]
+    assert len(first) == 3 and roots[0][0].hash != roots[1][0].hash and roots[1][0].size == roots[0][0].size + 3
+    last = spark.createDataFrame([(k, v, f if k < 39 else "g", o if k < 39 else 1) for k, v, f, o in laid], schema)
+    assert [(r.key, r.fault) for r in warc.audit(a, last).collect()] == [(39, "moved")]
+
+
+def test_archives_read_from_files(spark, tmp_path):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    rows = [bytes(r.record) for r in warc.records(pages).orderBy("key").collect()]
+    for name, faulty in (("a", False), ("b", True)):
+        (tmp_path / name).mkdir()
+        for f in range(2):
+            part = rows[f::2]
+            if faulty and f:
+                part = [*part[:3], part[3][:-6] + b"!" + part[3][-5:], *part[5:]]  # one changed, one lost
+            (tmp_path / name / f"{f}.warc").write_bytes(b"".join(part))
+
+    def keyed(name):
+        found = warc.read_archive(spark, str(tmp_path / name)).collect()
+        place = {bytes(v): k for k, v in enumerate(rows)} | {rows[7][:-6] + b"!" + rows[7][-5:]: 7}
+        return spark.createDataFrame([(place[bytes(r.record)], bytearray(r.record), r.file[-6:], r.offset) for r in found], "key long, record binary, file string, offset long")
+
+    got = sorted((r.key, r.fault) for r in warc.audit(keyed("a"), keyed("b")).collect())
+    assert got == [(7, "changed"), (9, "missing")]
+
+
 def test_archive_files(spark, tmp_path):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").limit(50)
     rows = [bytes(r.record) for r in warc.records(pages).orderBy("key").collect()]
