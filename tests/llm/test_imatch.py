@@ -15,14 +15,20 @@ def terms(text):
 
 
 def prints(text, known):
-    numbers = sorted({xxhash.xxh64_intdigest(t.encode(), 42) & ((1 << 28) - 1) for t in terms(text) if t in known})
+    numbers = sorted({signed(xxhash.xxh64_intdigest(t.encode(), 42)) for t in terms(text) if t in known})
+    if not numbers:  # of its own terms
+        own = 42
+        for t in sorted(terms(text)):
+            own = xxhash.xxh64_intdigest(t.encode(), own)
+        own = xxhash.xxh64_intdigest(struct.pack("<Q", own), 42)
+        return [xxhash.xxh64_intdigest(struct.pack("<i", c), own) & ((1 << 31) - 1) for c in range(64)]
     out = []
     for first, bits in imatch.LEVELS:
         for c in range(imatch.SUBSETS):
             own = [x for x in numbers if (x >> first) & ((1 << bits) - 1) == c]
             seed = 42
             for x in own:
-                seed = xxhash.xxh64_intdigest(struct.pack("<i", x), seed)
+                seed = xxhash.xxh64_intdigest(struct.pack("<q", x), seed)
             out.append(seed & ((1 << 31) - 1) if own else None)
     return out
 
@@ -33,9 +39,10 @@ def like(a, b):
 
 
 def brute(rows, low=imatch.LOW, high=imatch.HIGH):
-    rows = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode()))
-    df = Counter(t for _, x in rows for t in terms(x))
-    known = {t for t, n in df.items() if max(2, low * len(rows)) <= n <= max(2, high * len(rows))}
+    rows = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is not None, r[0] or ("" if isinstance(r[0], str) else 0), r[1].encode()))
+    texts = {x for _, x in rows}
+    df = Counter(t for x in texts for t in terms(x))
+    known = {t for t, n in df.items() if max(2, low * len(texts)) <= n <= max(2, high * len(texts))}
     out = []
     for k, (i, t) in enumerate(rows):
         after = rows[(k + 1) % len(rows)][1]
@@ -67,6 +74,28 @@ def test_special_inputs(spark, monkeypatch):
     assert len(imatch.fingerprint(df.limit(1)).collect()) == 1
 
 
+def test_ids_far_apart_and_of_other_types(spark, monkeypatch):
+    monkeypatch.setattr(imatch, "CELL", 3)
+    rows = [(i, f"one two w{(i or 0) % 5} x{i} y{(i or 0) // 3}") for i in (*range(40), 10**15, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted((str(r[0]), *r[1:]) for r in brute(rows, 0.05, 0.5))
+    got = imatch.fingerprint(df, low=0.05, high=0.5).collect()
+    assert sorted((str(r[0]), *r[1:]) for r in got) == want
+    held = imatch.with_next(df, "doc_id", "text", imatch.Written(spark))
+    sizes = [r["count"] for r in held.groupBy((held.rid / 2**32).cast("long").alias("cell")).count().collect()]
+    assert len(sizes) > 10 and max(sizes) < 2 * 3
+    names = [(f"id-{i:04d}", t) for i, (_, t) in enumerate(rows)]
+    got = imatch.fingerprint(spark.createDataFrame(names, "doc_id string, text string"), low=0.05, high=0.5).collect()
+    assert sorted(map(tuple, got)) == sorted(brute(names, 0.05, 0.5))
+
+
+def test_large_groups_of_copies_keep_their_terms(spark):
+    """Two groups of copies with no term in common; the frequency of their terms counts distinct texts."""
+    rows = [(i, "alpha beta gamma" if i % 3 else "delta epsilon zeta") for i in range(60)]
+    got = imatch.fingerprint(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len({r.fingerprint for r in got}) == 2 and {r.near_next for r in got} == {0.0, 1.0}
+
+
 def test_no_python_on_the_main_path(spark):
     plan = imatch.op4_imatch(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
