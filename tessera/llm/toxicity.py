@@ -9,8 +9,9 @@ lower-cased words without outer ASCII punctuation, and their leading letters (th
 Training uses labelled rows whose crc32(id as text) mod 3 is not 1. At most ``max_rows``
 of them are used, those with the least hash of their id (a documented bound, so that the
 model fits on the driver); slots that too few training rows have stay 0. All others get a
-weight and factors, so that terms which are neutral alone can be toxic together; slots whose
-own tie to the label may be chance learn at lower rates, as there are thousands of them.
+weight and factors, so that terms which are neutral alone can be toxic together. Slots learn at
+rates that grow with how often they occur, up to a full one; rare slots have it too if their own
+tie to the label is beyond chance, as there are thousands of rare ones.
 Labels, language, source and id are never inputs of a score.
 
 Results for special inputs: null or empty texts have no terms and score the bias alone;
@@ -37,9 +38,11 @@ MAX_ROWS = 20_000
 MIN_ROWS = 4
 #: Likelihood ratio from which a slot's tie to the label counts (chance reaches it in 1 of 100,000 slots).
 MIN_G2 = 20.0
-#: Learning rates of weights and factors: of slots with a tie of their own to the label, and of the others.
+#: Share of the training rows from which a slot without such a tie is trusted as much.
+OFTEN = 0.5
+#: Learning rates of weights and factors: of trusted slots, and of rare ones without a tie.
 RATES = (0.3, 0.05)
-NEUTRAL_RATES = (0.003, 0.01)
+NEUTRAL_RATES = (0.0003, 0.003)
 THRESHOLD = 0.7
 EPOCHS = 24
 #: Words a worker remembers the slots of.
@@ -119,10 +122,10 @@ def telling(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     return np.flatnonzero((both >= MIN_ROWS) & (g2 >= MIN_G2))
 
 
-def frequent(rows: list[np.ndarray]) -> np.ndarray:
-    """Slots in MIN_ROWS training rows at least."""
+def held_by(rows: list[np.ndarray]) -> np.ndarray:
+    """Training rows that have each slot."""
     everyone = np.ones(len(rows), bool)
-    return np.flatnonzero(sum((np.bincount(r, minlength=DIMENSIONS) for r in _joined(rows, everyone)), np.zeros(DIMENSIONS, np.int64)) >= MIN_ROWS)
+    return sum((np.bincount(r, minlength=DIMENSIONS) for r in _joined(rows, everyone)), np.zeros(DIMENSIONS, np.int64))
 
 
 def _joined(rows, chosen, size=2000):
@@ -133,9 +136,10 @@ def _joined(rows, chosen, size=2000):
 
 def train(rows: list[np.ndarray], labels: np.ndarray, factors: int = FACTORS, epochs: int = EPOCHS, seed: int = 0) -> Machine:
     """Fit by AdaGrad on the logistic loss, both labels of equal total weight."""
-    keep = frequent(rows)
-    tied = np.concatenate([[False], np.isin(keep, telling(rows, labels))])
-    rate_w, rate_v = (np.where(tied, a, b) for a, b in zip(RATES, NEUTRAL_RATES, strict=True))
+    held = held_by(rows)
+    keep = np.flatnonzero(held >= MIN_ROWS)
+    trust = np.concatenate([[0.0], np.where(np.isin(keep, telling(rows, labels)), 1.0, np.minimum(held[keep] / (OFTEN * len(rows)), 1.0))])
+    rate_w, rate_v = (b + (a - b) * trust for a, b in zip(RATES, NEUTRAL_RATES, strict=True))
     place_of = np.zeros(DIMENSIONS, np.int32)
     place_of[keep] = np.arange(1, len(keep) + 1)
     kept = [p[p > 0] for p in (place_of[r] for r in rows)]
@@ -161,7 +165,10 @@ def train(rows: list[np.ndarray], labels: np.ndarray, factors: int = FACTORS, ep
             dw = np.bincount(inv, each, len(u)) + 1e-4 * w[u]
             row = np.repeat(np.arange(len(part)), np.diff(at))
             pull = each[:, None] * (sums[row] - v[place])
-            dv = np.stack([np.bincount(inv, pull[:, f], len(u)) for f in range(factors)], 1) + 1e-3 * v[u]
+            dv = np.zeros((len(u), factors))
+            for f in range(factors):
+                dv[:, f] = np.bincount(inv, pull[:, f], len(u))
+            dv += 1e-3 * v[u]
             gw[u] += dw * dw
             gv[u] += dv * dv
             gb += err.sum() ** 2
