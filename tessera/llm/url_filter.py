@@ -8,11 +8,12 @@ whose other tokens it has too. The most confident one decides (then the one of m
 support, then allow); no rule allows. A rule whose tokens hold those of another with the same
 label and no less confidence never decides anything, and is dropped.
 
-Tokens of a URL: each suffix of its host, each host label, its path segments with their
-depth (numbers by their first digit and length), and its query's keys.
+Tokens of a URL: each label of its host, its path segments with their depth (numbers by
+their first digit and length), and its query's keys, each thing in one form.
 
-A page's label for mining is the verdict of the given rule that fits it, else its row of the
-labels (block if it is toxic or of low quality, else allow); other pages are not learned from.
+A page's label for mining is the row of the labels with its id (labels.doc_id is the number of
+the page's document, as page_id is): block if that is toxic or of low quality, else allow. Other
+pages are not learned from, and verdicts of given rules are no labels.
 
 Results for special inputs: a null URL, or one without "://", has an empty host and path, no
 tokens and is allowed; repeated rows are judged alike; without labels nothing is mined. Other
@@ -80,8 +81,7 @@ def tokens(host, path, url):
     query = F.split(F.regexp_extract(F.coalesce(url, F.lit("")), r"\?([^#]*)", 1), "&")
     keys = F.transform(F.filter(query, lambda q: q != ""), lambda q: F.concat(F.lit("q:"), F.substring_index(q, "=", 1)))
     labels = F.transform(F.filter(F.split(host, r"\."), lambda x: x != ""), lambda x: F.concat(F.lit("l:"), x))
-    ends = F.transform(suffixes(host), lambda x: F.concat(F.lit("h:"), x))
-    return F.array_distinct(F.concat(ends, labels, by_depth, keys))
+    return F.array_distinct(F.concat(labels, by_depth, keys))
 
 
 def mine(labelled: DataFrame, support: float, confidence: float, written: Written) -> DataFrame:
@@ -134,15 +134,13 @@ def judge(
     urls = picked.select("url").filter("url is not null").distinct().select("url", host.alias("host"), path.alias("path"))
     urls = written.save(urls.select("*", tokens(F.col("host"), F.col("path"), F.col("url")).alias("tokens")), "urls")
     given = written.save(given_rules(urls, rules), "url-given")
-    known = picked.filter("url is not null").join(given.select("url", F.col("verdict").alias("given")), "url", "left")
     if labels is not None:
         bad = (F.coalesce(F.col("toxic"), F.lit(0)) == 1) | (F.coalesce(F.col("quality"), F.lit(1)) == 0)
-        marks = labels.groupBy(F.col(label_id).alias("page")).agg(F.max(F.when(bad, "block").otherwise("allow")).alias("mark"))
-        known = known.join(marks, "page", "left")
+        marks = labels.groupBy(F.col(label_id).alias("page")).agg(F.max(F.when(bad, "block").otherwise("allow")).alias("label"))
+        labelled = picked.join(marks, "page").join(urls.select("url", "tokens"), "url").select("tokens", "label")
     else:
-        known = known.withColumn("mark", F.lit(None).cast("string"))
-    labelled = known.withColumn("label", F.coalesce("given", "mark")).filter("label is not null").select("url", "label")
-    labelled = written.save(labelled.join(urls.select("url", "tokens"), "url").select("tokens", "label"), "url-labelled")
+        labelled = urls.select("tokens", F.lit(None).cast("string").alias("label")).limit(0)
+    labelled = written.save(labelled, "url-labelled")
     if labelled.isEmpty():
         verdicts = given.withColumn("mined", F.lit(None).cast("string")).withColumn("mined_rule", F.lit(None).cast("string"))
     else:
