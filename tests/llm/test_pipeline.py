@@ -56,3 +56,18 @@ def test_special_inputs(spark):
         docs = stage(spark, docs, SF)
         docs.count()
     assert packing.SEQUENCE == 2048
+
+
+def test_clashing_columns_and_repeated_ids(spark):
+    """Extra columns of any name stay; rows with one id and different texts are documents of their own."""
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
+    rows = [(1, text(1), "en", "s", 5, "a", 1), (1, text(2), "en", "s", 5, "b", 2), (1, text(2), "en", "s", 5, "b", 2), (2, text(2), "en", "s", 5, "c", 3), (3, text(3), "en", "s", 5, "d", 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, k_id string, row int")
+    kept = corpus_pipeline.near_duplicate_stage(spark, docs, SF)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r.k_id) for r in kept.collect()) == [(1, "a"), (1, "b"), (3, "d")]
+    plain = docs.filter("row <> 2")
+    assert sorted((r.doc_id, r.k_id) for r in corpus_pipeline.near_duplicate_stage(spark, plain, SF).collect()) == [(1, "a"), (2, "c"), (3, "d")]
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF)
+        assert docs.columns == plain.columns
