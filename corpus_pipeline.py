@@ -6,7 +6,7 @@ last return the columns of documents.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm import jaccard_join, packing, quality, suffix_dedup, toxicity
@@ -27,17 +27,24 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the least id stays.
 
-    Documents without a word are linked with nothing and stay; rows that repeat an id are one
-    document, of which one stays.
+    Documents without a word are linked with nothing and stay, as do documents without an id. Of rows
+    that repeat an id and all else, one stays; rows with the same id and other texts are documents of
+    their own, told apart by their place among the id's texts.
     """
     written = Written(spark)
-    found = written.save(jaccard_join.near_duplicates(docs, written=written), "kept")
-    keep = found.filter("component_id is null or component_id = doc_id").select(F.col("doc_id").alias("k_id")).distinct()
-    nameless = docs.filter("doc_id is null")
-    named = docs.filter("doc_id is not null")
-    if docs.count() != found.select("doc_id").distinct().count():
-        named = named.dropDuplicates(["doc_id"])
-    return named.join(keep, F.col("doc_id") == F.col("k_id"), "left_semi").unionAll(nameless)
+    row = F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)])
+    kinds = {f"c{k}": f.dataType for k, f in enumerate(docs.schema)}
+    at = {c: f"c{k}" for k, c in enumerate(docs.columns)}
+    rows = docs.select(row.alias("row")).select("row", F.col(f"row.{at['doc_id']}").alias("doc_id"), F.col(f"row.{at['text']}").alias("text"))
+    named = rows.filter("doc_id is not null")
+    if named.select("doc_id").distinct().count() != named.count():
+        several = named.dropDuplicates() if all(hasattr(t, "simpleString") and not t.simpleString().startswith("map") for t in kinds.values()) else named
+        place = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", F.xxhash64("row")))
+        named = written.save(several.select("row", F.struct("doc_id", place.alias("place")).alias("doc_id"), "text"), "named")
+    found = written.save(jaccard_join.near_duplicates(named, written=written), "kept")
+    keep = found.filter("component_id = doc_id").select(F.col("doc_id").alias("k_id"))
+    kept = named.join(keep, F.col("doc_id") == F.col("k_id"), "left_semi").select("row").unionAll(rows.filter("doc_id is null").select("row"))
+    return kept.select(*[F.col(f"row.{at[c]}").alias(c) for c in docs.columns])
 
 
 def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +56,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """What is left is packed into sequences of 2048 tokens."""
     import public_tokenizers
 
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), targets=packing.TARGETS)
 
 
 STAGES = [
