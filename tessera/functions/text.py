@@ -159,34 +159,50 @@ def nfkc(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
 
 
-def parse_first(text: str | None):
-    """The first JSON value of a reply: fences off, from the first bracket to the last that fits."""
-    if text is None:
-        return None
-    t = re.sub(r"^```\w*\s*|\s*```$", "", text.strip())
-    begin = min((i for i in (t.find("["), t.find("{")) if i >= 0), default=-1)
-    if begin < 0:
-        return None
-    for close in "]}":
-        end = t.rfind(close)
-        if end > begin:
-            try:
-                return json.loads(t[begin : end + 1])
-            except ValueError:
-                continue
-    return None
+#: What matters to the scan for brackets: strings' ends and escapes, and the brackets themselves.
+_MARKS = re.compile(r'\\.|["\[\]{}]', re.S)
+_CLOSES = {"]": "[", "}": "{"}
 
 
-def parse_every(text: str | None) -> list:
-    """Objects of all JSON values that begin at any bracket; lists give their elements."""
-    decode, out = json.JSONDecoder(), []
-    for m in re.finditer(r"[\[{]", text or ""):
+def balanced(text: str) -> list[tuple[int, int]]:
+    """(start, end) of every stretch from a bracket to the one that closes it, by their starts.
+
+    Brackets in strings do not count, and strings only begin inside of brackets; a closing bracket takes
+    the nearest open one of its kind, and what was opened in between stays open for good.
+    """
+    out, open_, quoted = [], [], False
+    for m in _MARKS.finditer(text):
+        mark = m.group()
+        if mark == '"':
+            quoted = bool(open_) and not quoted
+        elif quoted or mark[0] == "\\":
+            continue
+        elif mark in "[{":
+            open_.append((mark, m.start()))
+        elif any(mark_ == _CLOSES[mark] for mark_, _ in open_):
+            while open_[-1][0] != _CLOSES[mark]:
+                open_.pop()
+            out.append((open_.pop()[1], m.end()))
+    return sorted(out)
+
+
+def parsed(text: str | None) -> Iterator[tuple[int, int, object]]:
+    """(start, end, value) of the balanced stretches of a reply that are JSON."""
+    for start, end in balanced(text or ""):
         try:
-            value, _ = decode.raw_decode(text, m.start())
+            yield start, end, json.loads(text[start:end])
         except ValueError:
-            continue
-        out += value if isinstance(value, list) else [value]
-    return out
+            pass
+
+
+def parse_first(text: str | None):
+    """The first JSON list or object of a reply, whatever stands around it; None if there is none."""
+    return next((value for *_, value in parsed(text)), None)
+
+
+def parse_every(text: str | None) -> list:
+    """All JSON lists and objects of a reply, also those inside others; lists give their elements."""
+    return [v for *_, value in parsed(text) for v in (value if isinstance(value, list) else [value])]
 
 
 @F.pandas_udf(StringType())

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import vocabulary as V
@@ -60,3 +60,10 @@ def aligned(frames: DataFrame, blocks: DataFrame, replies: DataFrame, key: str =
 
 def pass_ratio(checked: DataFrame) -> DataFrame:
     return checked.agg(F.count("*").alias("checks"), F.count_if("passed").alias("passes"), F.round(F.try_divide(F.count_if("passed"), F.count("*")), 4).alias("ratio"))
+
+
+def by_priority(courses: DataFrame, first: str, id_col: str, most: int | None = None) -> DataFrame:
+    """Courses in the order of work, place from 1: the marked ones first, then by id; up to `most`."""
+    order = [F.coalesce(F.col(first), F.lit(False)).desc(), F.col(id_col)]
+    out = courses.orderBy(*order) if most is None else courses.orderBy(*order).limit(most)
+    return out.withColumn("place", F.row_number().over(Window.orderBy(*order)))  # a roster, a row for each course

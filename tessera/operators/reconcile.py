@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import text as X
 from tessera.functions import vocabulary as V
-from tessera.operators.relational import greedy_pairs, small
+from tessera.operators.relational import greedy_pairs, small, stored
 
 
 def in_window(day: Column, low: Column, high: Column) -> Column:
@@ -20,18 +20,25 @@ def title_pairs(roster: DataFrame, goods: DataFrame, least: float) -> DataFrame:
     """(left, right, score) of roster (left, left_title, win_start, win_end) and goods (right, right_title, day)
     whose day is in the window and whose titles are at least so alike.
 
-    Titles meet by their character pairs: two titles of any likeness above 0 share one, so goods are
-    filed under their pairs and each pair of rows is scored once, from its count of common pairs.
+    Equal titles are one: distinct titles meet by their character pairs and are scored once. Titles of n
+    pairs that are so alike share at least o = least * n / (2 - least) pairs, so they share one
+    of the n - o + 1 rarest of each and are filed under these alone. Rows are joined to scored
+    titles at the end.
     """
-    grams = lambda t: F.array_distinct(X.gram_list(X.normal_title(F.col(t))))
-    l = roster.filter(X.normal_title(F.col("left_title")) != "").withColumn("g", grams("left_title"))  # noqa: E741
-    r = goods.filter(X.normal_title(F.col("right_title")) != "").withColumn("g", grams("right_title"))
-    l = l.select("left", "win_start", "win_end", F.size("g").alias("nl"), F.explode("g").alias("gram"))  # noqa: E741
-    r = r.select("right", "day", F.size("g").alias("nr"), F.explode("g").alias("gram"))
-    met = l.join(r, "gram").filter(in_window(F.col("day"), F.col("win_start"), F.col("win_end")))
-    counted = met.groupBy("left", "right").agg(F.count("*").alias("c"), F.first("nl").alias("nl"), F.first("nr").alias("nr"))
-    score = F.round(F.try_divide(2.0 * F.col("c"), F.col("nl") + F.col("nr")), 6)
-    return counted.select("left", "right", score.alias("score")).filter(F.col("score") >= least)
+    sides = [d.withColumn("key", X.normal_title(F.col(f"{k}_title"))).filter("key <> ''") for d, k in ((roster, "left"), (goods, "right"))]
+    titles = stored(sides[0].select("key").unionAll(sides[1].select("key")).distinct().withColumn("s", F.array_distinct(X.gram_list(F.col("key")))))
+    grams = titles.select("key", F.size("s").alias("n"), F.explode("s").alias("gram"))
+    grams = grams.join(grams.groupBy("gram").agg(F.count("*").alias("df")), "gram")
+    shown = F.col("n") - F.greatest(F.lit(1), F.ceil(F.col("n") * (least - 1e-6) / (2 - least))) + 1
+    rank = F.row_number().over(Window.partitionBy("key").orderBy("df", "gram"))
+    grams = stored(grams.withColumn("rank", rank).filter(F.col("rank") <= shown).select("gram", "key"))
+    met = grams.withColumnRenamed("key", "l_key").join(grams.withColumnRenamed("key", "r_key"), "gram").select("l_key", "r_key").distinct()
+    sets = [titles.select(F.col("key").alias(f"{k}_key"), F.col("s").alias(f"{k}_s")) for k in "lr"]
+    score = F.round(F.try_divide(2.0 * F.size(F.array_intersect("l_s", "r_s")), F.size("l_s") + F.size("r_s")), 6)
+    alike = met.join(sets[0], "l_key").join(sets[1], "r_key").select("l_key", "r_key", score.alias("score")).filter(F.col("score") >= least)
+    l, r = (d.withColumnRenamed("key", f"{k}_key") for d, k in zip(sides, "lr", strict=True))  # noqa: E741
+    rows = l.select("left", "win_start", "win_end", "l_key").join(alike, "l_key").join(r.select("right", "day", "r_key"), "r_key")
+    return rows.filter(in_window(F.col("day"), F.col("win_start"), F.col("win_end"))).select("left", "right", "score")
 
 
 def assign(roster: DataFrame, goods: DataFrame, least: float = 0.3, threshold: float = V.TITLE_MATCH) -> DataFrame:

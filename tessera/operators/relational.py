@@ -29,6 +29,12 @@ def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """df computed once and read again from the checkpoint folder."""
+    ready(df.sparkSession)
+    return df.checkpoint()
+
+
 def top_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int, rank: str | None = None) -> DataFrame:
     """The first n rows of each group; rank names a column that keeps their place (from 1)."""
     out = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("_rank") <= n)

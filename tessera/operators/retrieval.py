@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessera.functions import vocabulary as V
 from tessera.functions.text import blank, char_grams, gram_list
 from tessera.functions.vectors import dot, unit
-from tessera.operators.relational import small, top_per_group
+from tessera.operators.relational import small, stored, top_per_group
 
 
 def fixed_windows(text: Column, size: int = V.FIXED[0], overlap: int = V.FIXED[1]) -> Column:
@@ -117,16 +117,15 @@ def bm25_scores(post: DataFrame, queries: DataFrame, id_col: str, query_id: str,
 def bm25_search(docs: DataFrame, queries: DataFrame, id_col: str, text_col: str, query_id: str, query_text: str, k1: float = V.BM25[0], b: float = V.BM25[1]) -> DataFrame:
     """query_id, id_col, score as bm25_scores gives, for a stated set of queries over a whole corpus.
 
-    Only the queries' own terms are counted and dealt out; lengths come from the texts. The corpus is
-    read twice in place of a table of all its terms.
+    Only the queries' own terms are counted and dealt out, in one pass over the corpus; lengths come from
+    the texts in another.
     """
     grams = docs.select(id_col, gram_list(F.coalesce(F.col(text_col), F.lit(""))).alias("g"))
     total = grams.agg(F.avg(F.size("g")).alias("avgdl"), F.count("*").alias("n"))  # one row
-    asked = small(queries.select(query_id, F.explode(F.array_distinct(gram_list(F.col(query_text)))).alias("term")))
+    asked = stored(queries.select(query_id, F.explode(F.array_distinct(gram_list(F.col(query_text)))).alias("term")))
     rows = grams.select(id_col, F.size("g").alias("dl"), F.explode("g").alias("term")).join(small(asked.select("term").distinct()), "term", "left_semi")
-    hits = rows.groupBy(id_col, "dl", "term").agg(F.count("*").alias("tf"))
-    df = hits.groupBy("term").agg(F.count("*").alias("df"))
-    terms = asked.join(df, "term").crossJoin(F.broadcast(total))
+    hits = stored(rows.groupBy(id_col, "dl", "term").agg(F.count("*").alias("tf")))
+    terms = stored(asked.join(hits.groupBy("term").agg(F.count("*").alias("df")), "term").join(F.broadcast(total)))
     idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     part = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
     scored = hits.join(small(terms.select(query_id, "term", "avgdl", idf.alias("idf"))), "term")
@@ -162,17 +161,24 @@ def hybrid_scores(one: DataFrame, two: DataFrame, query_id: str, id_col: str, sc
 def truth(chunks: DataFrame, queries: DataFrame, id_col: str, text_col: str, query_id: str, quote: str, scope: list[str] | None = None, length: int = 60) -> DataFrame:
     """query_id, id_col: the first chunk that holds the first characters of the quote.
 
-    A chunk that holds them holds their character pairs, so chunks are found by the quote's first
-    eight characters among their grams of eight before the exact test.
+    A chunk that holds them holds their first eight (or all, of shorter quotes), so chunks are found by
+    these among their own runs of characters before the exact test; only then are texts fetched. A quote
+    of no characters is in every chunk.
     """
     scope, probe = scope or [], 8
     head = F.substr(F.col(quote), F.lit(1), F.lit(length))
-    asked = queries.filter(F.length(head) >= probe).select(*scope, query_id, head.alias("_head"), F.substr(head, F.lit(1), F.lit(probe)).alias("_probe"))
-    heads = small(asked.select(*scope, "_probe").distinct())
-    grams = F.array_distinct(char_grams(F.col(text_col), probe))
-    found = chunks.select(*scope, id_col, text_col, F.explode(grams).alias("_probe")).join(heads, [*scope, "_probe"], "left_semi")
-    hit = found.join(small(asked), [*scope, "_probe"]).filter(F.contains(F.col(text_col), F.col("_head")))
-    return hit.groupBy(*scope, query_id).agg(F.min(id_col).alias(id_col))
+    asked = stored(queries.filter(F.col(quote).isNotNull()).select(*scope, query_id, head.alias("_head"), F.substr(head, F.lit(1), F.lit(probe)).alias("_probe")))
+    sizes = sorted(r[0] for r in asked.select(F.length("_probe")).distinct().collect())  # at most nine lengths
+    least = F.min(id_col).alias(id_col)
+    out = asked.filter("_probe = ''").select(*scope, query_id)
+    out = out.join(chunks.groupBy(*scope).agg(least), scope) if scope else out.join(F.broadcast(chunks.agg(least)))
+    for size in filter(None, sizes):
+        own = asked.filter(F.length("_probe") == size)
+        heads = small(own.select(*scope, "_probe").distinct())
+        met = chunks.select(*scope, id_col, F.explode(char_grams(F.col(text_col), size)).alias("_probe")).join(heads, [*scope, "_probe"], "left_semi").distinct()
+        pairs = met.join(small(own), [*scope, "_probe"]).join(chunks.select(*scope, id_col, text_col), [*scope, id_col])
+        out = out.unionByName(pairs.filter(F.contains(F.col(text_col), F.col("_head"))).groupBy(*scope, query_id).agg(least).select(*scope, query_id, id_col))
+    return out
 
 
 def recall(queries: DataFrame, top: DataFrame, true: DataFrame, query_id: str, id_col: str, keys: list[str]) -> DataFrame:
@@ -186,3 +192,44 @@ def recall(queries: DataFrame, top: DataFrame, true: DataFrame, query_id: str, i
 def best_strategy(means: DataFrame, name: str, value: str, order: str) -> DataFrame:
     """The row of the greatest value; the first listed wins ties."""
     return means.orderBy(F.desc(value), F.col(order)).limit(1).select(name, value)
+
+
+def recall_by_ranker(chunks: DataFrame, queries: DataFrame, course: str = "course_id", k: int = 5) -> DataFrame:
+    """course, strategy, ranker, queries, answerable, hits, recall of BM25, vectors and both, each course by itself.
+
+    chunks: course, strategy, chunk_id, text, embedding. queries: course, query_id, quote, asked, embedding;
+    every strategy answers all queries of its course.
+    """
+    scope = [course, "strategy"]
+    ways = chunks.select(*scope).distinct()
+    asked = stored(queries.join(ways, course))
+    chunks = stored(chunks)
+    words = bm25_scores(postings(chunks, "chunk_id", "text", scope), asked, "chunk_id", "query_id", "asked", scope)
+    near = cosine_scores(chunks, asked, "chunk_id", "query_id", "embedding", scope)
+    rankers = {"bm25": stored(words), "vector": stored(near)}
+    rankers["hybrid"] = hybrid_scores(rankers["bm25"], rankers["vector"], "query_id", "chunk_id", scope)
+    true = truth(chunks, asked, "chunk_id", "text", "query_id", "quote", scope).withColumnRenamed("chunk_id", "_true")
+    base = stored(asked.select(*scope, "query_id").join(true, [*scope, "query_id"], "left"))
+    out = None
+    for name, scores in rankers.items():
+        best = top_k(scores, "query_id", "chunk_id", k, scope).select(*scope, "query_id", F.col("chunk_id").alias("_true"), F.lit(1).alias("_hit"))
+        marked = base.join(best, [*scope, "query_id", "_true"], "left")
+        table = marked.groupBy(*scope).agg(
+            F.count("*").alias("queries"), F.count("_true").alias("answerable"), F.count("_hit").alias("hits"), F.round(F.count("_hit") / F.count("*"), 3).alias("recall")
+        ).withColumn("ranker", F.lit(name))
+        out = table if out is None else out.unionAll(table)
+    return out.select(*scope, "ranker", "queries", "answerable", "hits", "recall")
+
+
+def chosen_strategy(recalls: DataFrame) -> DataFrame:
+    """(strategy, recall): the strategy of the best mean recall over courses and rankers; the first name wins ties."""
+    means = recalls.groupBy("strategy").agg(F.round(F.avg("recall"), 6).alias("recall"))
+    return best_strategy(means, "strategy", "recall", "strategy")
+
+
+def index_meta(post: DataFrame, vectors: DataFrame, id_col: str, vector: str, strategy: str) -> DataFrame:
+    """One row on a finished index: strategy, chunks, avg_length, terms, vectors, dimensions."""
+    docs, terms = bm25_stats(post, id_col)
+    sizes = docs.agg(F.count("*").alias("chunks"), F.round(F.avg("dl"), 6).alias("avg_length")).join(F.broadcast(terms.agg(F.count("*").alias("terms"))))
+    own = vectors.agg(F.count("*").alias("vectors"), F.max(F.size(vector)).alias("dimensions"))
+    return sizes.join(F.broadcast(own)).select(F.lit(strategy).alias("strategy"), "chunks", "avg_length", "terms", "vectors", "dimensions")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import overlapping, squeeze
@@ -56,3 +56,19 @@ def lost_quotes(cards: DataFrame, texts: DataFrame, key: str = "course_id", samp
 def uncovered(wanted: DataFrame, got: DataFrame, key: str) -> DataFrame:
     """Wanted keys without a row."""
     return wanted.select(key).distinct().join(got.select(key).distinct(), key, "left_anti")
+
+
+def gate(checks: dict[str, DataFrame]) -> DataFrame:
+    """(check, violations, passed) of named tables of violations: a run is published if all have passed."""
+    out = None
+    for name, found in checks.items():
+        row = found.agg(F.count("*").alias("violations")).select(F.lit(name).alias("check"), "violations", (F.col("violations") == 0).alias("passed"))
+        out = row if out is None else out.unionAll(row)
+    return out
+
+
+def present(df: DataFrame, conditions: dict[str, Column]) -> DataFrame:
+    """(condition, rows, present): how many rows meet each named condition, and whether any does."""
+    counts = df.agg(*[F.count_if(c).alias(name) for name, c in conditions.items()])
+    pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("condition"), F.col(n).alias("rows")) for n in conditions]))
+    return counts.select(pairs.alias("p")).select("p.condition", "p.rows", (F.col("p.rows") > 0).alias("present"))

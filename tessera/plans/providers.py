@@ -106,3 +106,83 @@ def numbered_prompt(lines: DataFrame, keys: list[str], order: str, line: Column,
 def zipped(requests: DataFrame, replies: DataFrame, keys: list[str], index: str, value: str) -> DataFrame:
     """Batch replies put to their requests by index; what has none is null."""
     return requests.join(replies.select(*keys, index, value), [*keys, index], "left")
+
+
+class Embedder(Protocol):
+    def __call__(self, model: str, texts: list[str]) -> list[tuple[int, list[float]]]:
+        """(index in the batch, vector), in any order."""
+
+
+class HashEmbedder:
+    """Vectors of a text's hash: a deterministic stand-in."""
+
+    def __init__(self, size: int = 8):
+        self.size = size
+
+    def __call__(self, model: str, texts: list[str]) -> list[tuple[int, list[float]]]:
+        raw = [hashlib.sha256(f"{model}\n{t}".encode()).digest() for t in texts]
+        return [(i, [b / 255 for b in r[: self.size]]) for i, r in reversed(list(enumerate(raw)))]
+
+
+def embed(texts: DataFrame, provider: Embedder, model: str, id_col: str, text_col: str, size: int = 10, cache: DataFrame | None = None) -> DataFrame:
+    """id_col, key, embedding, from_cache of texts: filed vectors are joined, the rest is asked in batches of `size`.
+
+    Vectors are put to their texts by the index they come with. A batch that fails, or lacks a text,
+    leaves null.
+    """
+    keyed = texts.select(id_col, F.col(text_col).alias("_text"), cache_key(F.lit(model), F.coalesce(F.col(text_col), F.lit(""))).alias("key"))
+    filed = cache.select("key", F.col("embedding").alias("_filed")).dropDuplicates(["key"]) if cache is not None else keyed.select("key").limit(0).withColumn("_filed", F.lit(None).cast("array<double>"))
+    rows = keyed.join(filed, "key", "left").select(id_col, "key", "_text", "_filed")
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in parts:
+            found = [None if v is None else list(v) for v in rows["_filed"]]
+            hit = [v is not None for v in found]
+            ask_for = [i for i, h in enumerate(hit) if not h]
+            for lo in range(0, len(ask_for), size):
+                batch = ask_for[lo : lo + size]
+                try:
+                    got = with_retry(lambda b=batch: provider(model, [rows["_text"].iloc[i] or "" for i in b]), wait=0.0)
+                except ProviderError:
+                    continue
+                for k, vector in got:
+                    found[batch[k]] = vector
+            yield pd.DataFrame({id_col: rows[id_col], "key": rows["key"], "embedding": found, "from_cache": hit})
+
+    kind = texts.schema[id_col].dataType.simpleString()
+    return rows.mapInPandas(run, f"`{id_col}` {kind}, key string, embedding array<double>, from_cache boolean")
+
+
+def image_request(images: DataFrame, model: str, prompt: str, content: str, part: str) -> DataFrame:
+    """images with (part, model, payload): a request that holds the prompt and the image in base64, for ask()."""
+    payload = F.to_json(F.struct(F.lit(prompt).alias("prompt"), F.concat(F.lit("data:image/jpeg;base64,"), F.base64(content)).alias("image")))
+    return images.withColumns({"part": F.lit(part), "model": F.lit(model), "payload": payload})
+
+
+def probed(files: DataFrame, path: str, probe: Callable[[str], float | None], name: str) -> DataFrame:
+    """files with what an outside program tells of each path (a duration), null where it fails."""
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in parts:
+            out = []
+            for p in rows[path]:
+                try:
+                    out.append(None if p is None else probe(p))
+                except (OSError, ValueError):
+                    out.append(None)
+            yield rows.assign(**{name: pd.Series(out, dtype="float64", index=rows.index)})
+
+    return files.mapInPandas(run, files.withColumn(name, F.lit(None).cast("double")).schema)
+
+
+def frames_of(videos: DataFrame, key: str, path: str, extract: Callable[[str], Iterator[bytes]]) -> DataFrame:
+    """(key, seq, content): the pictures that an outside program takes from each video, numbered from 1."""
+    kind = videos.schema[key].dataType.simpleString()
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in parts:
+            for k, p in zip(rows[key], rows[path], strict=True):
+                for seq, content in enumerate(extract(p), 1):  # a picture at a time
+                    yield pd.DataFrame({key: [k], "seq": [seq], "content": [content]})
+
+    return videos.select(key, path).mapInPandas(run, f"`{key}` {kind}, seq int, content binary")

@@ -55,18 +55,20 @@ TITLE_GRAMS = "list_distinct(CASE WHEN length({n}) < 2 THEN [{n}] ELSE list_tran
 def pairs_sql(least: float) -> str:
     norm = {k: NORMAL.format(c=k) for k in ("p_name",)}["p_name"]
     return rf"""
-  named AS (SELECT *, {norm} AS nn, CAST('2000-01-' || lpad(CAST(1 + p_partkey % 28 AS VARCHAR), 2, '0') AS DATE) AS day FROM part),
+  named AS (SELECT p_name, {norm} AS nn, p_partkey, CAST('2000-01-' || lpad(CAST(1 + p_partkey % 28 AS VARCHAR), 2, '0') AS DATE) AS day FROM part),
   gr AS (SELECT *, {TITLE_GRAMS.format(n="nn")} AS g FROM named WHERE nn <> ''),
-  roster AS (SELECT p_partkey AS l, g, DATE '2000-01-05' AS lo, DATE '2000-01-20' AS hi FROM gr WHERE p_partkey % 20 = 3),
-  goods AS (SELECT p_partkey AS r, g, day FROM gr WHERE p_partkey % 20 = 7),
+  roster AS (SELECT min(p_partkey) AS l, any_value(g) AS g, DATE '2000-01-05' AS lo, DATE '2000-01-20' AS hi FROM gr GROUP BY p_name),
+  goods AS (SELECT min(p_partkey) AS r, any_value(g) AS g, day FROM gr GROUP BY p_name, day),
   scored AS (SELECT l AS "left", r AS "right", round(2.0 * len(list_intersect(a.g, b.g)) / (len(a.g) + len(b.g)), 6) AS score FROM roster a JOIN goods b ON b.day BETWEEN a.lo AND a.hi),
   pairs AS (SELECT * FROM scored WHERE score >= {least} AND score > 0)"""
 
 
 def catalogue_sides(spark, sf_dir):
+    """All parts as a roster, a row for each title, and as goods, a row for each title and day."""
     p = table(spark, sf_dir, "part").withColumn("day", F.format_string("2000-01-%02d 10:00:00", 1 + F.col("p_partkey") % 28))
-    roster = p.filter("p_partkey % 20 = 3").select(F.col("p_partkey").alias("left"), F.col("p_name").alias("left_title"), F.lit("2000-01-05").cast("date").alias("win_start"), F.lit("2000-01-20").cast("date").alias("win_end"))
-    return roster, p.filter("p_partkey % 20 = 7").select(F.col("p_partkey").alias("right"), F.col("p_name").alias("right_title"), "day")
+    roster = p.groupBy(F.col("p_name").alias("left_title")).agg(F.min("p_partkey").alias("left"))
+    roster = roster.select("left", "left_title", F.lit("2000-01-05").cast("date").alias("win_start"), F.lit("2000-01-20").cast("date").alias("win_end"))
+    return roster, p.groupBy(F.col("p_name").alias("right_title"), "day").agg(F.min("p_partkey").alias("right"))
 
 
 @query(f"WITH {pairs_sql(0.3)} SELECT * FROM pairs")
@@ -92,12 +94,12 @@ def goods_rows(spark, sf_dir):
 
 
 @query(
-    rf"""WITH g AS (SELECT p_partkey, p_name, {NORMAL.format(c="p_name")} AS key FROM part WHERE p_partkey % 3 = 0 AND p_partkey % 10 <> 0)
+    rf"""WITH g AS (SELECT p_partkey, p_name, {NORMAL.format(c="p_name")} AS key FROM part WHERE p_partkey % 10 <> 0)
     SELECT key, arg_min(p_name, p_partkey) AS title, '2000-01-01' AS day, string_agg(CAST(p_partkey AS VARCHAR), ',' ORDER BY CAST(p_partkey AS VARCHAR)) AS ids, CAST(1.0 AS DOUBLE) AS topical FROM g GROUP BY key"""
 )
 def unmatched_goods(spark, sf_dir):
     """Goods without a match, one row per title; the roster has all titles, so each finds itself."""
-    goods = goods_rows(spark, sf_dir).filter("ord % 3 = 0")
+    goods = goods_rows(spark, sf_dir)
     roster = table(spark, sf_dir, "part").select(F.col("p_name").alias("title")).distinct()
     return RC.unmatched_goods(goods, goods.filter("ord % 10 = 0"), roster, ordinal=False)
 

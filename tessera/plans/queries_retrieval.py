@@ -147,6 +147,69 @@ def retrieval_recall(spark, sf_dir):
     return T.recall(asked, top, true, "item_id", "chunk_id", ["strategy"])
 
 
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+VEC = "list_transform(string_split('a,b,c,d,e,f,g,h,i,j,k,l,m,n,o,p,q,r,s,t,u,v,w,x,y,z', ','), lambda c: CAST(length({t}) - length(replace({t}, c, '')) AS DOUBLE))"
+VDOT = "list_sum(list_transform(list_zip({a}, {b}), lambda p: p[1] * p[2]))"
+RECALL_SQL = (
+    FOLD_SQL.format(extra=1, cut="((b.role <> f.role AND f.size >= 300) OR f.size >= 700)")
+    + rf""", cs AS (SELECT conv_id AS course_id, 'turn' AS strategy, turn AS chunk_id, text FROM conversations
+      UNION ALL SELECT f.conv_id, 'semantic', min(f.turn), trim(string_agg(b.text, chr(10) ORDER BY f.turn), chr(32) || chr(10) || chr(9) || chr(13)) FROM f JOIN b ON b.conv_id = f.conv_id AND b.i = f.i GROUP BY f.conv_id, f.g),
+    ch AS (SELECT *, {VEC.format(t="text")} AS e FROM cs),
+    qs AS (SELECT conv_id AS course_id, turn AS query_id, text, {VEC.format(t="text")} AS e FROM conversations WHERE role = 'user'),
+    po AS (SELECT course_id, strategy, chunk_id, term, count(*) AS tf FROM (SELECT course_id, strategy, chunk_id, unnest({grams_sql("text")}) AS term FROM ch) GROUP BY ALL),
+    le AS (SELECT course_id, strategy, chunk_id, sum(tf) AS dl FROM po GROUP BY ALL), tot AS (SELECT course_id, strategy, avg(dl) AS avgdl, count(*) AS n FROM le GROUP BY ALL),
+    df AS (SELECT course_id, strategy, term, count(*) AS df FROM po GROUP BY ALL),
+    qt AS (SELECT DISTINCT course_id, query_id, term FROM (SELECT course_id, query_id, unnest({grams_sql("substr(text, 1, 60)")}) AS term FROM qs)),
+    words AS (SELECT course_id, strategy, query_id, chunk_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.5 / (tf + 1.5 * (1 - 0.75 + 0.75 * dl / avgdl))), 6) AS score
+      FROM qt JOIN df USING (course_id, term) JOIN po USING (course_id, strategy, term) JOIN le USING (course_id, strategy, chunk_id) JOIN tot USING (course_id, strategy) GROUP BY ALL),
+    near AS (SELECT q.course_id, strategy, query_id, chunk_id, round({VDOT.format(a="c.e", b="q.e")} / ((sqrt({VDOT.format(a="c.e", b="c.e")}) + 1e-9) * (sqrt({VDOT.format(a="q.e", b="q.e")}) + 1e-9)), 6) AS score FROM qs q JOIN ch c USING (course_id)),
+    sides AS (SELECT *, score / coalesce(nullif(max(score) OVER (PARTITION BY course_id, strategy, query_id), 0), 1) AS s FROM words UNION ALL SELECT *, score / coalesce(nullif(max(score) OVER (PARTITION BY course_id, strategy, query_id), 0), 1) FROM near),
+    al AS (SELECT 'bm25' AS ranker, * FROM words UNION ALL SELECT 'vector', * FROM near UNION ALL SELECT 'hybrid', course_id, strategy, query_id, chunk_id, round(sum(s), 6) FROM sides GROUP BY course_id, strategy, query_id, chunk_id),
+    best AS (SELECT *, row_number() OVER (PARTITION BY ranker, course_id, strategy, query_id ORDER BY score DESC, chunk_id) AS rk FROM al),
+    tr AS (SELECT q.course_id, strategy, query_id, min(chunk_id) AS chunk_id FROM qs q JOIN ch c ON c.course_id = q.course_id AND contains(c.text, substr(q.text, 1, 60)) GROUP BY ALL),
+    mk AS (SELECT r.ranker, q.course_id, w.strategy, q.query_id, t.chunk_id IS NOT NULL AS known, x.chunk_id IS NOT NULL AS hit FROM qs q, (SELECT DISTINCT course_id, strategy FROM ch) w, (SELECT DISTINCT ranker FROM al) r
+      LEFT JOIN tr t ON t.course_id = q.course_id AND t.strategy = w.strategy AND t.query_id = q.query_id
+      LEFT JOIN best x ON x.ranker = r.ranker AND x.course_id = q.course_id AND x.strategy = w.strategy AND x.query_id = q.query_id AND x.chunk_id = t.chunk_id AND x.rk <= 1 WHERE w.course_id = q.course_id),
+    rc AS (SELECT course_id, strategy, ranker, count(*) AS queries, count(*) FILTER (known) AS answerable, count(*) FILTER (hit) AS hits, round(count(*) FILTER (hit) / count(*), 3) AS recall FROM mk GROUP BY ALL)"""
+)
+
+
+def letter_vector(text):
+    """Counts of letters: a vector that SQL can state, in place of a model's."""
+    return F.array(*[(F.length(text) - F.length(F.replace(text, F.lit(c), F.lit("")))).cast("double") for c in LETTERS])
+
+
+def recalls(spark, sf_dir):
+    blocks = turns(spark, sf_dir)
+    each = blocks.select("course_id", F.lit("turn").alias("strategy"), F.col("block_idx").alias("chunk_id"), "text")
+    whole = T.semantic_chunks(blocks).select("course_id", F.lit("semantic").alias("strategy"), (F.col("start_sec") / 10).cast("long").alias("chunk_id"), "text")
+    chunks = each.unionByName(whole)
+    asked = blocks.filter("speaker = 'user'").select("course_id", F.col("block_idx").alias("query_id"), F.col("text").alias("quote"), F.substring("text", 1, 60).alias("asked"), letter_vector(F.col("text")).alias("embedding"))
+    return T.recall_by_ranker(chunks.withColumn("embedding", letter_vector(F.col("text"))), asked, k=1)
+
+
+@query(RECALL_SQL + " SELECT * FROM rc")
+def recall_by_ranker(spark, sf_dir):
+    """Recall of each course, chunking strategy and ranker (character pairs, letter vectors, both)."""
+    return recalls(spark, sf_dir)
+
+
+@query(RECALL_SQL + " SELECT strategy, round(avg(recall), 6) AS recall FROM rc GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1")
+def chosen_strategy(spark, sf_dir):
+    """The strategy whose recalls are best on average."""
+    return T.chosen_strategy(R.stored(recalls(spark, sf_dir)))
+
+
+@query(
+    f"""WITH p AS (SELECT conv_id * 1000 + turn AS id, unnest({grams_sql("text")}) AS term FROM conversations), l AS (SELECT id, count(*) AS dl FROM p GROUP BY id)
+    SELECT 'turn' AS strategy, (SELECT count(*) FROM l) AS chunks, (SELECT round(avg(dl), 6) FROM l) AS avg_length, (SELECT count(DISTINCT term) FROM p) AS terms, (SELECT count(*) FROM embeddings) AS vectors, (SELECT CAST(max(len(embedding)) AS INTEGER) FROM embeddings) AS dimensions"""
+)
+def index_meta(spark, sf_dir):
+    """What an index of all turns and all vectors holds."""
+    docs = table(spark, sf_dir, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "text")
+    return T.index_meta(T.postings(docs, "id", "text"), table(spark, sf_dir, "embeddings"), "id", "embedding", "turn")
+
+
 DOT = "list_sum(list_transform(list_zip({a}, {b}), lambda p: CAST(p[1] AS DOUBLE) * CAST(p[2] AS DOUBLE)))"
 COSINE_SQL = f"""
   e AS (SELECT vec_id, label, embedding, sqrt({DOT.format(a="embedding", b="embedding")}) + 1e-9 AS len FROM embeddings),
@@ -213,20 +276,20 @@ PAIR_GRAMS = r"list_distinct(list_filter(list_transform(generate_series(1, great
 
 
 @query(
-    f"""WITH g AS (SELECT conv_id * 1000 + turn AS id, conv_id AS course, {PAIR_GRAMS.format(t="substr(text, 1, 120)")} AS s FROM conversations WHERE role = 'user'),
+    f"""WITH g AS (SELECT conv_id * 1000 + turn AS id, conv_id AS course, {PAIR_GRAMS.format(t="text")} AS s FROM conversations),
     r AS (SELECT id, course, len(s) AS n, unnest(s) AS gram FROM g),
     m AS (SELECT a.id AS a, b.id AS b, count(*) AS inter, any_value(a.n) + any_value(b.n) AS total FROM r a JOIN r b ON a.gram = b.gram AND a.id < b.id AND a.course <> b.course GROUP BY a.id, b.id)
     SELECT a, b, inter, round(inter / (total - inter), 6) AS jaccard FROM m WHERE inter >= 6 AND inter / (total - inter) >= 0.5"""
 )
 def similar_cards(spark, sf_dir):
-    """Pairs of turns of different conversations with like character pairs."""
-    rows = table(spark, sf_dir, "conversations").filter("role = 'user'").select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "conv_id", F.substring("text", 1, 120).alias("t"))
+    """Pairs of turns of different conversations whose whole texts have like character pairs."""
+    rows = table(spark, sf_dir, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "conv_id", F.col("text").alias("t"))
     return C.similar_pairs(rows, "id", "conv_id", "t", least=0.5)
 
 
 CARD_SQL = r"""SELECT d.doc_id, b.item_id, CASE d.doc_id % 6 WHEN 0 THEN '事实' WHEN 1 THEN '流程' WHEN 2 THEN 'x' WHEN 3 THEN '决策' WHEN 4 THEN ' 禁忌 ' ELSE '运营' END AS type,
   CASE WHEN d.doc_id % 7 = 0 THEN 'short' ELSE substr(d.text, 1, 20) || 'content' END AS content, substr(b.text, 1, 10 + 8 * (b.item_id % 20)) AS quote, d.text
-  FROM documents d JOIN benchmark b ON d.doc_id % 40 = b.item_id"""
+  FROM documents d JOIN benchmark b ON d.doc_id % (SELECT count(*) FROM benchmark) = b.item_id"""
 
 
 @query(
@@ -240,7 +303,7 @@ def card_rejections(spark, sf_dir):
     """Why cards drawn from documents and benchmark quotes are rejected."""
     d, b = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark").withColumnRenamed("text", "b_text")
     kind = F.element_at(F.array(*map(F.lit, ["事实", "流程", "x", "决策", " 禁忌 ", "运营"])), (F.col("doc_id") % 6 + 1).cast("int"))
-    rows = d.join(F.broadcast(b), F.col("doc_id") % 40 == F.col("item_id")).select(
+    rows = d.join(F.broadcast(b), F.col("doc_id") % b.count() == F.col("item_id")).select(
         "text", kind.alias("type"), F.when(F.col("doc_id") % 7 == 0, "short").otherwise(F.concat(F.substring("text", 1, 20), F.lit("content"))).alias("content"), F.substr("b_text", F.lit(1), (10 + 8 * (F.col("item_id") % 20)).cast("int")).alias("quote")
     )
     # the place is only worked out where the quote is found
@@ -322,7 +385,13 @@ def hash_distance(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", vectors.hamming(digest(F.col("event_id")), digest(F.col("event_id") + 1)).alias("distance"))
 
 
-@query()
+@query(
+    """WITH RECURSIVE b AS (SELECT user_id, event_id, substr(md5(CAST(event_id AS VARCHAR)), 1, 16) AS phash, CAST('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 16) AS UBIGINT) AS h, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS i FROM events),
+    f AS (SELECT user_id, event_id, phash, i, [h] AS kept, true AS fine FROM b WHERE i = 1
+      UNION ALL SELECT user_id, event_id, phash, i, CASE WHEN fine THEN list_append(kept, h) ELSE kept END, fine FROM (
+        SELECT b.*, f.kept, len(list_filter(f.kept, lambda k: bit_count(xor(k, b.h)) <= 24)) = 0 AS fine FROM f JOIN b ON b.user_id = f.user_id AND b.i = f.i + 1))
+    SELECT user_id, event_id, phash FROM f WHERE fine"""
+)
 def frames_distinct(spark, sf_dir):
     """Frames of each user whose hashes differ in more than 24 bits from all that were kept before."""
     rows = table(spark, sf_dir, "events").select("user_id", "event_id", F.substring(F.md5(F.col("event_id").cast("string").cast("binary")), 1, 16).alias("phash"))
@@ -387,11 +456,15 @@ def card_coverage(spark, sf_dir):
     return Q.used_cards(Q.validated(question_rows(spark, sf_dir), cards).filter("error is null"), cards, "course_id")
 
 
-@query(f"WITH {QUESTION_SQL}, g AS (SELECT p_brand AS course_id, count(*) AS questions, count(*) FILTER (other <> '无') AS real FROM v WHERE error IS NULL AND p_partkey % 40 = 1 GROUP BY 1) SELECT * FROM g WHERE questions < 3 OR real < 1")
+#: Questions below which a course is weak; brands have hundreds of parts.
+WEAK = 70
+
+
+@query(f"WITH {QUESTION_SQL}, g AS (SELECT p_brand AS course_id, count(*) AS questions, count(*) FILTER (other <> '无') AS real FROM v WHERE error IS NULL  GROUP BY 1) SELECT * FROM g WHERE questions < {WEAK} OR real < 1")
 def weak_courses(spark, sf_dir):
     """Courses with too few questions."""
-    rows = Q.validated(question_rows(spark, sf_dir), card_rows(spark, sf_dir)).filter("error is null and pos % 40 = 1")
-    return Q.course_gate(rows, "course_id")
+    rows = Q.validated(question_rows(spark, sf_dir), card_rows(spark, sf_dir)).filter("error is null")
+    return Q.course_gate(rows, "course_id", WEAK)
 
 
 @query("SELECT p_brand AS course_id, CAST(p_partkey AS VARCHAR) AS key, 'c' || CAST(p_partkey % 29 AS VARCHAR) AS id FROM part WHERE p_partkey % 29 > 24")
@@ -426,7 +499,13 @@ def template_handouts(spark, sf_dir):
     return Q.template_handout(rows, types=["ECONOMY", "SMALL"], quoted="SMALL")
 
 
-@query()
+@query(
+    r"""WITH RECURSIVE b AS (SELECT conv_id, turn, text AS quote, regexp_replace(text, '\s+', '', 'g') AS q, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i FROM conversations),
+    f AS (SELECT conv_id, turn, quote, i, [q] AS kept, true AS fine FROM b WHERE i = 1
+      UNION ALL SELECT conv_id, turn, quote, i, CASE WHEN fine THEN list_append(kept, q) ELSE kept END, fine FROM (
+        SELECT b.*, f.kept, len(list_filter(f.kept, lambda k: contains(k, b.q) OR contains(b.q, k))) = 0 AS fine FROM f JOIN b ON b.conv_id = f.conv_id AND b.i = f.i + 1))
+    SELECT conv_id, turn, quote FROM f WHERE fine"""
+)
 def contained_cards(spark, sf_dir):
     """Turns that neither hold an earlier kept turn's text nor are part of one."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.col("text").alias("quote"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions import text as X
+from tessera.operators import frames as FR
 from tessera.operators import terms as M
 from tessera.plans import checks
 from tessera.plans.catalogue import query
@@ -110,13 +111,13 @@ def dictionary_merge(spark, sf_dir):
 
 
 @query(
-    """WITH t AS (SELECT p_brand AS canonical, p_type AS variant, min(p_partkey) AS o FROM part WHERE p_partkey < 100 GROUP BY ALL), k AS (SELECT * FROM t WHERE variant <> 'ECONOMY'),
+    """WITH t AS (SELECT p_brand AS canonical, p_type AS variant, min(p_partkey) AS o FROM part GROUP BY ALL), k AS (SELECT * FROM t WHERE variant <> 'ECONOMY'),
     n AS (SELECT canonical, bool_or(variant = 'ECONOMY') AS touched FROM t GROUP BY canonical), g AS (SELECT canonical, string_agg(variant, ',' ORDER BY o) AS variants FROM k GROUP BY canonical)
     SELECT n.canonical, coalesce(variants, '') AS variants FROM n LEFT JOIN g USING (canonical) WHERE NOT (variants IS NULL AND touched AND substr(n.canonical, 7, 1) <> '1') UNION ALL SELECT 'Brand#new', 'v'"""
 )
 def dictionary_review(spark, sf_dir):
     """Excluded variants go, and with the last one a term that is no seed; included terms come."""
-    once = table(spark, sf_dir, "part").filter("p_partkey < 100").groupBy(F.col("p_brand").alias("canonical"), F.col("p_type").alias("variant")).agg(F.min("p_partkey").alias("o"))
+    once = table(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("canonical"), F.col("p_type").alias("variant")).agg(F.min("p_partkey").alias("o"))
     terms = once.groupBy("canonical").agg(F.transform(F.array_sort(F.collect_list(F.struct("o", "variant"))), lambda x: x["variant"]).alias("variants")).select(
         "canonical", "variants", F.lit("c").alias("category"), F.when(F.substring("canonical", 7, 1) == "1", "seed").otherwise("mined").alias("source")
     )
@@ -215,12 +216,12 @@ def uncovered_keys(spark, sf_dir):
 
 
 @query(
-    r"""SELECT d.doc_id AS course_id, CAST(b.item_id AS VARCHAR) AS card_id FROM documents d JOIN benchmark b ON d.doc_id % 40 = b.item_id WHERE NOT contains(regexp_replace(d.text, '\s+', '', 'g'), regexp_replace(substr(b.text, 1, 30), '\s+', '', 'g'))"""
+    r"""SELECT d.doc_id AS course_id, CAST(b.item_id AS VARCHAR) AS card_id FROM documents d JOIN benchmark b ON d.doc_id % (SELECT count(*) FROM benchmark) = b.item_id WHERE NOT contains(regexp_replace(d.text, '\s+', '', 'g'), regexp_replace(substr(b.text, 1, 30), '\s+', '', 'g'))"""
 )
 def lost_quotes(spark, sf_dir):
     """Cards whose quote is not in their course."""
     docs, b = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    cards = docs.select("doc_id").join(F.broadcast(b), F.col("doc_id") % 40 == F.col("item_id")).select(F.col("doc_id").alias("course_id"), F.col("item_id").cast("string").alias("card_id"), F.substring("text", 1, 30).alias("quote"))
+    cards = docs.select("doc_id").join(F.broadcast(b), F.col("doc_id") % b.count() == F.col("item_id")).select(F.col("doc_id").alias("course_id"), F.col("item_id").cast("string").alias("card_id"), F.substring("text", 1, 30).alias("quote"))
     return checks.lost_quotes(cards, docs.select(F.col("doc_id").alias("course_id"), "text"))
 
 
@@ -267,3 +268,47 @@ def mining_rounds(spark, sf_dir):
     judge = lambda found: found.select("a", "b", F.when(F.substring("a", 1, 1) == F.substring("b", 1, 1), "adopt").otherwise("reject").alias("decision"), F.col("a").alias("canonical"), F.col("b").alias("variant"), F.lit("mined").alias("category"))
     rows = stats(spark, sf_dir).filter("n >= 20").cache()
     return M.mined(rows, dictionary(spark).drop("note"), judge, SOUNDS, ((100, 200, 20), (50, 100, 20)), 1000).select("canonical", "variants", "source")
+
+
+@query(
+    """SELECT p_partkey, CASE WHEN fine THEN 'unify' ELSE 'doubtful' END AS verdict, CASE WHEN fine THEN p_brand END AS canonical FROM (SELECT p_partkey, p_brand, p_partkey % 3 <> 0 AND (p_partkey % 5 <> 0 OR p_type = p_brand) AS fine FROM part)"""
+)
+def agreed_forms(spark, sf_dir):
+    """Replies on two forms: unified only where the reply names just these two."""
+    p = table(spark, sf_dir, "part")
+    rows = p.select(
+        "p_partkey", F.col("p_brand").alias("form_a"), F.col("p_type").alias("form_b"), F.when(F.col("p_partkey") % 3 != 0, "unify").otherwise("doubtful").alias("decision"),
+        F.col("p_brand").alias("canonical"), F.when(F.col("p_partkey") % 5 != 0, F.col("p_type")).otherwise(F.col("p_brand")).alias("variant"),
+    )
+    return M.agreed(rows).select("p_partkey", "verdict", "canonical")
+
+
+@query(r"""SELECT CAST(sum(length(text) - length(replace(text, 'the', 'th'))) AS BIGINT) AS the_, CAST(sum(length(text) - length(replace(text, 'und', 'un'))) AS BIGINT) AS und_ FROM documents""")
+def counter_totals(spark, sf_dir):
+    """Sums over all documents of the counters of two forms."""
+    count = lambda w: X.occurrences(F.coalesce(F.col("text"), F.lit("")), w)
+    counts = table(spark, sf_dir, "documents").select("doc_id", count("the").alias("the_"), count("und").alias("und_"))
+    return M.totals(counts, ["the_", "und_"])
+
+
+@query("""SELECT 'orders of no customer' AS "check", count(DISTINCT o_custkey) AS violations, count(*) = 0 AS passed FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)
+    UNION ALL SELECT 'customers without an order', count(*), count(*) = 0 FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)""")
+def acceptance_gate(spark, sf_dir):
+    """Checks run together: what each found, and whether it passed."""
+    orders, customers = table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey"), table(spark, sf_dir, "customer")
+    return checks.gate({"orders of no customer": checks.uncovered(orders, customers, "c_custkey"), "customers without an order": checks.uncovered(customers, orders, "c_custkey")})
+
+
+@query("""SELECT unnest(['german', 'long', 'none']) AS condition, unnest([count(*) FILTER (lang = 'de'), count(*) FILTER (n_chars > 5000), count(*) FILTER (lang = 'xx')]) AS rows,
+    unnest([count(*) FILTER (lang = 'de') > 0, count(*) FILTER (n_chars > 5000) > 0, count(*) FILTER (lang = 'xx') > 0]) AS present FROM documents""")
+def conditions_present(spark, sf_dir):
+    """Which kinds of documents are there at all."""
+    docs = table(spark, sf_dir, "documents")
+    return checks.present(docs, {"german": F.col("lang") == "de", "long": F.col("n_chars") > 5000, "none": F.col("lang") == "xx"})
+
+
+@query("SELECT s_suppkey AS id, CAST(row_number() OVER (ORDER BY s_nationkey % 2 = 1 DESC, s_suppkey) AS INTEGER) AS place FROM supplier ORDER BY 2 LIMIT 20")
+def work_order(spark, sf_dir):
+    """The first twenty suppliers in the order of work: the marked ones first."""
+    rows = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), (F.col("s_nationkey") % 2 == 1).alias("marked"))
+    return FR.by_priority(rows, "marked", "id", 20).select("id", "place")

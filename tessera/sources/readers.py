@@ -114,3 +114,14 @@ def resumable(rows: DataFrame, done: str) -> DataFrame:
     return rows.filter(F.col(done).isNull())
 
 
+def settings(text: str | None, environment: dict[str, str], names: list[str], required: tuple[str, ...] = ()) -> dict[str, str | None]:
+    """Named settings: the environment's value, else that of the last NAME=value line of a text; quotes around values go.
+
+    Blank lines and those that begin with # say nothing. A required name without a value is an error.
+    """
+    lines = [x.strip().removeprefix("export ") for x in (text or "").splitlines()]
+    filed = {k.strip(): v.strip().strip("\"'") for k, eq, v in (x.partition("=") for x in lines if x and not x.startswith("#")) if eq}
+    out = {n: environment.get(n) or filed.get(n) for n in names}
+    if missing := [n for n in required if not out.get(n)]:
+        raise LookupError(f"not set: {', '.join(missing)}")
+    return out
