@@ -102,10 +102,10 @@ def margin(place, at, bias, weights, factors):
     squares, linear = np.zeros(len(at) - 1), np.zeros(len(at) - 1)
     if (full := np.flatnonzero(np.diff(at))).size:
         begin = at[full]
-        v = factors[place]
-        sums[full] = np.add.reduceat(v, begin, axis=0)
-        squares[full] = np.add.reduceat((v * v).sum(1), begin)
         linear[full] = np.add.reduceat(weights[place], begin)
+        squares[full] = np.add.reduceat((factors * factors).sum(1)[place], begin)
+        for f in range(factors.shape[1]):
+            sums[full, f] = np.add.reduceat(np.ascontiguousarray(factors[:, f])[place], begin)
     return bias + linear + 0.5 * ((sums * sums).sum(1) - squares), sums
 
 
@@ -148,6 +148,7 @@ def train(rows: list[np.ndarray], labels: np.ndarray, factors: int = FACTORS, ep
     w, v, bias = np.zeros(k), rng.normal(0, 0.001, (k, factors)), 0.0
     v[0] = 0
     gw, gv, gb = np.full(k, 1e-6), np.full((k, factors), 1e-6), 1e-6
+    here, number = np.zeros(k, bool), np.zeros(k, np.int64)
     positive = max(1, int(labels.sum()))
     weight = np.where(labels == 1, 0.5 * len(labels) / positive, 0.5 * len(labels) / max(1, len(labels) - positive))
     weight = np.minimum(weight, 20)
@@ -158,17 +159,21 @@ def train(rows: list[np.ndarray], labels: np.ndarray, factors: int = FACTORS, ep
             at = np.zeros(len(part) + 1, np.int64)
             np.cumsum([len(kept[i]) for i in part], out=at[1:])
             place = np.concatenate([kept[i] for i in part])
-            raw, sums = margin(place, at, bias, w, v)
+            # the batch's own slots, numbered in ascending order without a sort
+            here[place] = True
+            u = np.flatnonzero(here)
+            here[u] = False
+            number[u] = np.arange(len(u))
+            inv = number[place]
+            vu = v[u]
+            raw, sums = margin(inv, at, bias, w[u], vu)
             err = weight[part] * (1 / (1 + np.exp(-np.clip(raw, -40, 40))) - labels[part])
-            each = np.repeat(err, np.diff(at))
-            u, inv = np.unique(place, return_inverse=True)
-            dw = np.bincount(inv, each, len(u)) + 1e-4 * w[u]
-            row = np.repeat(np.arange(len(part)), np.diff(at))
-            pull = each[:, None] * (sums[row] - v[place])
-            dv = np.zeros((len(u), factors))
+            total = np.bincount(inv, np.repeat(err, np.diff(at)), len(u))
+            dw = total + 1e-4 * w[u]
+            # of a slot, the sum of err * (sums of the text - own factors) over its texts
+            dv = (1e-3 - total)[:, None] * vu
             for f in range(factors):
-                dv[:, f] = np.bincount(inv, pull[:, f], len(u))
-            dv += 1e-3 * v[u]
+                dv[:, f] += np.bincount(inv, np.repeat(err * sums[:, f], np.diff(at)), len(u))
             gw[u] += dw * dw
             gv[u] += dv * dv
             gb += err.sum() ** 2
