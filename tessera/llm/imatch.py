@@ -47,10 +47,6 @@ def terms(text):
     return F.array_distinct(F.split(F.lower(text), SPLIT))
 
 
-def own_terms(text):
-    return F.filter(terms(text), lambda t: t != "")
-
-
 def lexicon(docs: DataFrame, text_col: str, written: Written, low: float = LOW, high: float = HIGH) -> DataFrame:
     """Hashes (t) of the terms whose share of the distinct texts is from low to high."""
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -61,7 +57,7 @@ def lexicon(docs: DataFrame, text_col: str, written: Written, low: float = LOW,
         several = F.broadcast(several)
     # each of c copies counts for 1 / c
     each = docs.select(text.alias("text"), F.xxhash64(text).alias("k")).join(several, "k", "left").select("text", F.lit(1.0) / F.coalesce("copies", F.lit(1)))
-    each = each.toDF("text", "weight").select("weight", F.explode(own_terms(F.col("text"))).alias("term"))
+    each = each.toDF("text", "weight").select("weight", F.explode(terms(F.col("text"))).alias("term")).filter("term <> ''")
     counted = each.select(F.xxhash64("term").alias("t"), "weight").groupBy("t").agg(F.round(F.sum("weight"), 3).alias("df"))
     return written.save(counted.filter((F.col("df") >= max(2.0, low * n)) & (F.col("df") <= max(2.0, high * n))).select("t"), "imatch-lexicon")
 
@@ -69,15 +65,20 @@ def lexicon(docs: DataFrame, text_col: str, written: Written, low: float = LOW,
 def hashes(numbers, own):
     """The 64 subsets' hashes of a sorted array of distinct terms' hashes, null where a subset has none; of own where all are empty."""
 
-    def level(first: int, mask: int):
-        def of_class(c):
-            held = F.filter(numbers, lambda x: F.shiftright(x, first).bitwiseAND(mask) == c)
-            return F.when(F.size(held) > 0, F.xxhash64(held).bitwiseAND((1 << 31) - 1).cast("int"))
+    def level(first: int, bits: int):
+        # classes 0 to 15, by their two upper bits and then their two lower ones; each list is bound, so it is filtered once
+        def of_bits(values, mask: int, step: int):
+            cases = F.array(*[F.lit(c * step).cast("long") for c in range(4)])
+            return F.transform(cases, lambda c: F.filter(values, lambda x: x.bitwiseAND(mask) == c))
 
-        return F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), of_class)
+        other = ((1 << bits) - SUBSETS) << first
+        used = numbers if not other else F.filter(numbers, lambda x: x.bitwiseAND(other) == 0)
+        quarters = of_bits(used, 12 << first, 4 << first)
+        held = F.flatten(F.transform(quarters, lambda part: of_bits(part, 3 << first, 1 << first)))
+        return F.transform(held, lambda x: F.when(F.size(x) > 0, F.xxhash64(x).bitwiseAND((1 << 31) - 1).cast("int")))
 
     instead = F.transform(F.sequence(F.lit(0), F.lit(len(LEVELS) * SUBSETS - 1)), lambda c: F.xxhash64(own, c).bitwiseAND((1 << 31) - 1).cast("int"))
-    return F.when(F.size(numbers) == 0, instead).otherwise(F.concat(*[level(first, (1 << bits) - 1) for first, bits in LEVELS]))
+    return F.when(F.size(numbers) == 0, instead).otherwise(F.concat(*[level(first, bits) for first, bits in LEVELS]))
 
 
 def as_text(found):
@@ -94,11 +95,11 @@ def likeness(a, b):
 
 
 def cells(rows: DataFrame, written: Written) -> tuple[DataFrame, int]:
-    """The least id of each cell but the first, as one row of lists of so many ids."""
+    """The least id of each cell, as one row of lists of so many ids; each range of ids begins a cell."""
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ids = rows.select("id").filter("id is not null").repartitionByRange(parts, "id").select("id", F.spark_partition_id().alias("range"))
     place = F.row_number().over(Window.partitionBy("range").orderBy("id"))
-    bounds = written.save(ids.withColumn("place", place).filter(F.col("place") % CELL == 0).select("id").distinct(), "imatch-bounds")
+    bounds = written.save(ids.withColumn("place", place).filter((F.col("place") - 1) % CELL == 0).select("id").distinct(), "imatch-bounds")
     width = max(1, round(bounds.count() ** 0.5))
     all_ids = bounds.agg(F.array_sort(F.collect_list("id")).alias("all"))  # an id for CELL documents
     lists = F.transform(F.sequence(F.lit(0), F.ceil(F.size("all") / width).cast("int")), lambda k: F.slice("all", k * width + 1, width))
@@ -150,17 +151,20 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = rows.withColumn("edited", F.concat(F.substring("text", F.lit(1), F.length("text") - half), F.substring("next_text", F.lit(1), half)))
     both = F.array(F.struct(F.lit(0).alias("which"), F.col("text").alias("t")), F.struct(F.lit(1).alias("which"), F.col("edited").alias("t")))
     rows = rows.select("rid", "next_rid", "id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("sha"), F.explode(both).alias("b"))
-    exploded = rows.select("rid", "next_rid", "id", "n_chars", "sha", "b.which", F.explode(F.array_union(terms(F.col("b.t")), F.array(F.lit("")))).alias("term"), F.col("b.t").alias("whole"))
-    keyed = exploded.withColumn("t", F.when(F.col("term") == "", F.lit(0)).otherwise(F.xxhash64("term")))
-    # a text's own terms stand in one row, and for itself alone
-    keyed = keyed.withColumn("own", F.when(F.col("term") == "", F.xxhash64(F.array_sort(own_terms(F.col("whole")))))).drop("whole", "term")
+    # split once a text; what stands for the whole text goes with the empty term's row alone, so rows of terms stay short
+    rows = rows.select("rid", "next_rid", "id", "n_chars", "sha", "b.which", F.array_remove(terms(F.col("b.t")), "").alias("terms"))
+    rows = rows.select("rid", "which", "terms", F.struct("next_rid", "id", "n_chars", "sha", F.xxhash64(F.sort_array("terms")).alias("own")).alias("info"))
+    exploded = rows.select("rid", "which", "info", F.explode(F.array_append("terms", F.lit(""))).alias("term"))
+    of_text = F.when(F.col("term") == "", F.col("info"))
+    keyed = exploded.select("rid", "which", of_text.alias("info"), F.when(F.col("term") == "", F.lit(0)).otherwise(F.xxhash64("term")).alias("t"))
     held = keyed.join(F.broadcast(known) if small else known, "t")
+    first = lambda which, value: F.first(F.when(F.col("which") == which, value), ignorenulls=True)
     sets = held.groupBy("rid").agg(
-        F.first("next_rid").alias("next_rid"), F.first("id").alias("id"), F.first("n_chars").alias("n_chars"), F.first("sha").alias("sha"),
+        first(0, F.col("info")).alias("info"), first(1, F.col("info.own")).alias("own_b"),
         F.collect_set(F.when(F.col("which") == 0, F.col("number"))).alias("a"), F.collect_set(F.when(F.col("which") == 1, F.col("number"))).alias("b"),
-        F.max(F.when(F.col("which") == 0, F.col("own"))).alias("own_a"), F.max(F.when(F.col("which") == 1, F.col("own"))).alias("own_b"),
     )
-    sets = sets.withColumns({c: F.array_sort(c) for c in ("a", "b")})  # once, not for each subset
+    sets = sets.select("rid", "info.next_rid", "info.id", "info.n_chars", "info.sha", F.col("info.own").alias("own_a"), "own_b", "a", "b")
+    sets = sets.withColumns({c: F.sort_array(c) for c in ("a", "b")})  # once, not for each subset
     prints = written.save(sets.select("rid", "next_rid", "id", "n_chars", "sha", hashes(F.col("a"), F.col("own_a")).alias("a"), hashes(F.col("b"), F.col("own_b")).alias("b")), "imatch-prints")
     following = prints.select(F.col("rid").alias("n_rid"), F.col("a").alias("c"))
     out = prints.join(following, F.col("next_rid") == F.col("n_rid"))

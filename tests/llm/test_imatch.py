@@ -89,6 +89,20 @@ def test_ids_far_apart_and_of_other_types(spark, monkeypatch):
     assert sorted(map(tuple, got)) == sorted(brute(names, 0.05, 0.5))
 
 
+def test_ranges_of_fewer_ids_than_a_cell_are_cells(spark, monkeypatch):
+    monkeypatch.setattr(imatch, "CELL", 1000)
+    df = spark.range(2000).selectExpr("id as doc_id", "'one two' as text")
+    held = imatch.with_next(df, "doc_id", "text", imatch.Written(spark))
+    sizes = [r["count"] for r in held.groupBy((held.rid / 2**32).cast("long").alias("cell")).count().collect()]
+    assert len(sizes) >= 4 and max(sizes) <= 1000 and sum(sizes) == 2000
+
+
+def test_long_text_among_others(spark):
+    rows = [(0, " ".join(f"t{i}" for i in range(40000))), *[(i, f"one t{i} t{i + 1}") for i in range(1, 30)]]
+    got = imatch.fingerprint(spark.createDataFrame(rows, "doc_id long, text string"), low=0.05, high=0.5).collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows, 0.05, 0.5)
+
+
 def test_large_groups_of_copies_keep_their_terms(spark):
     """Two groups of copies with no term in common; the frequency of their terms counts distinct texts."""
     rows = [(i, "alpha beta gamma" if i % 3 else "delta epsilon zeta") for i in range(60)]
