@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import bpe, imatch, jaccard_join, licenses, oracles, packing, quality, suffix_dedup, toxicity, url_filter, warc
+from tessera.llm import bpe, imatch, jaccard_join, licenses, oracles, packing, quality, spelling, suffix_dedup, toxicity, url_filter, warc
 
 QUERIES = {
     "op1_bpe": bpe.op1_bpe,
@@ -15,5 +15,6 @@ QUERIES = {
     "op8_licenses": licenses.op8_licenses,
     "op9_warc": warc.op9_warc,
     "op10_url_filter": url_filter.op10_url_filter,
+    "op11_spelling": spelling.op11_spelling,
 }
 ORACLE_SQL = oracles.ORACLE_SQL

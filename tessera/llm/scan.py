@@ -144,3 +144,12 @@ def shingles(w: Words, size: int, whole_if_short: bool = True) -> tuple[np.ndarr
         order = np.argsort(row, kind="stable")
         h, row = h[order], row[order]
     return h, np.searchsorted(row, np.arange(w.n + 1)).astype(np.int64)
+
+
+def gathered(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.StringArray:
+    """The bytes [start, end) of each word as one string array."""
+    n = end - start
+    at = np.zeros(len(n) + 1, np.int64)
+    np.cumsum(n, out=at[1:])
+    taken = data[np.repeat(start - at[:-1], n) + np.arange(at[-1])]
+    return pa.StringArray.from_buffers(len(n), pa.py_buffer(at.astype(np.int32)), pa.py_buffer(taken))
