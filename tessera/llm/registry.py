@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import bpe, collocations, imatch, jaccard_join, licenses, oracles, packing, quality, spelling, suffix_dedup, toxicity, url_filter, warc
+from tessera.llm import bpe, collocations, imatch, jaccard_join, licenses, main_text, oracles, packing, quality, spelling, suffix_dedup, toxicity, url_filter, warc
 
 QUERIES = {
     "op1_bpe": bpe.op1_bpe,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_warc": warc.op9_warc,
     "op10_url_filter": url_filter.op10_url_filter,
     "op11_spelling": spelling.op11_spelling,
+    "op12_main_text": main_text.op12_main_text,
     "op13_collocations": collocations.op13_collocations,
 }
 ORACLE_SQL = oracles.ORACLE_SQL | {"op13_collocations": collocations.ORACLE_SQL}
