@@ -35,7 +35,7 @@ TOP = 2000
 #: Bits of a bitmap of frequent keys (8 MB).
 BITS = 1 << 26
 #: Words of a shard, unless one text has more.
-SHARD_WORDS = 1 << 21
+SHARD_WORDS = 1 << 19
 #: Language of rows without one.
 UNKNOWN = "und"
 
