@@ -33,6 +33,10 @@ HANDOUT, MARKS, MARK_REACH = 500, 3, 5
 #: minimum n-gram count, minimum cluster count, clusters kept, of each round
 ROUNDS = [(3, 5, 300), (2, 3, 400), (2, 2, 500)]
 ENOUGH_TERMS = 100
+#: Characters of a context on each side; the kind of candidates that the dictionary anchors; what is suggested for these, and for others.
+CONTEXT = 22
+ANCHORED = "锚定"
+SUGGEST = ("建议采纳(与词典术语同音异形)", "建议 LLM 裁决")
 
 #: How speakers give their names, in the order they are tried; words that are no names; what a name never follows.
 INTRODUCTIONS = [

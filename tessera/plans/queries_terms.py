@@ -45,23 +45,25 @@ def sound(column: str) -> str:
     return f"array_to_string(list_transform(string_split({column}, ''), lambda c: coalesce(snd[c], '')), ' ')"
 
 
-@query(
-    f"""WITH {STATS_SQL}, {TERMS_SQL}, sm AS (SELECT {SOUND_MAP} AS snd), f AS (SELECT gram, n, courses, {sound("gram")} AS key FROM stats, sm WHERE n >= 3 AND gram NOT IN (SELECT gram FROM names)),
-    c AS (SELECT canonical, ord, {sound("canonical")} AS key FROM terms, sm), p AS (SELECT canonical AS a, gram AS b, n, courses, row_number() OVER (PARTITION BY gram ORDER BY ord) AS i FROM f JOIN c ON f.key = c.key AND length(gram) = length(canonical) WHERE NOT (canonical = 'the' AND gram = 'tha'))
-    SELECT a, b, n, courses FROM p WHERE i = 1"""
-)
+#: anchored (a, b, n, courses), clustered (a, b, ca, cb, na, nb, score), and both as candidates (kind, a, b, na).
+CANDIDATES_SQL = f"""
+  sm AS (SELECT {SOUND_MAP} AS snd), f AS (SELECT gram, n, courses, {sound("gram")} AS key FROM stats, sm WHERE n >= 3 AND gram NOT IN (SELECT gram FROM names)),
+  c AS (SELECT canonical, ord, {sound("canonical")} AS key FROM terms, sm),
+  anchored AS (SELECT a, b, n, courses FROM (SELECT canonical AS a, gram AS b, n, courses, row_number() OVER (PARTITION BY gram ORDER BY ord) AS i FROM f JOIN c ON f.key = c.key AND length(gram) = length(canonical) WHERE NOT (canonical = 'the' AND gram = 'tha')) WHERE i = 1),
+  k AS (SELECT gram, n, courses, {sound("gram")} AS key FROM stats, sm WHERE n >= 5), r AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY n DESC, gram) AS rk FROM k), t AS (SELECT r.*, canonical IS NOT NULL AS canon FROM r LEFT JOIN terms ON gram = canonical WHERE rk <= 6),
+  p AS (SELECT x.gram AS a, y.gram AS b, x.key, x.n AS ca, y.n AS cb, x.courses AS na, y.courses AS nb, least(x.n, y.n) AS score, x.rk AS i, y.rk AS j FROM t x JOIN t y ON x.key = y.key AND x.rk < y.rk WHERE NOT (x.canon AND y.canon)),
+  clustered AS (SELECT a, b, ca, cb, na, nb, score FROM p WHERE (a, b) NOT IN (('er', 'ir'), ('ir', 'er')) ORDER BY score DESC, key, i, j LIMIT 300),
+  candidates AS (SELECT '锚定' AS kind, a, b, NULL AS na FROM anchored UNION ALL SELECT '聚类', a, b, na FROM clustered)"""
+
+
+@query(f"WITH {STATS_SQL}, {TERMS_SQL}, {CANDIDATES_SQL} SELECT a, b, n, courses FROM anchored")
 def anchored_terms(spark, sf_dir):
     """Grams that sound like a dictionary term of their length."""
     known = spark.createDataFrame([("the", "tha")], "a string, b string")
     return M.anchored(stats(spark, sf_dir), dictionary(spark), known, SOUNDS, 3).drop("key")
 
 
-@query(
-    f"""WITH {STATS_SQL}, {TERMS_SQL}, sm AS (SELECT {SOUND_MAP} AS snd), k AS (SELECT gram, n, courses, {sound("gram")} AS key FROM stats, sm WHERE n >= 5),
-    r AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY n DESC, gram) AS rk FROM k), t AS (SELECT r.*, canonical IS NOT NULL AS canon FROM r LEFT JOIN terms ON gram = canonical WHERE rk <= 6),
-    p AS (SELECT x.gram AS a, y.gram AS b, x.key, x.n AS ca, y.n AS cb, x.courses AS na, y.courses AS nb, least(x.n, y.n) AS score, x.rk AS i, y.rk AS j FROM t x JOIN t y ON x.key = y.key AND x.rk < y.rk WHERE NOT (x.canon AND y.canon))
-    SELECT a, b, ca, cb, na, nb, score FROM p WHERE (a, b) NOT IN (('er', 'ir'), ('ir', 'er')) ORDER BY score DESC, key, i, j LIMIT 300"""
-)
+@query(f"WITH {STATS_SQL}, {TERMS_SQL}, {CANDIDATES_SQL} SELECT a, b, ca, cb, na, nb, score FROM clustered")
 def clustered_terms(spark, sf_dir):
     """Pairs of frequent grams that sound alike, the best 300."""
     known = spark.createDataFrame([("er", "ir")], "a string, b string")
@@ -133,16 +135,6 @@ def canonical_migration(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.md5(text.cast("binary")).alias("h"), F.contains("text", F.lit("ß")).alias("had"))
 
 
-@query(
-    r"""WITH h AS (SELECT doc_id, unnest(regexp_extract_all(text, 'the[a-z]*|and[a-z]*')) AS w FROM documents) SELECT doc_id, CASE w WHEN 'the' THEN 'THE' ELSE 'AND' END AS canonical, count(*) AS n FROM h WHERE w IN ('the', 'and') GROUP BY ALL"""
-)
-def replacement_counts(spark, sf_dir):
-    """Hits of a dictionary whose longer canonicals protect the variants inside them."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit("(the[a-z]*|and[a-z]*)"), 1)).alias("text"))
-    done = M.cleaned(docs.withColumn("text", F.when(F.col("text").isin("the", "and"), F.col("text")).otherwise("x")), [("THE", ["the"]), ("AND", ["and"])])
-    return M.hit_counts(done, "doc_id").select("doc_id", "canonical", F.col("n").cast("long").alias("n"))
-
-
 @query(r"""WITH f AS (SELECT doc_id, unnest(regexp_extract_all(text, '\d+\.\d+')) AS fragment FROM documents) SELECT doc_id, 'decimal' AS unit, fragment, count(*) AS n FROM f GROUP BY ALL""")
 def number_fragments(spark, sf_dir):
     """Number fragments of all documents with their places."""

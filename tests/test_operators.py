@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tessera.functions import text as X
 from tessera.functions import vectors
 from tessera.functions import vocabulary as V
-from tessera.operators import cards, frames, ledger, quiz, reconcile, relational, retrieval, terms
+from tessera.operators import cards, frames, ledger, quiz, reconcile, relational, replacement, retrieval, terms
 from tessera.plans import checks, providers, run
 from tessera.sources import readers, schemas, sinks
 
@@ -119,10 +119,11 @@ def test_similar_pairs_like_brute_force(spark):
 
 def test_guarded_replacement(spark):
     rules = [("合学", ["和学", "核学"]), ("咬合平面", []), ("颌平面", ["合平面"]), ("Ⅱ类", ["二类"])]
-    f = terms.replacer(rules, {"和学": ("究", "")}, ("^[一二三]类$", "偏氏", "骨高"))
+    f = replacement.replacer(spark, rules, {"和学": ("究", "")}, replacement.ClassRule("^[一二三]类$", "偏氏", "骨高"))
     got = lambda t: one(spark, f(F.col("t")), t=t)
     r = got("和学研究和学,咬合平面与合平面")
     assert r.text == "合学研究和学,咬合平面与颌平面" and {h.canonical: h.n for h in r.hits} == {"合学": 1, "颌平面": 1}
+    assert [(h.canonical, h.n) for h in r.skipped] == [("合学", 1)] and [(h.canonical, h.n) for h in got("第二类问题").skipped] == [("Ⅱ类", 1)]
     assert got("第二类问题").text == "第二类问题" and got("安氏二类").text == "安氏Ⅱ类" and got("二类的骨型").text == "Ⅱ类的骨型"
     again = got(r.text)
     assert again.text == r.text and not again.hits
@@ -130,8 +131,10 @@ def test_guarded_replacement(spark):
 
 def test_fixes(spark):
     text = "疗程 3个月,距离 13个月,牙弓宽度3个月"
-    assert terms.best_hit(text, "3个月", "…牙弓宽度3个月…") == text.rindex("3个月")
-    assert terms.best_hit("共13个月", "3个月", "") is None and terms.best_hit("无", "3个月", "") is None
+    at = lambda t, f, x: one(spark, terms.best_place(F.col("t"), F.col("f"), F.col("x")), t=t, f=f, x=x)
+    assert at(text, "3个月", "…牙弓宽度3个月…") == text.rindex("3个月")
+    assert at("共13个月", "3个月", "") is None and at("无", "3个月", "") is None and at("abc", "", "") is None
+    assert at("3个月,3个月", "3个月", "") == 0 and at("a\\Eb a\\Eb", "\\Eb", "zz") == 1
     df = spark.createDataFrame([(text, "3个月", "3毫米", "…牙弓宽度3个月…")], "t string, f string, c string, x string")
     r = terms.fragment_fixes(df, "t", "f", "c", "x").first()
     assert r.fixed and r.t.endswith("牙弓宽度3毫米")
