@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import vocabulary as V
-from tessera.functions.text import blank, char_grams, gram_list
+from tessera.functions.text import blank, gram_list
 from tessera.functions.vectors import dot, unit
+from tessera.operators.quotes import quote_places, solid
 from tessera.operators.relational import small, stored, top_per_group
 
 
@@ -114,17 +119,61 @@ def bm25_scores(post: DataFrame, queries: DataFrame, id_col: str, query_id: str,
     return hit.groupBy(*scope, query_id, id_col).agg(F.round(F.sum(part), 6).alias("score"))
 
 
+#: Terms up to which a reading of the corpus keeps the asked ones alone; more are dealt out in full and joined.
+ASKED_TERMS = 1_000_000
+
+
+def asked_terms(docs: DataFrame, terms: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id_col, dl, term, tf of the character pairs of each text that are asked for, and one row without a term for each text.
+
+    Pairs are counted as numbers, a batch of texts at a time.
+    """
+    asked = [r[0] for r in terms.limit(ASKED_TERMS + 1).toLocalIterator()]
+    every = len(asked) > ASKED_TERMS
+    number = lambda t: ord(t[0]) << 21 | (ord(t[1]) + 1 if len(t) > 1 else 0)
+    wanted = np.unique(np.array([0] if every else [number(t) for t in asked if t], np.int64))
+    # a text of one character is that one term, an empty one the empty term
+    empty = every or "" in asked
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lengths, keys, rows = [], [], []
+            for k, text in enumerate(batch.column(1).to_pylist()):
+                _, codes, _ = solid(text or "", squeeze=True)
+                codes = codes.astype(np.int64)
+                pairs = codes[:-1] << 21 | codes[1:] + 1 if len(codes) > 1 else codes << 21
+                lengths.append(max(1, len(pairs)))
+                if not every:
+                    pairs = pairs[np.isin(pairs, wanted, kind="sort")]
+                keys.append(pairs)
+                rows.append(np.full(len(pairs), k))
+            keys, rows = np.concatenate(keys), np.concatenate(rows)
+            order = np.lexsort((keys, rows))
+            keys, rows = keys[order], rows[order]
+            first = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (rows[1:] != rows[:-1]))) if len(keys) else np.zeros(0, np.int64)
+            tf = np.diff(np.append(first, len(keys)))
+            own, row = keys[first], rows[first]
+            names = [chr(v >> 21) + (chr((v & 0x1FFFFF) - 1) if v & 0x1FFFFF else "") for v in own.tolist()]
+            bare = [k for k, n in enumerate(batch.column(1).to_pylist()) if empty and not solid(n or "", squeeze=True)[0]]
+            places = np.concatenate([np.arange(len(lengths)), row, np.array(bare, np.int64)]).astype(np.int64)
+            lengths = np.array(lengths, np.int32)[places]
+            told = pa.array([None] * batch.num_rows + names + [""] * len(bare), pa.string())
+            counts = pa.array(np.concatenate([np.zeros(batch.num_rows), tf, np.ones(len(bare))]).astype(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(places)), pa.array(lengths), told, counts], names=[id_col, "dl", "term", "tf"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return docs.select(id_col, text_col).mapInArrow(count, f"`{id_col}` {kind}, dl int, term string, tf long")
+
+
 def bm25_search(docs: DataFrame, queries: DataFrame, id_col: str, text_col: str, query_id: str, query_text: str, k1: float = V.BM25[0], b: float = V.BM25[1]) -> DataFrame:
     """query_id, id_col, score as bm25_scores gives, for a stated set of queries over a whole corpus.
 
-    Only the queries' own terms are counted and dealt out, in one pass over the corpus; lengths come from
-    the texts in another.
+    Only the queries' own terms are counted and dealt out, in one reading of the corpus that gives the lengths too.
     """
-    grams = docs.select(id_col, gram_list(F.coalesce(F.col(text_col), F.lit(""))).alias("g"))
-    total = grams.agg(F.avg(F.size("g")).alias("avgdl"), F.count("*").alias("n"))  # one row
     asked = stored(queries.select(query_id, F.explode(F.array_distinct(gram_list(F.col(query_text)))).alias("term")))
-    rows = grams.select(id_col, F.size("g").alias("dl"), F.explode("g").alias("term")).join(small(asked.select("term").distinct()), "term", "left_semi")
-    hits = stored(rows.groupBy(id_col, "dl", "term").agg(F.count("*").alias("tf")))
+    rows = stored(asked_terms(docs, asked.select("term").distinct(), id_col, text_col))
+    total = rows.filter("term is null").agg(F.avg("dl").alias("avgdl"), F.count("*").alias("n"))  # one row
+    hits = rows.filter("term is not null")
     terms = stored(asked.join(hits.groupBy("term").agg(F.count("*").alias("df")), "term").join(F.broadcast(total)))
     idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     part = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
@@ -159,26 +208,18 @@ def hybrid_scores(one: DataFrame, two: DataFrame, query_id: str, id_col: str, sc
 
 
 def truth(chunks: DataFrame, queries: DataFrame, id_col: str, text_col: str, query_id: str, quote: str, scope: list[str] | None = None, length: int = 60) -> DataFrame:
-    """query_id, id_col: the first chunk that holds the first characters of the quote.
+    """scope, query_id, id_col: the first chunk that holds the first characters of the quote, by the index of quotes' places.
 
-    A chunk that holds them holds their first eight (or all, of shorter quotes), so chunks are found by
-    these among their own runs of characters before the exact test; only then are texts fetched. A quote
-    of no characters is in every chunk.
+    A quote of no characters is in every chunk.
     """
-    scope, probe = scope or [], 8
+    scope = scope or []
     head = F.substr(F.col(quote), F.lit(1), F.lit(length))
-    asked = stored(queries.filter(F.col(quote).isNotNull()).select(*scope, query_id, head.alias("_head"), F.substr(head, F.lit(1), F.lit(probe)).alias("_probe")))
-    sizes = sorted(r[0] for r in asked.select(F.length("_probe")).distinct().collect())  # at most nine lengths
+    asked = stored(queries.filter(F.col(quote).isNotNull()).select(*scope, query_id, head.alias("_head")))
     least = F.min(id_col).alias(id_col)
-    out = asked.filter("_probe = ''").select(*scope, query_id)
-    out = out.join(chunks.groupBy(*scope).agg(least), scope) if scope else out.join(F.broadcast(chunks.agg(least)))
-    for size in filter(None, sizes):
-        own = asked.filter(F.length("_probe") == size)
-        heads = small(own.select(*scope, "_probe").distinct())
-        met = chunks.select(*scope, id_col, F.explode(char_grams(F.col(text_col), size)).alias("_probe")).join(heads, [*scope, "_probe"], "left_semi").distinct()
-        pairs = met.join(small(own), [*scope, "_probe"]).join(chunks.select(*scope, id_col, text_col), [*scope, id_col])
-        out = out.unionByName(pairs.filter(F.contains(F.col(text_col), F.col("_head"))).groupBy(*scope, query_id).agg(least).select(*scope, query_id, id_col))
-    return out
+    empty = asked.filter("_head = ''").select(*scope, query_id)
+    empty = empty.join(chunks.groupBy(*scope).agg(least), scope) if scope else empty.join(F.broadcast(chunks.agg(least)))  # one row
+    found = quote_places(asked, chunks, query_id, "_head", id_col, text_col, on=scope, squeeze=False)
+    return found.groupBy(*scope, query_id).agg(least).unionByName(empty)
 
 
 def recall(queries: DataFrame, top: DataFrame, true: DataFrame, query_id: str, id_col: str, keys: list[str]) -> DataFrame:

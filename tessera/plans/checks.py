@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import overlapping, squeeze
+from tessera.operators.quotes import quote_places
 from tessera.operators.relational import stable_sample
 
 
@@ -49,8 +50,8 @@ def unguarded(texts: DataFrame, id_col: str, text_col: str, variant: str, before
 def lost_quotes(cards: DataFrame, texts: DataFrame, key: str = "course_id", sample: int | None = None) -> DataFrame:
     """Cards (a stable sample of each course if asked) whose quote is not in their course's text."""
     rows = stable_sample(cards, [key], ["card_id"], sample) if sample else cards
-    joined = rows.join(texts.select(key, F.col("text").alias("_t")), key, "left")
-    return joined.filter(~F.coalesce(F.contains(squeeze(F.col("_t")), squeeze(F.col("quote"))), F.lit(False))).select(key, "card_id")
+    asked = rows.filter(F.coalesce(squeeze(F.col("quote")) != "", F.lit(True))).select(key, "card_id", "quote")
+    return asked.join(quote_places(asked, texts, "card_id", "quote", key, "text", on=[key]), [key, "card_id"], "left_anti").select(key, "card_id")
 
 
 def uncovered(wanted: DataFrame, got: DataFrame, key: str) -> DataFrame:

@@ -9,6 +9,7 @@ from tessera.functions import vectors
 from tessera.operators import cards as C
 from tessera.operators import frames as FR
 from tessera.operators import quiz as Q
+from tessera.operators import quotes
 from tessera.operators import relational as R
 from tessera.operators import retrieval as T
 from tessera.plans.catalogue import query
@@ -133,6 +134,23 @@ def quote_truth(spark, sf_dir):
     return T.truth(chunk_table(spark, sf_dir), bench_queries(spark, sf_dir), "chunk_id", "text", "item_id", "quote")
 
 
+#: White space as the engine's patterns have it.
+SPACE = r"[\s\x0B\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+#: Places of squeezed quotes: texts are split by them; solid lists the places of the characters that count.
+PLACES_SQL = rf"""
+  sq AS (SELECT item_id, regexp_replace(text, '{SPACE}+', '', 'g') AS q FROM benchmark), sd AS (SELECT doc_id, text, regexp_replace(text, '{SPACE}+', '', 'g') AS t FROM documents),
+  met AS (SELECT item_id, doc_id, q, text, string_split(t, q) AS parts FROM sq JOIN sd ON q <> '' AND contains(t, q)),
+  begun AS (SELECT item_id, doc_id, q, text, list_sum(list_transform(parts[:k], lambda p: length(p))) + (k - 1) * length(q) AS b FROM (SELECT *, unnest(generate_series(1, len(parts) - 1)) AS k FROM met)),
+  solids AS (SELECT doc_id, list_filter(generate_series(1, length(text)), lambda i: NOT regexp_matches(c[i], '{SPACE}')) AS solid FROM (SELECT DISTINCT doc_id, text, string_split(text, '') AS c FROM met)),
+  places AS (SELECT item_id, doc_id, CAST(solid[CAST(b AS BIGINT) + 1] - 1 AS BIGINT) AS "start", CAST(solid[CAST(b AS BIGINT) + length(q)] AS BIGINT) AS "end" FROM begun JOIN solids USING (doc_id))"""
+
+
+@query(f"WITH {PLACES_SQL} SELECT * FROM places")
+def quote_places(spark, sf_dir):
+    """All places of whole benchmark texts in whole documents, white space aside."""
+    return quotes.quote_places(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"), "item_id", "text", "doc_id", "text")
+
+
 @query(
     f"""WITH {CHUNKS_SQL}, {BM25_SQL}, {TRUE_SQL},
     hits AS (SELECT b.item_id, t.chunk_id IS NOT NULL AS known, bool_or(coalesce(x.chunk_id = t.chunk_id, false)) AS hit

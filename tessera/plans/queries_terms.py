@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from tessera.functions import text as X
 from tessera.operators import frames as FR
 from tessera.operators import terms as M
+from tessera.operators.relational import small
 from tessera.plans import checks
 from tessera.plans.catalogue import query
-from tessera.plans.queries_retrieval import turns
+from tessera.plans.queries_retrieval import SPACE, turns
 from tessera.session import table
 
 LATIN = "[a-z]{2,}"
@@ -208,12 +209,12 @@ def uncovered_keys(spark, sf_dir):
 
 
 @query(
-    r"""SELECT d.doc_id AS course_id, CAST(b.item_id AS VARCHAR) AS card_id FROM documents d JOIN benchmark b ON d.doc_id % (SELECT count(*) FROM benchmark) = b.item_id WHERE NOT contains(regexp_replace(d.text, '\s+', '', 'g'), regexp_replace(substr(b.text, 1, 30), '\s+', '', 'g'))"""
+    rf"""SELECT d.doc_id AS course_id, CAST(b.item_id AS VARCHAR) AS card_id FROM documents d JOIN benchmark b ON d.doc_id % (SELECT count(*) FROM benchmark) = b.item_id WHERE NOT contains(regexp_replace(d.text, '{SPACE}+', '', 'g'), regexp_replace(b.text, '{SPACE}+', '', 'g'))"""
 )
 def lost_quotes(spark, sf_dir):
-    """Cards whose quote is not in their course."""
+    """Cards whose whole quote is not in their course: each document is asked for one benchmark text."""
     docs, b = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    cards = docs.select("doc_id").join(F.broadcast(b), F.col("doc_id") % b.count() == F.col("item_id")).select(F.col("doc_id").alias("course_id"), F.col("item_id").cast("string").alias("card_id"), F.substring("text", 1, 30).alias("quote"))
+    cards = docs.select("doc_id").join(small(b), F.col("doc_id") % b.count() == F.col("item_id")).select(F.col("doc_id").alias("course_id"), F.col("item_id").cast("string").alias("card_id"), F.col("text").alias("quote"))
     return checks.lost_quotes(cards, docs.select(F.col("doc_id").alias("course_id"), "text"))
 
 
