@@ -1,12 +1,13 @@
 """Phrase collocations: frequent phrases of two to five words, scored by how much they exceed chance.
 
-Counting takes three readings of the texts, the first two of which only tell what the third may leave out:
+Counting takes four readings of the texts, the first three of which only tell what the last may leave out:
 
 1. Words are counted by the hash of language and word. Those that occur ``least`` times or more are marked in a bitmap.
-2. Pairs of marked neighbours are counted by hash, and frequent ones marked likewise. A bitmap has a fixed size
-   (``BITS``), whatever the input; a hash that two things share can only let in more, as the third reading counts exactly.
+2. Pairs of marked neighbours are counted by hash, then triples whose pairs are marked; frequent ones are marked
+   likewise. A bitmap has a fixed size (``BITS``), whatever the input; a hash that two things share can only let in more, as
+   the last reading counts exactly.
 3. Each task cuts its texts into shards of marked words, and sorts a shard's suffixes by numpy prefix doubling over word ids
-   (ranks of 1, 2, 4, 8 words). Suffixes end where a pair is not marked, so no frequent phrase is
+   (ranks of 1, 2, 4, 8 words). Suffixes end where a pair or triple is not marked, so no frequent phrase is
    cut. Neighbours' common prefixes (LCP) part the suffix array into intervals; an interval of
    n common words is one n-gram with its count in the shard. Shards are merged by (language, phrase) text.
 
@@ -34,6 +35,8 @@ LEAST = 100
 TOP = 2000
 #: Bits of a bitmap of frequent keys (8 MB).
 BITS = 1 << 26
+#: Runs of 1 to so many words are counted by hash before phrases are.
+LEVELS = 3
 #: Words of a shard, unless one text has more.
 SHARD_WORDS = 1 << 19
 #: Language of rows without one.
@@ -63,11 +66,6 @@ def words_of(batches):
             yield names, lang, scan.mix(w.hash * scan.ODD + salt[lang], 43), on, scan._LOWER[w.data], w.start, w.end
 
 
-def pairs(key: np.ndarray) -> np.ndarray:
-    """Key of each word with the next."""
-    return scan.mix(key[:-1] * scan.ODD + key[1:], 47)
-
-
 def keyed(keys: np.ndarray) -> tuple[pa.Array, pa.Array]:
     found, n = np.unique(keys, return_counts=True)
     return pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))
@@ -88,6 +86,22 @@ def marked(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
     return (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
 
 
+def runs(key: np.ndarray, on: np.ndarray, bits: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """What bitmaps of runs of 1, 2, ... words tell of a slice.
+
+    For each of these lengths a mask of the places where a marked run begins; then the mask of the runs that are one word longer
+    and consist of marked ones, and their keys.
+    """
+    valid, may, keys = [], np.ones(len(key), bool), key
+    for n, own in enumerate(bits, 2):
+        now = np.zeros(len(key), bool)
+        now[: len(keys)] = may & marked(own, keys)
+        valid.append(now)
+        keys = scan.mix(keys[:-1] * scan.ODD + key[n - 1 :], 45 + n)
+        may = (now[:-1] & now[1:] & on[1:])[: len(keys)]
+    return valid, may, keys
+
+
 def suffix_array(ids: np.ndarray, reach: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes of at most `most` words in order, and the words that each has in common with the one before it.
 
@@ -109,12 +123,17 @@ def suffix_array(ids: np.ndarray, reach: np.ndarray, most: int) -> tuple[np.ndar
     return order, common
 
 
-def shard(names, lang, key, on, data, start, end, most: int):
-    """(lang, words, phrase, n) of one shard of marked words; on tells which words are linked to the one before."""
+def reaches(known: np.ndarray, levels: int, most: int) -> np.ndarray:
+    """Words, `most` at most, that may be read on from each place: known tells it up to `levels`, where longer runs go on."""
+    reach = known.copy()
+    for _ in range(levels, most):
+        reach[:-1] = np.where(known[:-1] == levels, np.minimum(reach[1:] + 1, most), known[:-1])
+    return reach
+
+
+def shard(names, lang, key, reach, data, start, end, most: int):
+    """(lang, words, phrase, n) of one shard of marked words, of which reach may be read on from each."""
     size = len(key)
-    reach = np.ones(size, np.int64)
-    for _ in range(most - 1):
-        reach[:-1] = np.where(on[1:], np.minimum(reach[1:] + 1, most), 1)
     _, ids = np.unique(key, return_inverse=True)
     _, first, n = np.unique(ids, return_index=True, return_counts=True)
     found = [(1, first, n)]
@@ -131,22 +150,22 @@ def shard(names, lang, key, on, data, start, end, most: int):
             yield pa.RecordBatch.from_arrays(columns, names=["lang", "words", "phrase", "n"])
 
 
-def phrase_counts(texts: DataFrame, word_bits: np.ndarray, pair_bits: np.ndarray, most: int, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """(lang, words, phrase, f): all phrases of marked pairs, merged over shards."""
-    shared = texts.sparkSession.sparkContext.broadcast((word_bits, pair_bits))
+def phrase_counts(texts: DataFrame, bits: list[np.ndarray], most: int, shard_words: int = SHARD_WORDS) -> DataFrame:
+    """(lang, words, phrase, f): all phrases of up to `most` words that consist of marked runs, merged over shards."""
+    shared, bits = texts.sparkSession.sparkContext.broadcast(bits[:most]), None
 
     def count(batches):
-        word_bits, pair_bits = shared.value
+        bits = shared.value
         names, parts, held = [], [], 0
 
         def done():
-            lang, key, on, data, start, end = (np.concatenate(x) for x in zip(*parts))
-            yield from shard(pa.array(names, pa.string()), lang, key, on, data, start, end, most)
+            lang, key, known, data, start, end = (np.concatenate(x) for x in zip(*parts))
+            yield from shard(pa.array(names, pa.string()), lang, key, reaches(known, len(bits), most), data, start, end, most)
 
         at = 0
         for found, lang, key, on, data, start, end in words_of(batches):
-            ok = marked(word_bits, key)
-            on[1:] &= ok[1:] & ok[:-1] & marked(pair_bits, pairs(key))
+            valid, _, _ = runs(key, on, bits)
+            ok, known = valid[0], np.sum(valid, axis=0)
             numbers = {name: k for k, name in enumerate(names)}
             for name in found.to_pylist():
                 if name not in numbers:
@@ -160,7 +179,7 @@ def phrase_counts(texts: DataFrame, word_bits: np.ndarray, pair_bits: np.ndarray
             padded = np.append(data, np.uint8(0x20))
             taken = padded[np.repeat(s - fresh[:-1], n) + np.arange(fresh[-1])]
             taken[fresh[1:] - 1] = 0x20
-            parts.append((code[lang[ok]], key[ok], on[ok], taken, at + fresh[:-1], at + fresh[1:] - 1))
+            parts.append((code[lang[ok]], key[ok], known[ok], taken, at + fresh[:-1], at + fresh[1:] - 1))
             at, held = at + int(fresh[-1]), held + len(s)
             if held >= shard_words:
                 yield from done()
@@ -185,18 +204,19 @@ def frequent_phrases(docs: DataFrame, written: Written, least: int = LEAST, most
 
     words = texts.mapInArrow(count_words, "key long, lang string, n long").groupBy("key", "lang").agg(F.sum("n").alias("n"))
     words = written.save(words.filter(F.col("key").isNull() | (F.col("n") >= least)), "words")
-    word_bits = bitmap(words.filter("key is not null"))
-    shared = texts.sparkSession.sparkContext.broadcast(word_bits)
-
-    def count_pairs(batches):
-        bits = shared.value
-        for _, _, key, on, *_ in words_of(batches):
-            ok = marked(bits, key)
-            keys, n = keyed(pairs(key)[on[1:] & ok[1:] & ok[:-1]])
-            yield pa.RecordBatch.from_arrays([keys, n], names=["key", "n"])
-
-    pair_keys = texts.mapInArrow(count_pairs, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    found = phrase_counts(texts, word_bits, bitmap(pair_keys), most, shard_words).filter(F.col("f") >= least)
+    bits = [bitmap(words.filter("key is not null"))]
+    for _ in range(min(LEVELS, most) - 1):
+        shared = texts.sparkSession.sparkContext.broadcast(bits)
+
+        def count_runs(batches, shared=shared):
+            for _, _, key, on, *_ in words_of(batches):
+                _, may, keys = runs(key, on, shared.value)
+                keys, n = keyed(keys[may])
+                yield pa.RecordBatch.from_arrays([keys, n], names=["key", "n"])
+
+        found = texts.mapInArrow(count_runs, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+        bits = [*bits, bitmap(found.filter(F.col("n") >= least))]
+    found = phrase_counts(texts, bits, most, shard_words).filter(F.col("f") >= least)
     return written.save(found, "phrases"), words.filter("key is null").select("lang", "n")
 
 

@@ -63,7 +63,7 @@ def test_bits_that_let_all_in_change_nothing(spark):
     rows = some_rows(9, 40)
     texts = spark.createDataFrame(rows, "lang string, text string").selectExpr("coalesce(lang, 'und') as lang", "coalesce(text, '') as text")
     full = np.full(collocations.BITS // 64, 2**64 - 1, np.uint64)
-    every = {(r.lang, r.phrase): r.f for r in collocations.phrase_counts(texts, full, full, 5).collect()}
+    every = {(r.lang, r.phrase): r.f for r in collocations.phrase_counts(texts, [full, full], 5).collect()}
     phrases, _ = collocations.frequent_phrases(texts, Written(spark), least=4)
     assert {(r.lang, r.phrase): r.f for r in phrases.collect()} == {k: n for k, n in every.items() if n >= 4}
 
