@@ -39,6 +39,8 @@ BITS = 1 << 26
 LEVELS = 3
 #: Words of a shard, unless one text has more.
 SHARD_WORDS = 1 << 19
+#: Different phrases up to which a task adds up its shards' counts.
+MERGED_ROWS = 400_000
 #: Language of rows without one.
 UNKNOWN = "und"
 
@@ -150,6 +152,31 @@ def shard(names, lang, key, reach, data, start, end, most: int):
             yield pa.RecordBatch.from_arrays(columns, names=["lang", "words", "phrase", "n"])
 
 
+class Merged:
+    """Counts of a task's shards, added up until they are more than MERGED_ROWS different phrases."""
+
+    def __init__(self):
+        self.held, self.n = [], 0
+
+    def add(self, rows: pa.RecordBatch):
+        self.held.append(pa.Table.from_batches([rows]))
+        self.n += rows.num_rows
+        if self.n > 2 * MERGED_ROWS:
+            self.merge()
+            if self.n > MERGED_ROWS:
+                yield from self.rows()
+
+    def merge(self) -> None:
+        sums = pa.concat_tables(self.held).group_by(["lang", "words", "phrase"]).aggregate([("n", "sum")])
+        self.held, self.n = [sums.rename_columns(["lang", "words", "phrase", "n"])], sums.num_rows
+
+    def rows(self):
+        if self.held:
+            self.merge()
+            yield from self.held[0].to_batches(100_000)
+            self.held, self.n = [], 0
+
+
 def phrase_counts(texts: DataFrame, bits: list[np.ndarray], most: int, shard_words: int = SHARD_WORDS) -> DataFrame:
     """(lang, words, phrase, f): all phrases of up to `most` words that consist of marked runs, merged over shards."""
     shared, bits = texts.sparkSession.sparkContext.broadcast(bits[:most]), None
@@ -157,10 +184,12 @@ def phrase_counts(texts: DataFrame, bits: list[np.ndarray], most: int, shard_wor
     def count(batches):
         bits = shared.value
         names, parts, held = [], [], 0
+        merged = Merged()
 
         def done():
             lang, key, known, data, start, end = (np.concatenate(x) for x in zip(*parts))
-            yield from shard(pa.array(names, pa.string()), lang, key, reaches(known, len(bits), most), data, start, end, most)
+            for rows in shard(pa.array(names, pa.string()), lang, key, reaches(known, len(bits), most), data, start, end, most):
+                yield from merged.add(rows)
 
         at = 0
         for found, lang, key, on, data, start, end in words_of(batches):
@@ -186,6 +215,7 @@ def phrase_counts(texts: DataFrame, bits: list[np.ndarray], most: int, shard_wor
                 parts, held, at = [], 0, 0
         if held:
             yield from done()
+        yield from merged.rows()
 
     rows = texts.mapInArrow(count, "lang string, words int, phrase string, n long")
     return rows.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("f"))

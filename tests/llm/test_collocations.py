@@ -68,6 +68,21 @@ def test_bits_that_let_all_in_change_nothing(spark):
     assert {(r.lang, r.phrase): r.f for r in phrases.collect()} == {k: n for k, n in every.items() if n >= 4}
 
 
+def test_task_sums_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "MERGED_ROWS", 3)
+    merged, out = collocations.Merged(), Counter()
+    r = random.Random(2)
+    want = Counter(r.choice("abcdefgh") for _ in range(200))
+    every = [x for x, n in want.items() for _ in range(n)]
+    import pyarrow as pa
+
+    parts = [pa.RecordBatch.from_pydict({"lang": ["x"], "words": pa.array([1], pa.int32()), "phrase": [w], "n": [1]}) for w in every]
+    for rows in [*(b for p in parts for b in merged.add(p)), *merged.rows()]:
+        for w, n in zip(rows.column(2).to_pylist(), rows.column(3).to_pylist()):
+            out[w] += n
+    assert out == want and not merged.held
+
+
 def test_suffix_array():
     r = np.random.default_rng(3)
     ids = r.integers(0, 3, 200)
