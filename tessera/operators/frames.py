@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from itertools import combinations, pairwise
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions import vectors
 from tessera.functions import vocabulary as V
-from tessera.operators.relational import as_of, fold_groups, in_interval
+from tessera.operators.greedy import dropped
+from tessera.operators.relational import as_of, group_key, in_interval, ranked, stored
 
 
 def frame_time(seq: Column, step: float = V.FRAME_STEP) -> Column:
@@ -15,20 +18,53 @@ def frame_time(seq: Column, step: float = V.FRAME_STEP) -> Column:
     return (seq - 0.5) * step
 
 
-def distinct_frames(frames: DataFrame, key: str, order: str, phash: str, distance: int = V.HASH_DISTANCE) -> DataFrame:
-    """In order, a frame stays if it differs in more than `distance` bits from every kept frame of its course."""
+def hash_slots(phash: Column, distance: int) -> Column:
+    """Array of (blocks, digits): hashes within `distance` bits have one in common.
 
-    def fold(rows: pd.DataFrame) -> pd.DataFrame:
-        kept: list[int] = []
-        keep = []
-        for h in (int(x, 16) for x in rows[phash]):
-            fine = all((h ^ k).bit_count() > distance for k in kept)
-            keep.append(fine)
-            if fine:
-                kept.append(h)
-        return rows[keep]
+    The 16 digits are cut into distance + 2 blocks; of these, differing bits spoil `distance` at most, so two
+    are equal, and any two of them make a slot. Where digits are too few for that, one block does, or none.
+    """
+    blocks = min(16, distance + 2)
+    edges = [16 * k // blocks for k in range(blocks + 1)]
+    cut = [F.substring(phash, a + 1, b - a) for a, b in pairwise(edges)]
+    chosen = [*combinations(range(blocks), blocks - distance)] if distance < blocks else [()]
+    return F.array(*[F.concat(F.lit(f"{k}:"), *[cut[i] for i in c]) for k, c in enumerate(chosen)])
 
-    return fold_groups(frames, [key], [order], fold, frames.schema)
+
+def distinct_frames(frames: DataFrame, key: str, order: str, phash: str, distance: int = V.HASH_DISTANCE) -> DataFrame:
+    """In order, a frame stays if it differs in more than `distance` bits from every kept frame of its course.
+
+    Equal hashes are one item, told by its first frame. Items meet in slots (hash_slots). First come rounds of
+    leaders: an item that is the first of all its slots stays for sure, and what is near it goes; they end when a round decides
+    less than a fifth. Of what is left, near pairs are conflicts, and greedy.dropped settles them. Frames without a hash stay.
+    """
+    digits = F.lpad(F.lower(F.col(phash)), 16, "0")
+    rows = stored(ranked(frames.withColumn("_key", group_key(key)).withColumn("_hash", digits), ["_key"], [F.col(order)], "_place"))
+    rest = stored(rows.filter("_hash is not null").groupBy("_key", "_hash").agg(F.min("_place").alias("_place")))
+    near = lambda a, b: vectors.hamming(F.col(a), F.col(b)) <= distance
+    lost, left = None, rest.count()
+    while left:
+        slots = rest.select("_key", "_hash", "_place", F.explode(hash_slots(F.col("_hash"), distance)).alias("slot"))
+        first = slots.groupBy("_key", "slot").agg(F.min(F.struct("_place", "_hash")).alias("lead"))
+        led = slots.join(first, ["_key", "slot"]).select("_key", "_hash", "_place", F.col("lead._place").alias("l_place"), F.col("lead._hash").alias("l_hash"))
+        sure = stored(led.groupBy("_key", "_place").agg(F.bool_and(F.col("l_place") == F.col("_place")).alias("sure")).filter("sure").select("_key", "_place"))
+        gone = led.filter((F.col("l_place") < F.col("_place")) & near("_hash", "l_hash")).select("_key", "_place", "l_place")
+        gone = stored(gone.join(sure.withColumnRenamed("_place", "l_place"), ["_key", "l_place"], "left_semi").select("_key", "_place").distinct())
+        lost = gone if lost is None else lost.unionAll(gone)
+        rest = stored(rest.join(sure.unionAll(gone), ["_key", "_place"], "left_anti"))
+        now = rest.count()
+        if 5 * (left - now) < left:
+            break
+        left = now
+    slots = rest.select("_key", "_hash", "_place", F.explode(hash_slots(F.col("_hash"), distance)).alias("slot"))
+    a, b = (slots.select("_key", "slot", F.col("_hash").alias(f"{k}_hash"), F.col("_place").alias(p)) for k, p in (("a", "earlier"), ("b", "later")))
+    met = a.join(b, ["_key", "slot"]).filter("earlier < later").filter(near("a_hash", "b_hash"))
+    conflicts = met.select(F.col("_key").alias("key"), "earlier", "later").distinct()
+    out = dropped(conflicts).select(F.col("key").alias("_key"), F.col("place").alias("_place"))
+    lost = out if lost is None else lost.unionAll(out)
+    firsts = rows.filter("_hash is not null").groupBy("_key", "_hash").agg(F.min("_place").alias("_place")).select("_key", "_place")
+    kept = firsts.join(lost, ["_key", "_place"], "left_anti").unionAll(rows.filter("_hash is null").select("_key", "_place"))
+    return rows.join(kept, ["_key", "_place"], "left_semi").select(*frames.columns)
 
 
 def closed_label(label: Column, confidence: Column, labels: list[str] = V.FRAME_LABELS, other: str = V.OTHER_LABEL) -> Column:
@@ -63,7 +99,7 @@ def pass_ratio(checked: DataFrame) -> DataFrame:
 
 
 def by_priority(courses: DataFrame, first: str, id_col: str, most: int | None = None) -> DataFrame:
-    """Courses in the order of work, place from 1: the marked ones first, then by id; up to `most`."""
+    """Courses in the order of work, place (int) from 1: the marked ones first, then by id; up to `most`."""
     order = [F.coalesce(F.col(first), F.lit(False)).desc(), F.col(id_col)]
-    out = courses.orderBy(*order) if most is None else courses.orderBy(*order).limit(most)
-    return out.withColumn("place", F.row_number().over(Window.orderBy(*order)))  # a roster, a row for each course
+    out = courses if most is None else courses.orderBy(*order).limit(most)
+    return ranked(out, [], order).withColumn("place", F.col("place").cast("int"))

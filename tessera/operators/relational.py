@@ -3,25 +3,24 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Callable
+import uuid
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows up to which a side is broadcast; beyond, Spark chooses.
 BROADCAST_ROWS = 500_000
 
 
-def ready(spark) -> None:
-    """Have a checkpoint folder: the session's, or (on one machine alone) a temporary one."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        found = spark.conf.get("spark.checkpoint.dir", None)
-        if not found:
-            if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
-                raise ValueError("spark.checkpoint.dir is not set")
-            found = "file://" + tempfile.mkdtemp(prefix="tessera-")
-        spark.sparkContext.setCheckpointDir(found)
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that all executors share: the session's spark.checkpoint.dir, or (on one machine alone) a temporary one."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not found:
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir is not set")
+        found = "file://" + tempfile.mkdtemp(prefix="tessera-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found.rstrip("/")
 
 
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -30,9 +29,19 @@ def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """df computed once and read again from the checkpoint folder."""
-    ready(df.sparkSession)
-    return df.checkpoint()
+    """df computed once: written as a table to the shared folder and read again."""
+    path = f"{shared_dir(df.sparkSession)}/stored/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Remove stored tables that nothing will read again."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def top_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int, rank: str | None = None) -> DataFrame:
@@ -41,16 +50,40 @@ def top_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int, r
     return out.withColumnRenamed("_rank", rank) if rank else out.drop("_rank")
 
 
+def group_key(column: str) -> Column:
+    """A key as text that is never null, so that rows without a key are a group of their own."""
+    return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit(""))
+
+
+def ranked(df: DataFrame, keys: list[str], order: list[Column], name: str = "place") -> DataFrame:
+    """df with each row's place (long, from 1) within its keys; a key with most of the rows is no task of its own.
+
+    Rows are dealt out by ranges of keys and order; a range's rows of a key are numbered there, from where the
+    ranges before it end. What ranges hold is counted by (range, key), so only counts meet by key. Rows that are alike
+    in keys and order are numbered in no stated order.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by = [F.col(k) for k in keys] + order
+    rows = stored(df.repartitionByRange(parts, *by).withColumn("_range", F.spark_partition_id()))
+    counts = rows.groupBy("_range", *keys).agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = counts.withColumn("_before", before).select("_range", *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_before")
+    local = F.row_number().over(Window.partitionBy("_range", *keys).orderBy(*order)).cast("long")
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    met = rows.withColumn("_local", local).alias("l").join(starts.withColumnRenamed("_range", "_r"), [F.col("_range") == F.col("_r"), *same])
+    return met.select(*[f"l.{c}" for c in df.columns], (F.col("_before") + F.col("_local")).alias(name))
+
+
 def numbered(df: DataFrame, keys: list[str], order: list[Column], pattern: str, name: str, start: int = 1) -> DataFrame:
     """A dense id per group: pattern formats the group's first key and the row's number."""
-    n = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1 + start
-    return df.withColumn(name, F.format_string(pattern, F.col(keys[0]).cast("string"), n))
+    rows = ranked(df, keys, order, "_place")
+    return rows.withColumn(name, F.format_string(pattern, F.col(keys[0]).cast("string"), F.col("_place") - 1 + start)).drop("_place")
 
 
 def batches(df: DataFrame, keys: list[str], order: list[Column], size: int) -> DataFrame:
     """Batch number (from 0) and place in the batch (from 1) of rows cut into lots of `size` within keys."""
-    n = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1
-    return df.withColumns({"batch_no": F.floor(n / size), "item_no": (n % size + 1).cast("long")})
+    n = F.col("_place") - 1
+    return ranked(df, keys, order, "_place").withColumns({"batch_no": F.floor(n / size), "item_no": (n % size + 1).cast("long")}).drop("_place")
 
 
 def stable_sample(df: DataFrame, keys: list[str], id_cols: list[str], n: int, seed: str = "") -> DataFrame:
@@ -91,22 +124,14 @@ def greedy_pairs(scored: DataFrame, left: str, right: str, score: str, threshold
     Rounds of mutual best: a pair that both sides rank first is what the greedy order would take,
     and all such pairs are taken at once. Each round ends at least the best pair that is left.
     """
-    ready(scored.sparkSession)
-    rest, taken = scored.filter(F.col(score) >= threshold).select(left, right, score).distinct().checkpoint(), None
+    rest, taken = stored(scored.filter(F.col(score) >= threshold).select(left, right, score).distinct()), None
     while True:
         order = [F.desc(score), F.col(left), F.col(right)]
-        ranked = rest.withColumns({f"_{i}": F.row_number().over(Window.partitionBy(k).orderBy(*order)) for i, k in enumerate((left, right))})
-        best = ranked.filter("_0 = 1 and _1 = 1").select(left, right, score).checkpoint()
+        ranks = rest.withColumns({f"_{i}": F.row_number().over(Window.partitionBy(k).orderBy(*order)) for i, k in enumerate((left, right))})
+        best = stored(ranks.filter("_0 = 1 and _1 = 1").select(left, right, score))
         taken = best if taken is None else taken.unionAll(best)
-        rest = rest.join(best.select(left), left, "left_anti").join(best.select(right), right, "left_anti").select(left, right, score).checkpoint()
-        if rest.isEmpty():
+        fewer = stored(rest.join(best.select(left), left, "left_anti").join(best.select(right), right, "left_anti").select(left, right, score))
+        forget(rest)
+        if fewer.isEmpty():
             return taken
-
-
-def fold_groups(df: DataFrame, keys: list[str], order: list[str], fold: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
-    """A fold whose steps depend on what earlier ones kept: each group in order, as one frame."""
-    return df.groupBy(*keys).applyInPandas(lambda rows: fold(rows.sort_values(order, kind="stable").reset_index(drop=True)), schema)
-
-
-def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    return top_per_group(df, keys, order, 1)
+        rest = fewer

@@ -416,6 +416,22 @@ def frames_distinct(spark, sf_dir):
     return FR.distinct_frames(rows, "user_id", "event_id", "phash", 24)
 
 
+@query(
+    """WITH RECURSIVE b AS (SELECT CASE WHEN user_id % 3 = 0 THEN -1 ELSE user_id END AS course_id, event_id, CAST('0x' || substr(md5(CAST(event_id // 8 AS VARCHAR)), 1, 14) || substr(md5(CAST(event_id AS VARCHAR)), 1, 2) AS UBIGINT) AS h FROM events),
+    n AS (SELECT *, row_number() OVER (PARTITION BY course_id ORDER BY event_id) AS i FROM b),
+    f AS (SELECT course_id, event_id, i, [h] AS kept, true AS fine FROM n WHERE i = 1
+      UNION ALL SELECT course_id, event_id, i, CASE WHEN fine THEN list_append(kept, h) ELSE kept END, fine FROM (
+        SELECT n.*, f.kept, len(list_filter(f.kept, lambda k: bit_count(xor(k, n.h)) <= 6)) = 0 AS fine FROM f JOIN n ON n.course_id = f.course_id AND n.i = f.i + 1))
+    SELECT course_id, event_id FROM f WHERE fine"""
+)
+def scene_frames(spark, sf_dir):
+    """Frames of scenes of near copies, at the usual distance; a third of all belongs to one course."""
+    digest = lambda c, n: F.substring(F.md5(c.cast("string").cast("binary")), 1, n)
+    phash = F.concat(digest(F.floor(F.col("event_id") / 8), 14), digest(F.col("event_id"), 2))
+    rows = table(spark, sf_dir, "events").select(F.when(F.col("user_id") % 3 == 0, -1).otherwise(F.col("user_id")).alias("course_id"), "event_id", phash.alias("phash"))
+    return FR.distinct_frames(rows, "course_id", "event_id", "phash").select("course_id", "event_id")
+
+
 @query(
     """SELECT event_id, CASE WHEN event_type IN ('click', 'view') THEN event_type ELSE 'other' END AS label, round(value / 7, 3) AS confidence, CAST((event_id - 0.5) * 45.0 AS DOUBLE) AS frame_sec FROM events"""
 )
