@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -183,11 +184,63 @@ def bm25_search(docs: DataFrame, queries: DataFrame, id_col: str, text_col: str,
 
 def cosine_scores(vectors: DataFrame, queries: DataFrame, id_col: str, query_id: str, vector: str, scope: list[str] | None = None) -> DataFrame:
     """scope, query_id, id_col, score for a stated set of queries against all vectors of their scope."""
-    scope = scope or []
+    if not scope:
+        return nearest(vectors, queries, id_col, query_id, vector, None)
     q = queries.select(*scope, query_id, unit(F.col(vector)).alias("_q"))
     d = vectors.select(*scope, id_col, unit(F.col(vector)).alias("_d"))
-    pairs = d.join(small(q), scope) if scope else d.crossJoin(small(q))
-    return pairs.select(*scope, query_id, id_col, F.round(dot(F.col("_q"), F.col("_d")), 6).alias("score"))
+    return d.join(small(q), scope).select(*scope, query_id, id_col, F.round(dot(F.col("_q"), F.col("_d")), 6).alias("score"))
+
+
+#: Vectors of a block, about: two blocks and their product stand in a task's memory.
+BLOCK = 2048
+
+
+def nearest(vectors: DataFrame, queries: DataFrame, id_col: str, query_id: str, vector: str, k: int | None, block: int = BLOCK) -> DataFrame:
+    """query_id, id_col, score (and rank from 1): the k vectors of greatest cosine for each query, ties by id; all scores if k is None.
+
+    Queries and vectors are dealt into blocks; each pair of blocks meets in one task and is one matrix product, of which only each
+    query's k best leave, so a query gets k rows from each block of vectors. Scores have six places. A null or empty vector, or one of
+    another length than the query's, scores nothing.
+    """
+    kinds = {c: d.schema[c].dataType.simpleString() for d, c in ((vectors, id_col), (queries, query_id))}
+    blocks = [max(1, -(-d.count() // block)) for d in (vectors, queries)]
+
+    def dealt(df: DataFrame, id_: str, own: str, count: int, other: str, others: int) -> DataFrame:
+        part = F.pmod(F.xxhash64(F.col(id_).cast("string")), F.lit(count)).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.lit(others - 1)))
+        return df.select(F.col(id_).alias("id"), F.col(vector).alias("v"), part.alias(own)).withColumn(other, every)
+
+    left = dealt(vectors, id_col, "_vb", blocks[0], "_qb", blocks[1])
+    right = dealt(queries, query_id, "_qb", blocks[1], "_vb", blocks[0])
+
+    def units(table: pa.Table) -> dict[int, tuple[pa.Array, np.ndarray]]:
+        """Ids and unit vectors by length, in the order of ids."""
+        table = table.filter(pc.fill_null(pc.greater(pc.list_value_length(table["v"]), 0), False)).sort_by("id").combine_chunks()
+        sizes, out = pc.list_value_length(table["v"]), {}
+        for size in pc.unique(sizes).to_pylist():
+            rows = table.filter(pc.equal(sizes, size))
+            m = np.asarray(pc.list_flatten(rows["v"]).to_numpy(), np.float64).reshape(-1, size)
+            out[size] = rows["id"].combine_chunks(), m / (np.sqrt((m * m).sum(1)) + 1e-9)[:, None]
+        return out
+
+    def product(left: pa.Table, right: pa.Table) -> pa.Table:
+        ids, asked, scores = [], [], []
+        found = units(left)
+        for size, (q_ids, q) in units(right).items():
+            if size in found:
+                d_ids, d = found[size]
+                s = np.floor(q @ d.T * 1e6 + 0.5) / 1e6
+                top = np.argsort(-s, axis=1, kind="stable")[:, :k] if k else np.broadcast_to(np.arange(len(d)), s.shape)
+                ids.append(d_ids.take(pa.array(top.ravel())))
+                asked.append(q_ids.take(pa.array(np.repeat(np.arange(len(q)), top.shape[1]))))
+                scores.append(np.take_along_axis(s, top, 1).ravel())
+        if not ids:
+            return pa.table({query_id: right["id"].slice(0, 0), id_col: left["id"].slice(0, 0), "score": pa.array([], pa.float64())})
+        return pa.table({query_id: pa.chunked_array(asked), id_col: pa.chunked_array(ids), "score": pa.array(np.concatenate(scores))})
+
+    schema = f"`{query_id}` {kinds[query_id]}, `{id_col}` {kinds[id_col]}, score double"
+    met = left.groupBy("_vb", "_qb").cogroup(right.groupBy("_vb", "_qb")).applyInArrow(product, schema)
+    return met if k is None else top_k(met, query_id, id_col, k)
 
 
 def top_k(scores: DataFrame, query_id: str, id_col: str, k: int, scope: list[str] | None = None) -> DataFrame:
