@@ -1,13 +1,13 @@
 """Phrase collocations: frequent phrases of two to five words, scored by how much they exceed chance.
 
-Counting takes four readings of the texts, the first three of which only tell what the last may leave out:
+Counting takes a reading of the texts for each length of phrases, which only tell what the last one may leave out:
 
 1. Words are counted by the hash of language and word. Those that occur ``least`` times or more are marked in a bitmap.
-2. Pairs of marked neighbours are counted by hash, then triples whose pairs are marked; frequent ones are marked
-   likewise. A bitmap has a fixed size (``BITS``), whatever the input; a hash that two things share can only let in more, as
-   the last reading counts exactly.
+2. Pairs of marked neighbours are counted by hash, then runs of three words that consist of marked pairs, and so on; frequent ones are
+   marked likewise. A bitmap has a fixed size (``BITS``), whatever the input; a hash that two things share can only let in
+   more, as the last reading counts exactly.
 3. Each task cuts its texts into shards of marked words, and sorts a shard's suffixes by numpy prefix doubling over word ids
-   (ranks of 1, 2, 4, 8 words). Suffixes end where a pair or triple is not marked, so no frequent phrase is
+   (ranks of 1, 2, 4, 8 words). Suffixes end where a run is not marked, so no frequent phrase is
    cut. Neighbours' common prefixes (LCP) part the suffix array into intervals; an interval of
    n common words is one n-gram with its count in the shard. Shards are merged by (language, phrase) text.
 
@@ -36,7 +36,7 @@ TOP = 2000
 #: Bits of a bitmap of frequent keys (8 MB).
 BITS = 1 << 26
 #: Runs of 1 to so many words are counted by hash before phrases are.
-LEVELS = 3
+LEVELS = 5
 #: Words of a shard, unless one text has more.
 SHARD_WORDS = 1 << 19
 #: Different phrases up to which a task adds up its shards' counts.
