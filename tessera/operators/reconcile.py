@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import text as X
 from tessera.functions import vocabulary as V
+from tessera.functions.numbers import half_even
 from tessera.operators.relational import greedy_pairs, small, stored
 
 
@@ -48,7 +49,7 @@ def assign(roster: DataFrame, goods: DataFrame, least: float = 0.3, threshold: f
 
 def deviation(video: Column, meta: Column) -> Column:
     """Relative difference of two durations to 4 places; null unless both are known and not 0."""
-    return F.when((video != 0) & (meta != 0), F.round(F.abs(video - meta) / meta, 4))
+    return F.when((video != 0) & (meta != 0), half_even(F.abs(video - meta) / meta, 4))
 
 
 def status(has_text: Column, has_video: Column, video: Column, meta: Column, matched: Column, score: Column, ok: str = "OK") -> Column:

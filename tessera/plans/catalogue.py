@@ -23,4 +23,4 @@ def query(sql: str | None = None):
     return add
 
 
-from tessera.plans import queries_reconcile, queries_replacement, queries_retrieval, queries_terms  # noqa: E402, F401
+from tessera.plans import queries_reconcile, queries_replacement, queries_retrieval, queries_streaming, queries_terms  # noqa: E402, F401

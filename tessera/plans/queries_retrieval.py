@@ -249,12 +249,12 @@ def cosine_top(spark, sf_dir):
 
 
 @query(
-    f"""WITH {COSINE_SQL.replace(" WHERE q.vec_id % 50 = 0", "")}, r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) SELECT query_id, vec_id, CAST(rank AS INTEGER) AS rank, round(score, 4) AS score FROM r WHERE rank <= 10"""
+    f"""WITH {COSINE_SQL.replace(" WHERE q.vec_id % 50 = 0", "")}, r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) SELECT query_id, vec_id, CAST(rank AS INTEGER) AS rank, score FROM r WHERE rank <= 10"""
 )
 def cosine_all(spark, sf_dir):
     """The ten nearest vectors of every vector, itself among them."""
     rows = table(spark, sf_dir, "embeddings")
-    return T.nearest(rows, rows.withColumnRenamed("vec_id", "query_id"), "vec_id", "query_id", "embedding", 10).select("query_id", "vec_id", "rank", F.round("score", 4).alias("score"))
+    return T.nearest(rows, rows.withColumnRenamed("vec_id", "query_id"), "vec_id", "query_id", "embedding", 10).select("query_id", "vec_id", "rank", "score")
 
 
 @query(

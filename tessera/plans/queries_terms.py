@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.functions import numbers
 from tessera.functions import text as X
 from tessera.operators import frames as FR
 from tessera.operators import terms as M
@@ -138,11 +139,32 @@ def canonical_migration(spark, sf_dir):
 
 @query(r"""WITH f AS (SELECT doc_id, unnest(regexp_extract_all(text, '\d+\.\d+')) AS fragment FROM documents) SELECT doc_id, 'decimal' AS unit, fragment, count(*) AS n FROM f GROUP BY ALL""")
 def number_fragments(spark, sf_dir):
-    """Number fragments of all documents with their places."""
-    found = M.number_units(table(spark, sf_dir, "documents"), "doc_id", "text", [(r"[0-9]+\.[0-9]+", "decimal")])
+    """Number fragments of all documents, counted."""
+    found = numbers.number_places(table(spark, sf_dir, "documents"), "doc_id", "text", [(r"[0-9]+\.[0-9]+", "decimal")])
     return found.groupBy("doc_id", "unit", "fragment").agg(F.count("*").alias("n"))
 
 
+@query(
+    r"""WITH r AS (SELECT * FROM (VALUES ('number', '[0-9]+(?:\.[0-9]+)?'), ('mark', '[0-9]+[%$#]')) t(unit, p)), m AS (SELECT doc_id, unit, regexp_extract_all(text, p) AS hit, regexp_split_to_array(text, p) AS gap FROM documents, r WHERE regexp_matches(text, p)),
+    u AS (SELECT *, unnest(generate_series(1, len(hit))) AS k FROM m),
+    w AS (SELECT doc_id, unit, hit[k] AS fragment, list_sum(list_transform(gap[:k], lambda g: length(g))) + coalesce(list_sum(list_transform(hit[:k - 1], lambda h: length(h))), 0) AS b FROM u)
+    SELECT doc_id, unit, CAST(b AS BIGINT) AS "start", CAST(b AS BIGINT) + length(fragment) AS "end", fragment FROM w"""
+)
+def number_positions(spark, sf_dir):
+    """Every number of all documents, with decimals if it has them, and numbers with a mark, with their places."""
+    return numbers.number_places(table(spark, sf_dir, "documents"), "doc_id", "text", [(r"(\d+)", "number"), (r"[0-9]+[%$#]", "mark")]).drop("ctx")
+
+
+@query(
+    """SELECT l_orderkey, l_linenumber, CAST(format('{:.2f}', l_extendedprice * l_discount) AS DOUBLE) AS money, CAST(format('{:.2f}', l_quantity / 8) AS DOUBLE) AS ties, CAST(format('{:.4f}', l_discount / l_quantity) AS DOUBLE) AS ratio FROM lineitem"""
+)
+def exact_rounding(spark, sf_dir):
+    """Doubles rounded by their exact binary value, ties to even: products, eighths (of which a quarter are ties), quotients."""
+    rows = table(spark, sf_dir, "lineitem")
+    rounded = {"money": (F.col("l_extendedprice") * F.col("l_discount"), 2), "ties": (F.col("l_quantity") / 8, 2), "ratio": (F.col("l_discount") / F.col("l_quantity"), 4)}
+    return rows.select("l_orderkey", "l_linenumber", *[numbers.half_even(v, n).alias(k) for k, (v, n) in rounded.items()])
+
+
 @query(
     """WITH i AS (SELECT o_custkey, o_orderpriority AS unit, o_orderkey AS pos, row_number() OVER (PARTITION BY o_custkey ORDER BY CASE o_orderpriority WHEN '1-URGENT' THEN 1 WHEN '2-HIGH' THEN 2 ELSE 3 END, o_orderkey, o_orderpriority) AS turn FROM orders)
     SELECT o_custkey, pos, NOT (turn <= 8 AND pos % 3 = 0 AND pos % 5 <> 0) AS ok, CASE WHEN turn <= 8 AND pos % 3 = 0 AND pos % 5 <> 0 THEN 'fix' END AS corrected, CASE WHEN turn > 8 THEN 'sampled_out' WHEN pos % 3 <> 0 THEN 'failed' ELSE 'reviewed' END AS review_state FROM i"""
