@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import vectors
 from tessera.functions import vocabulary as V
+from tessera.functions.numbers import half_even
 from tessera.operators.greedy import dropped
 from tessera.operators.relational import as_of, group_key, in_interval, ranked, stored
 
@@ -95,7 +96,7 @@ def aligned(frames: DataFrame, blocks: DataFrame, replies: DataFrame, key: str =
 
 
 def pass_ratio(checked: DataFrame) -> DataFrame:
-    return checked.agg(F.count("*").alias("checks"), F.count_if("passed").alias("passes"), F.round(F.try_divide(F.count_if("passed"), F.count("*")), 4).alias("ratio"))
+    return checked.agg(F.count("*").alias("checks"), F.count_if("passed").alias("passes"), half_even(F.try_divide(F.count_if("passed"), F.count("*")), 4).alias("ratio"))
 
 
 def by_priority(courses: DataFrame, first: str, id_col: str, most: int | None = None) -> DataFrame:

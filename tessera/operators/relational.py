@@ -87,8 +87,9 @@ def batches(df: DataFrame, keys: list[str], order: list[Column], size: int) -> D
 
 
 def stable_sample(df: DataFrame, keys: list[str], id_cols: list[str], n: int, seed: str = "") -> DataFrame:
-    """n rows of each group in the order of a hash: the same rows at every run."""
-    return top_per_group(df, keys, [F.xxhash64(F.lit(seed), *id_cols), *map(F.col, id_cols)], n)
+    """n rows of each group in the order of a digest of seed and ids: the same rows at every run, and anywhere."""
+    digest = F.md5(F.concat_ws("|", F.lit(seed), *[F.col(c).cast("string") for c in id_cols]).cast("binary"))
+    return top_per_group(df, keys, [digest, *map(F.col, id_cols)], n)
 
 
 def as_of(left: DataFrame, right: DataFrame, keys: list[str], at: str, since: str, values: list[str]) -> DataFrame:

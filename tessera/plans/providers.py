@@ -103,11 +103,6 @@ def numbered_prompt(lines: DataFrame, keys: list[str], order: str, line: Column,
     return lines.groupBy(*keys).agg(F.concat(F.lit(head + "\n"), F.array_join(F.transform(parts, lambda p: p["l"]), "\n")).alias("payload"))
 
 
-def zipped(requests: DataFrame, replies: DataFrame, keys: list[str], index: str, value: str) -> DataFrame:
-    """Batch replies put to their requests by index; what has none is null."""
-    return requests.join(replies.select(*keys, index, value), [*keys, index], "left")
-
-
 class Embedder(Protocol):
     def __call__(self, model: str, texts: list[str]) -> list[tuple[int, list[float]]]:
         """(index in the batch, vector), in any order."""

@@ -193,7 +193,7 @@ def request_batches(spark, sf_dir):
     return R.batches(table(spark, sf_dir, "orders").select("o_orderstatus", "o_orderkey"), ["o_orderstatus"], [F.col("o_orderkey")], 15).select("o_orderkey", "batch_no", "item_no")
 
 
-@query()
+@query("SELECT o_custkey, o_orderkey FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY md5('|' || CAST(o_orderkey AS VARCHAR)), o_orderkey) <= 5")
 def stable_sample(spark, sf_dir):
     """Five orders of each customer in the order of a hash."""
     return R.stable_sample(table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey"), ["o_custkey"], ["o_orderkey"], 5)

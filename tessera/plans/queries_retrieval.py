@@ -376,13 +376,14 @@ def clicks_around(spark, sf_dir):
     return met.groupBy(F.col("purchase").alias("event_id")).agg(F.count("*").alias("clicks"), F.round(F.sum("value"), 2).alias("value"))
 
 
-@query(
-    f"""WITH {SECONDS_SQL}, f AS (SELECT event_id AS frame_id, user_id AS course, t FROM ev WHERE event_type = 'error'), b AS (SELECT user_id AS course, t FROM ev WHERE event_type = 'view'),
+ALIGNED_SQL = f"""WITH {SECONDS_SQL}, f AS (SELECT event_id AS frame_id, user_id AS course, t FROM ev WHERE event_type = 'error'), b AS (SELECT user_id AS course, t FROM ev WHERE event_type = 'view'),
     c AS (SELECT f.frame_id, f.course, f.t BETWEEN 0 AND 2000000 AS in_video, EXISTS (SELECT 1 FROM b WHERE b.course = f.course AND b.t <= f.t) AS has_block,
       EXISTS (SELECT 1 FROM b WHERE b.course = f.course AND b.t BETWEEN greatest(f.t - 60, 0) AND f.t + 60) AS has_text FROM f),
     j AS (SELECT *, CASE WHEN NOT has_text THEN 'unknown' WHEN frame_id % 5 = 0 THEN 'failed' WHEN frame_id % 2 = 0 THEN 'agree' ELSE 'differ' END AS judged FROM c)
     SELECT frame_id, in_video, has_block, judged, in_video AND has_block AND judged = 'agree' AS passed FROM j"""
-)
+
+
+@query(ALIGNED_SQL)
 def frames_aligned(spark, sf_dir):
     """Three checks of error events as frames against view events as blocks."""
     rows = of_day(spark, sf_dir)
@@ -392,6 +393,12 @@ def frames_aligned(spark, sf_dir):
     return FR.aligned(frames, blocks, replies).select("frame_id", "in_video", "has_block", "judged", "passed")
 
 
+@query(f"SELECT count(*) AS checks, count(*) FILTER (passed) AS passes, CAST(format('{{:.4f}}', count(*) FILTER (passed) / count(*)) AS DOUBLE) AS ratio FROM ({ALIGNED_SQL})")
+def alignment_ratio(spark, sf_dir):
+    """How many of the frames' checks have passed, of all."""
+    return FR.pass_ratio(frames_aligned(spark, sf_dir))
+
+
 @query(
     """SELECT user_id, count(*) FILTER (event_type = 'click') AS click, count(*) FILTER (event_type = 'error') AS error, count(*) FILTER (event_type = 'purchase') AS purchase,
     count(*) FILTER (event_type = 'signup') AS signup, count(*) FILTER (event_type = 'view') AS "view" FROM events GROUP BY user_id"""
@@ -557,7 +564,16 @@ def contained_cards(spark, sf_dir):
     return C.drop_contained(rows, "conv_id", "turn", "quote")
 
 
-@query()
+#: A pick a step: t types left (names and counts), p picks so far; a type pointed at without a card leaves.
+@query(
+    """WITH RECURSIVE c AS (SELECT p_brand, p_partkey, p_type, row_number() OVER (PARTITION BY p_brand, p_type ORDER BY p_partkey) AS nth FROM part WHERE p_type IN ('ECONOMY', 'LARGE', 'MEDIUM', 'PROMO', 'SMALL', 'STANDARD')),
+    n AS (SELECT p_brand, list(p_type ORDER BY p_type) AS t, list(n ORDER BY p_type) AS n FROM (SELECT p_brand, p_type, count(*) AS n FROM c GROUP BY ALL) GROUP BY p_brand),
+    f AS (SELECT p_brand, t, n, 0 AS turn, [0 for x in t] AS used, CAST(NULL AS VARCHAR) AS pick, CAST(0 AS BIGINT) AS nth FROM n
+      UNION ALL SELECT p_brand, CASE WHEN has THEN t ELSE list_concat(t[:pos - 1], t[pos + 1:]) END, CASE WHEN has THEN n ELSE list_concat(n[:pos - 1], n[pos + 1:]) END, CASE WHEN has THEN turn + 1 ELSE turn END,
+        CASE WHEN has THEN list_concat(used[:pos - 1], [used[pos] + 1], used[pos + 1:]) ELSE list_concat(used[:pos - 1], used[pos + 1:]) END, CASE WHEN has THEN t[pos] END, CASE WHEN has THEN CAST(used[pos] + 1 AS BIGINT) ELSE 0 END
+      FROM (SELECT *, used[pos] < n[pos] AS has FROM (SELECT *, turn % len(t) + 1 AS pos FROM f WHERE len(t) > 0 AND turn < 12)))
+    SELECT c.p_brand, c.p_partkey, c.p_type, CAST(f.turn AS BIGINT) AS pick_no FROM f JOIN c ON c.p_brand = f.p_brand AND c.p_type = f.pick AND c.nth = f.nth WHERE f.pick IS NOT NULL"""
+)
 def cards_in_turn(spark, sf_dir):
     """Twelve parts of each brand, their types in turn."""
     rows = table(spark, sf_dir, "part").select("p_brand", "p_partkey", "p_type")

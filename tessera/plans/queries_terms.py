@@ -8,9 +8,10 @@ from tessera.functions import numbers
 from tessera.functions import text as X
 from tessera.operators import frames as FR
 from tessera.operators import terms as M
-from tessera.operators.relational import small
+from tessera.operators.relational import batches, small
 from tessera.plans import checks
 from tessera.plans.catalogue import query
+from tessera.plans.providers import numbered_prompt
 from tessera.plans.queries_retrieval import SPACE, turns
 from tessera.session import table
 
@@ -307,11 +308,33 @@ def counter_totals(spark, sf_dir):
 
 
 @query("""SELECT 'orders of no customer' AS "check", count(DISTINCT o_custkey) AS violations, count(*) = 0 AS passed FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)
-    UNION ALL SELECT 'customers without an order', count(*), count(*) = 0 FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)""")
+    UNION ALL SELECT 'customers without an order', count(*), count(*) = 0 FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)
+    UNION ALL SELECT 'kinds that never occur', count(*), count(*) = 0 FROM (VALUES ('click'), ('view'), ('refund')) v(k) WHERE k NOT IN (SELECT event_type FROM events)
+    UNION ALL SELECT 'kinds outside the list', count(DISTINCT event_type), count(*) = 0 FROM events WHERE event_type NOT IN ('click', 'view', 'refund')
+    UNION ALL SELECT 'documents with blank columns', count(*), count(*) = 0 FROM documents WHERE coalesce(text, '') = '' OR coalesce(lang, '') = '' OR coalesce(source, '') = ''
+    UNION ALL SELECT 'documents with forbidden words', count(*), count(*) = 0 FROM documents WHERE contains(text, 'thth')""")
 def acceptance_gate(spark, sf_dir):
     """Checks run together: what each found, and whether it passed."""
     orders, customers = table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey"), table(spark, sf_dir, "customer")
-    return checks.gate({"orders of no customer": checks.uncovered(orders, customers, "c_custkey"), "customers without an order": checks.uncovered(customers, orders, "c_custkey")})
+    events, docs, kinds = table(spark, sf_dir, "events"), table(spark, sf_dir, "documents"), ["click", "view", "refund"]
+    return checks.gate({
+        "orders of no customer": checks.uncovered(orders, customers, "c_custkey"),
+        "customers without an order": checks.uncovered(customers, orders, "c_custkey"),
+        "kinds that never occur": checks.missing_values(kinds, events, "event_type"),
+        "kinds outside the list": checks.outside(events, "event_type", kinds),
+        "documents with blank columns": checks.blank_columns(docs, ["text", "lang", "source"]),
+        "documents with forbidden words": checks.residue(docs, "doc_id", "text", ["thth"]),
+    })
+
+
+@query(
+    f"""WITH {STATS_SQL}, {TERMS_SQL}, {CANDIDATES_SQL}, q AS (SELECT a, b, (row_number() OVER (ORDER BY score DESC, a, b) - 1) AS i FROM clustered)
+    SELECT i // 15 AS batch_no, 'Are these the same word?' || chr(10) || string_agg(CAST(i % 15 + 1 AS VARCHAR) || '. ' || a || ' / ' || b, chr(10) ORDER BY i) AS payload FROM q GROUP BY i // 15"""
+)
+def request_prompts(spark, sf_dir):
+    """The clustered candidates as requests to a judge: fifteen numbered pairs each."""
+    pairs = batches(clustered_terms(spark, sf_dir), [], [F.desc("score"), F.col("a"), F.col("b")], 15)
+    return numbered_prompt(pairs, ["batch_no"], "item_no", F.concat("a", F.lit(" / "), "b"), "Are these the same word?")
 
 
 @query("""SELECT unnest(['german', 'long', 'none']) AS condition, unnest([count(*) FILTER (lang = 'de'), count(*) FILTER (n_chars > 5000), count(*) FILTER (lang = 'xx')]) AS rows,

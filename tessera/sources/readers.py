@@ -12,14 +12,6 @@ from pyspark.sql import functions as F
 HEADER = r"(?m)^Speaker\s+(\d+)\s+(\d{2}):(\d{2}):(\d{2}\.\d{3})\s*$"
 
 
-def jdbc_snapshot(spark: SparkSession, url: str, table: str, columns: list[str], saved: str, **options: str) -> DataFrame:
-    """A table's columns as of the run: read once from the database, then from the run's own copy."""
-    if not exists(spark, saved):
-        reader = spark.read.format("jdbc").option("url", url).option("dbtable", table).options(**options)
-        reader.load().select(*columns).write.parquet(saved)
-    return spark.read.parquet(saved)
-
-
 def exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
@@ -109,11 +101,6 @@ def fingerprint(*parts: str) -> Column:
     return F.sha2(F.concat_ws("\x00", *map(F.lit, parts)), 256)
 
 
-def resumable(rows: DataFrame, done: str) -> DataFrame:
-    """Rows that a stage has yet to do."""
-    return rows.filter(F.col(done).isNull())
-
-
 def settings(text: str | None, environment: dict[str, str], names: list[str], required: tuple[str, ...] = ()) -> dict[str, str | None]:
     """Named settings: the environment's value, else that of the last NAME=value line of a text; quotes around values go.
 

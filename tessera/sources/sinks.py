@@ -22,11 +22,6 @@ def json_lines(df: DataFrame, path: str, by: str | None = None) -> None:
     (writer.partitionBy(by) if by else writer).json(path)
 
 
-def matrix(df: DataFrame, path: str) -> None:
-    """Vectors by id: rows name themselves, so no order must be kept."""
-    df.write.mode("overwrite").parquet(path)
-
-
 def text_files(df: DataFrame, path: str, key: str, text: str) -> None:
     """A folder per key with its text."""
     df.select(key, F.col(text).alias("value")).write.mode("overwrite").partitionBy(key).option("lineSep", "\n").text(path)
