@@ -71,3 +71,13 @@ def test_clashing_columns_and_repeated_ids(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, SF)
         assert docs.columns == plain.columns
+
+
+def test_repeated_ids_with_maps(spark):
+    """Columns that hold maps, also inside arrays, do not keep rows with one id from being told apart."""
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
+    rows = [(1, text(1), {"a": 1}, [{"x": None}]), (1, text(2), {"a": 2}, None), (1, text(2), {"a": 2}, None), (2, text(2), None, []), (3, text(3), {}, [])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, m map<string,int>, l array<map<string,string>>")
+    kept = corpus_pipeline.near_duplicate_stage(spark, docs, SF)
+    assert kept.schema == docs.schema
+    assert sorted((r.doc_id, (r.m or {}).get("a")) for r in kept.collect()) == [(1, 1), (1, 2), (3, None)]
