@@ -33,13 +33,14 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """
     written = Written(spark)
     row = F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)])
-    kinds = {f"c{k}": f.dataType for k, f in enumerate(docs.schema)}
     at = {c: f"c{k}" for k, c in enumerate(docs.columns)}
     rows = docs.select(row.alias("row")).select("row", F.col(f"row.{at['doc_id']}").alias("doc_id"), F.col(f"row.{at['text']}").alias("text"))
     named = rows.filter("doc_id is not null")
     if named.select("doc_id").distinct().count() != named.count():
-        several = named.dropDuplicates() if all(hasattr(t, "simpleString") and not t.simpleString().startswith("map") for t in kinds.values()) else named
-        place = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", F.xxhash64("row")))
+        # rows are told apart by their JSON, as columns may hold maps, which cannot be compared
+        told = named.withColumn("json", F.to_json("row", {"ignoreNullFields": "false"}))
+        several = told.dropDuplicates(["doc_id", "json"])
+        place = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", "json"))
         named = written.save(several.select("row", F.struct("doc_id", place.alias("place")).alias("doc_id"), "text"), "named")
     found = written.save(jaccard_join.near_duplicates(named, written=written), "kept")
     keep = found.filter("component_id = doc_id").select(F.col("doc_id").alias("k_id"))
