@@ -100,7 +100,8 @@ def occurrences(text: Column, needle: str) -> Column:
 
 def overlapping(text: Column, needle: Column) -> Column:
     """Number of occurrences of a literal, overlaps counted: places that it can begin at."""
-    ahead = F.concat(F.lit("(?=\\Q"), needle, F.lit("\\E)"))
+    literal = F.replace(needle, F.lit("\\E"), F.lit("\\E\\\\E\\Q"))  # what would end the quotation is quoted by itself
+    ahead = F.concat(F.lit("(?=\\Q"), literal, F.lit("\\E)"))
     return F.when(F.length(needle) == 0, F.lit(0)).otherwise(F.regexp_count(text, ahead))
 
 

@@ -99,9 +99,9 @@ def bm25_stats(post: DataFrame, id_col: str, scope: list[str] | None = None) ->
     scope = scope or []
     lengths = post.groupBy(*scope, id_col).agg(F.sum("tf").alias("dl"))
     total = lengths.groupBy(*scope).agg(F.avg("dl").alias("avgdl"), F.count("*").alias("n"))
-    joined = lengths.join(F.broadcast(total), scope) if scope else lengths.crossJoin(F.broadcast(total))
+    joined = lengths.join(total, scope) if scope else lengths.crossJoin(F.broadcast(total))
     df = post.groupBy(*scope, "term").agg(F.count("*").alias("df"))
-    terms = df.join(F.broadcast(total), scope) if scope else df.crossJoin(F.broadcast(total))
+    terms = df.join(total, scope) if scope else df.crossJoin(F.broadcast(total))
     idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     return joined, terms.select(*scope, "term", "df", idf.alias("idf"))
 

@@ -332,7 +332,7 @@ def card_rejections(spark, sf_dir):
     """Why cards drawn from documents and benchmark quotes are rejected."""
     d, b = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark").withColumnRenamed("text", "b_text")
     kind = F.element_at(F.array(*map(F.lit, ["事实", "流程", "x", "决策", " 禁忌 ", "运营"])), (F.col("doc_id") % 6 + 1).cast("int"))
-    rows = d.join(F.broadcast(b), F.col("doc_id") % b.count() == F.col("item_id")).select(
+    rows = d.join(R.small(b), F.col("doc_id") % b.count() == F.col("item_id")).select(
         "text", kind.alias("type"), F.when(F.col("doc_id") % 7 == 0, "short").otherwise(F.concat(F.substring("text", 1, 20), F.lit("content"))).alias("content"), F.substr("b_text", F.lit(1), (10 + 8 * (F.col("item_id") % 20)).cast("int")).alias("quote")
     )
     # the place is only worked out where the quote is found

@@ -8,7 +8,7 @@ from tessera.functions import numbers
 from tessera.functions import text as X
 from tessera.operators import frames as FR
 from tessera.operators import terms as M
-from tessera.operators.relational import batches, small
+from tessera.operators.relational import batches, small, stored
 from tessera.plans import checks
 from tessera.plans.catalogue import query
 from tessera.plans.providers import numbered_prompt
@@ -282,7 +282,7 @@ def completion_ratio(spark, sf_dir):
 def mining_rounds(spark, sf_dir):
     """The dictionary after two rounds in which a rule adopts what begins alike."""
     judge = lambda found: found.select("a", "b", F.when(F.substring("a", 1, 1) == F.substring("b", 1, 1), "adopt").otherwise("reject").alias("decision"), F.col("a").alias("canonical"), F.col("b").alias("variant"), F.lit("mined").alias("category"))
-    rows = stats(spark, sf_dir).filter("n >= 20").cache()
+    rows = stored(stats(spark, sf_dir).filter("n >= 20"))
     return M.mined(rows, dictionary(spark).drop("note"), judge, SOUNDS, ((100, 200, 20), (50, 100, 20)), 1000).select("canonical", "variants", "source")
 
 

@@ -4,6 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from tessera.functions.text import overlapping
 from tessera.plans import checks, providers
 from tessera.sources import sinks
 
@@ -28,3 +29,8 @@ def test_numbered_prompts(spark):
     rows = spark.createDataFrame([(0, 2, "y"), (0, 1, "x"), (1, 1, "z")], "batch_no long, item_no long, t string")
     got = {r.batch_no: r.payload for r in providers.numbered_prompt(rows, ["batch_no"], "item_no", F.col("t"), "Head").collect()}
     assert got == {0: "Head\n1. x\n2. y", 1: "Head\n1. z"}
+
+
+def test_overlaps_of_any_literal(spark):
+    rows = spark.createDataFrame([("aaaa", "aa", 3), ("x\\Ey\\Ey", "\\Ey", 2), ("a.b.c", ".", 2), ("abc", "", 0)], "t string, w string, n int")
+    assert rows.select(overlapping(F.col("t"), F.col("w")).alias("got"), "n").filter("got <> n").isEmpty()
