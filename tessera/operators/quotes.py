@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +36,20 @@ def solid(text: str, squeeze: bool) -> tuple[str, np.ndarray, np.ndarray]:
     return (codes.tobytes().decode("utf-32-le", "surrogatepass") if len(at) < len(text) else text), codes, at
 
 
+#: Characters whose grams a task holds at a time, unless one text is longer.
+SLICE = 1 << 18
+
+
+def slices(batch: pa.RecordBatch, text: str, size: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The batch, so many characters of its texts at a time: what a task holds does not grow with the rows of a batch."""
+    size, at = size or SLICE, 0
+    ends = np.cumsum(pc.fill_null(pc.utf8_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    while at < batch.num_rows:
+        n = max(1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right")) - at)
+        yield batch.slice(at, n)
+        at += n
+
+
 def gram_slots(codes: np.ndarray, size: int) -> np.ndarray:
     """Bit of each run of `size` code points."""
     n = len(codes) - size + 1
@@ -59,7 +74,7 @@ def covers(quotes: DataFrame, quote: str, squeeze: bool, gram: int = GRAM) -> Da
     names = quotes.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, quote)):
             row, found = [], []
             for k, text in enumerate(batch.column(quote).to_pylist()):
                 text, codes, _ = solid(text or "", squeeze)
@@ -93,7 +108,7 @@ def gram_places(texts: DataFrame, text: str, bits: np.ndarray, sizes: list[int],
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, text)):
             rows, grams, places, starts, ends = [], [], [], [], []
             for k, own in enumerate(batch.column(text).to_pylist()):
                 own, codes, at = solid(own or "", squeeze)

@@ -1,8 +1,13 @@
 """Results that only larger tables show."""
 
+import random
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from tessera.operators import quotes as Q
 from tessera.operators import relational as R
+from tessera.operators import retrieval as T
 from tessera.plans import catalogue
 
 
@@ -16,3 +21,36 @@ def test_dense_ids_beyond_five_digits(spark, tmp_path):
 def test_numbered_digits(spark):
     rows = spark.createDataFrame([("k", i) for i in range(3)], "k string, i long")
     assert [r.n for r in R.numbered(rows, ["k"], [F.col("i")], "%s/%s", "n", 9, digits=2).orderBy("i").collect()] == ["k/09", "k/10", "k/11"]
+
+
+def test_windows_of_long_texts(spark):
+    """Windows are cut from stretches; none is lost or moved at their edges."""
+    texts = [("äbcdefghij" * 7)[:n] for n in range(70)] + [" " * n for n in range(12)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").withColumn("w", T.fixed_windows(F.col("t"), 6, 2, 3))
+    for r in rows.collect():
+        n, want, k = len(r.t), [], 0
+        while n - 4 * k >= 6:
+            want.append((k, 4 * k, r.t[4 * k : 4 * k + 6]))
+            k += 1
+        if r.t[4 * k :].strip():
+            want.append((k, 4 * k, r.t[4 * k :]))
+        assert [tuple(w) for w in r.w] == want
+    plan = rows.select("w")._jdf.queryExecution().optimizedPlan().toString()
+    assert "flatten" in plan  # two levels: no window is looked for from the text's beginning
+
+
+def test_bm25_top(spark):
+    """The k best as all scores give them, copies and empty texts among them, few rows of a slice at a time."""
+    r = random.Random(5)
+    texts = ["".join(r.choice("ab cd") for _ in range(r.randint(0, 12))) for _ in range(150)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts + texts[:60])] + [(900, None)], "i long, t string").repartition(5)
+    asked = spark.createDataFrame([(q, texts[q]) for q in range(0, 150, 7)] + [(998, "zz"), (999, None)], "q long, a string")
+    got = T.bm25_top(docs, asked, "i", "t", "q", "a", 4)
+    want = T.top_k(T.bm25_scores(T.postings(docs, "i", "t"), asked, "i", "q", "a"), "q", "i", 4)
+    near = lambda d: sorted((x.q, x["rank"], x.i, round(x.score, 5)) for x in d.collect())
+    assert near(got) == near(want)
+
+
+def test_slices_of_batches():
+    batch = pa.RecordBatch.from_arrays([pa.array(["ab", None, "c" * 9, "", "ddd"])], names=["t"])
+    assert [s.column(0).to_pylist() for s in Q.slices(batch, "t", 4)] == [["ab", None], ["c" * 9], ["", "ddd"]]
