@@ -235,11 +235,6 @@ COSINE_SQL = f"""
     FROM e q, e d WHERE q.vec_id % 50 = 0)"""
 
 
-def cosines(spark, sf_dir):
-    rows = table(spark, sf_dir, "embeddings")
-    return T.cosine_scores(rows, rows.filter("vec_id % 50 = 0").withColumn("query_id", F.col("vec_id")), "vec_id", "query_id", "embedding")
-
-
 @query(f"WITH {COSINE_SQL}, r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) SELECT query_id, vec_id, CAST(rank AS INTEGER) AS rank, round(score, 4) AS score FROM r WHERE rank <= 10")
 def cosine_top(spark, sf_dir):
     """The ten nearest vectors of the stated query set."""
@@ -263,9 +258,9 @@ def cosine_all(spark, sf_dir):
 )
 def hybrid_top(spark, sf_dir):
     """Cosine and label agreement, each over its greatest value, added."""
-    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label")
-    same = rows.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "label").join(rows, "label").select("query_id", "vec_id", F.lit(1.0).alias("score"))
-    return T.top_k(T.hybrid_scores(cosines(spark, sf_dir), same, "query_id", "vec_id"), "query_id", "vec_id", 5).select("query_id", "vec_id", F.round("score", 4).alias("score"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    asked = rows.filter("vec_id % 50 = 0").withColumnRenamed("vec_id", "query_id")
+    return T.hybrid_top(rows, asked, "vec_id", "query_id", "embedding", "label", 5).select("query_id", "vec_id", F.round("score", 4).alias("score"))
 
 
 @query(

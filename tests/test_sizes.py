@@ -54,3 +54,19 @@ def test_bm25_top(spark):
 def test_slices_of_batches():
     batch = pa.RecordBatch.from_arrays([pa.array(["ab", None, "c" * 9, "", "ddd"])], names=["t"])
     assert [s.column(0).to_pylist() for s in Q.slices(batch, "t", 4)] == [["ab", None], ["c" * 9], ["", "ddd"]]
+
+
+def test_hybrid_top(spark):
+    """As all scores give it; one query's cosines are all negative, labels may be null."""
+    r = random.Random(3)
+    vectors = [(i, [float(r.randint(-2, 2)) for _ in range(3)], r.choice(["a", "b", None])) for i in range(80)] + [(80, [1.0, 1.0], "a"), (81, [2.0, 1.0], "b"), (82, [1.0, 3.0], None)]
+    queries = [(i, v, x) for i, v, x in vectors if i % 5 == 0] + [(900, [-1.0, -1.0], "b"), (901, [0.0] * 3, "a")]
+    df, qs = spark.createDataFrame(vectors, "i long, v array<float>, l string"), spark.createDataFrame(queries, "q long, v array<float>, l string")
+    same = qs.select("q", "l").join(df.select("i", "l"), "l").select("q", "i", F.lit(1.0).alias("score"))
+    every = T.hybrid_scores(T.cosine_scores(df, qs, "i", "q", "v"), same, "q", "i")
+    # vectors of other lengths meet a query by their label alone there
+    want = T.top_k(every.join(T.cosine_scores(df, qs, "i", "q", "v").select("q", "i"), ["q", "i"], "left_semi"), "q", "i", 3)
+    got = T.hybrid_top(df, qs, "i", "q", "v", "l", 3)
+    rows = lambda d: sorted((x.q, x["rank"], x.i, x.score) for x in d.collect() if x.q != 900)
+    assert rows(got) == rows(want) and got.filter("q = 900").count() == 3
+    assert [x.score for x in got.filter("q = 900").orderBy("rank").collect()] == [x.score for x in want.filter("q = 900").orderBy("rank").collect()]
