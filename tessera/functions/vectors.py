@@ -16,10 +16,15 @@ def unit(v: Column) -> Column:
     return F.transform(v, lambda x: x.cast("double") / length)
 
 
+def bits_of(digits: Column) -> Column:
+    """The 64 bits (long) of 16 hexadecimal digits, read by halves, as the top bit has no sign."""
+    half = lambda at: F.conv(F.substring(digits, at, 8), 16, 10).cast("long")
+    return F.shiftleft(half(1), 32).bitwiseOR(half(9))
+
+
 def hamming(a: Column, b: Column) -> Column:
-    """Differing bits of two 64-bit values in 16 hexadecimal digits, by halves (the top bit has no sign)."""
-    half = lambda c, at: F.conv(F.substring(c, at, 8), 16, 10).cast("long")
-    return F.bit_count(half(a, 1).bitwiseXOR(half(b, 1))) + F.bit_count(half(a, 9).bitwiseXOR(half(b, 9)))
+    """Differing bits of two 64-bit values in 16 hexadecimal digits."""
+    return F.bit_count(bits_of(a).bitwiseXOR(bits_of(b)))
 
 
 def difference_hash(pixels: Column) -> Column:

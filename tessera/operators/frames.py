@@ -11,7 +11,10 @@ from tessera.functions import vectors
 from tessera.functions import vocabulary as V
 from tessera.functions.numbers import half_even
 from tessera.operators.greedy import dropped
-from tessera.operators.relational import as_of, group_key, in_interval, ranked, stored
+from tessera.operators.relational import as_of, dealt, forget, group_key, in_interval, ranked, small, stored
+
+#: Different hashes of a course up to which they all meet, which costs less than slots do.
+SMALL_COURSE = 500
 
 
 def frame_time(seq: Column, step: float = V.FRAME_STEP) -> Column:
@@ -19,53 +22,66 @@ def frame_time(seq: Column, step: float = V.FRAME_STEP) -> Column:
     return (seq - 0.5) * step
 
 
-def hash_slots(phash: Column, distance: int) -> Column:
-    """Array of (blocks, digits): hashes within `distance` bits have one in common.
+def bit_slots(bits: Column, distance: int) -> Column:
+    """Array of longs: 64-bit values within `distance` bits have one in common.
 
     The 16 digits are cut into distance + 2 blocks; of these, differing bits spoil `distance` at most, so two
     are equal, and any two of them make a slot. Where digits are too few for that, one block does, or none.
     """
     blocks = min(16, distance + 2)
-    edges = [16 * k // blocks for k in range(blocks + 1)]
-    cut = [F.substring(phash, a + 1, b - a) for a, b in pairwise(edges)]
+    edges = [64 - 4 * (16 * k // blocks) for k in range(blocks + 1)]
+    masks = [(1 << high) - (1 << low) for high, low in pairwise(edges)]
     chosen = [*combinations(range(blocks), blocks - distance)] if distance < blocks else [()]
-    return F.array(*[F.concat(F.lit(f"{k}:"), *[cut[i] for i in c]) for k, c in enumerate(chosen)])
+    # one shuffle key for each choice of blocks and their bits; what two keys share by chance is told apart by the exact distance
+    signed = lambda mask: mask - (1 << 64) if mask >> 63 else mask
+    return F.array(*[F.xxhash64(F.lit(k), bits.bitwiseAND(F.lit(signed(sum(masks[i] for i in c))))) for k, c in enumerate(chosen)])
+
+
+def hash_slots(phash: Column, distance: int) -> Column:
+    """bit_slots of 16 hexadecimal digits."""
+    return bit_slots(vectors.bits_of(phash), distance)
 
 
 def distinct_frames(frames: DataFrame, key: str, order: str, phash: str, distance: int = V.HASH_DISTANCE) -> DataFrame:
     """In order, a frame stays if it differs in more than `distance` bits from every kept frame of its course.
 
-    Equal hashes are one item, told by its first frame. Items meet in slots (hash_slots). First come rounds of
-    leaders: an item that is the first of all its slots stays for sure, and what is near it goes; they end when a round decides
+    Equal hashes are one item, told by its first frame. Items of a small course all meet, those of larger ones in slots (bit_slots). First
+    come rounds of leaders: an item that is the first of all its slots stays for sure, and what is near it goes; they end when a round decides
     less than a fifth. Of what is left, near pairs are conflicts, and greedy.dropped settles them. Frames without a hash stay.
     """
-    digits = F.lpad(F.lower(F.col(phash)), 16, "0")
-    rows = stored(ranked(frames.withColumn("_key", group_key(key)).withColumn("_hash", digits), ["_key"], [F.col(order)], "_place"))
-    rest = stored(rows.filter("_hash is not null").groupBy("_key", "_hash").agg(F.min("_place").alias("_place")))
-    near = lambda a, b: vectors.hamming(F.col(a), F.col(b)) <= distance
-    lost, left = None, rest.count()
+    bits = vectors.bits_of(F.lpad(F.lower(F.col(phash)), 16, "0"))
+    rows = stored(ranked(frames.withColumn("_key", group_key(key)).withColumn("_bits", bits), ["_key"], [F.col(order)], "_place"))
+    firsts = rows.filter("_bits is not null").groupBy("_key", "_bits").agg(F.min("_place").alias("_place"))
+    large = stored(firsts.groupBy("_key").agg(F.count("*").alias("_n")).filter(F.col("_n") > SMALL_COURSE).select("_key", F.lit(True).alias("_large")))
+    items = stored(firsts.join(small(large), "_key", "left").withColumn("_large", F.col("_large").isNotNull()))
+    near = lambda a, b: F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= distance
+    slots_of = lambda df: df.select("_key", "_bits", "_place", "_large", F.explode(F.when(F.col("_large"), bit_slots(F.col("_bits"), distance)).otherwise(F.array(F.lit(0).cast("long")))).alias("slot"))
+    of_large = F.size(bit_slots(F.lit(0).cast("long"), distance))
+    rest, lost, left = items, None, items.count()
     while left:
-        slots = rest.select("_key", "_hash", "_place", F.explode(hash_slots(F.col("_hash"), distance)).alias("slot"))
-        first = slots.groupBy("_key", "slot").agg(F.min(F.struct("_place", "_hash")).alias("lead"))
-        led = slots.join(first, ["_key", "slot"]).select("_key", "_hash", "_place", F.col("lead._place").alias("l_place"), F.col("lead._hash").alias("l_hash"))
-        sure = stored(led.groupBy("_key", "_place").agg(F.bool_and(F.col("l_place") == F.col("_place")).alias("sure")).filter("sure").select("_key", "_place"))
-        gone = led.filter((F.col("l_place") < F.col("_place")) & near("_hash", "l_hash")).select("_key", "_place", "l_place")
-        gone = stored(gone.join(sure.withColumnRenamed("_place", "l_place"), ["_key", "l_place"], "left_semi").select("_key", "_place").distinct())
+        # a slot's first item leads it; who leads as many slots as it has stays
+        slots = slots_of(rest)
+        first = stored(slots.groupBy("_key", "slot").agg(F.min(F.struct("_place", "_bits", F.col("_large"))).alias("lead")).select("_key", "slot", F.col("lead._place").alias("l_place"), F.col("lead._bits").alias("l_bits"), F.col("lead._large").alias("_large")))
+        sure = stored(first.groupBy("_key", "l_place").agg(F.count("*").alias("n"), F.first("_large").alias("_large")).filter(F.col("n") == F.when(F.col("_large"), of_large).otherwise(1)).select("_key", "l_place"))
+        leads = first.drop("_large").join(dealt(sure), ["_key", "l_place"], "left_semi")
+        gone = slots.join(dealt(leads), ["_key", "slot"]).filter((F.col("l_place") < F.col("_place")) & near("_bits", "l_bits"))
+        gone = stored(gone.select("_key", "_place").distinct())
         lost = gone if lost is None else lost.unionAll(gone)
-        rest = stored(rest.join(sure.unionAll(gone), ["_key", "_place"], "left_anti"))
-        now = rest.count()
+        decided = gone.unionAll(sure.withColumnRenamed("l_place", "_place"))
+        fewer = stored(rest.join(dealt(decided), ["_key", "_place"], "left_anti").select(*rest.columns))
+        forget(first, sure, *([rest] if rest is not items else []))
+        rest, now = fewer, fewer.count()
         if 5 * (left - now) < left:
             break
         left = now
-    slots = rest.select("_key", "_hash", "_place", F.explode(hash_slots(F.col("_hash"), distance)).alias("slot"))
-    a, b = (slots.select("_key", "slot", F.col("_hash").alias(f"{k}_hash"), F.col("_place").alias(p)) for k, p in (("a", "earlier"), ("b", "later")))
-    met = a.join(b, ["_key", "slot"]).filter("earlier < later").filter(near("a_hash", "b_hash"))
+    slots = slots_of(rest)
+    a, b = (slots.select("_key", "slot", F.col("_bits").alias(f"{k}_bits"), F.col("_place").alias(p)) for k, p in (("a", "earlier"), ("b", "later")))
+    met = a.join(dealt(b), ["_key", "slot"]).filter("earlier < later").filter(near("a_bits", "b_bits"))
     conflicts = met.select(F.col("_key").alias("key"), "earlier", "later").distinct()
     out = dropped(conflicts).select(F.col("key").alias("_key"), F.col("place").alias("_place"))
     lost = out if lost is None else lost.unionAll(out)
-    firsts = rows.filter("_hash is not null").groupBy("_key", "_hash").agg(F.min("_place").alias("_place")).select("_key", "_place")
-    kept = firsts.join(lost, ["_key", "_place"], "left_anti").unionAll(rows.filter("_hash is null").select("_key", "_place"))
-    return rows.join(kept, ["_key", "_place"], "left_semi").select(*frames.columns)
+    kept = items.select("_key", "_place").join(dealt(lost), ["_key", "_place"], "left_anti").unionAll(rows.filter("_bits is null").select("_key", "_place"))
+    return rows.join(dealt(kept), ["_key", "_place"], "left_semi").select(*frames.columns)
 
 
 def closed_label(label: Column, confidence: Column, labels: list[str] = V.FRAME_LABELS, other: str = V.OTHER_LABEL) -> Column:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.relational import forget, stored
+from tessera.operators.relational import dealt, forget, stored
 
 #: Conflicts of a stretch, about: so many are decided in one task.
 STRETCH = 2_000_000
@@ -31,10 +31,10 @@ def dropped(conflicts: DataFrame, stretch: int = STRETCH) -> DataFrame:
     stretches = max(1, -(-rows.count() // stretch))
     rows = stored(rows.repartitionByRange(stretches, "key", "later").withColumn("stretch", F.spark_partition_id()))
     ends = rows.select("key", F.col("later").alias("place")).distinct()
-    known = rows.select("key", F.col("earlier").alias("place")).distinct().join(ends, ["key", "place"], "left_anti").withColumn("kept", F.lit(True))
+    known = rows.select("key", F.col("earlier").alias("place")).distinct().join(dealt(ends), ["key", "place"], "left_anti").withColumn("kept", F.lit(True))
     known, waiting = stored(known), rows
     while True:
-        told = waiting.join(known.select("key", F.col("place").alias("earlier"), "kept"), ["key", "earlier"], "left")
+        told = waiting.join(dealt(known.select("key", F.col("place").alias("earlier"), "kept")), ["key", "earlier"], "left")
         told = told.select("stretch", "key", "later", "earlier", "kept").repartition(stretches, "stretch").sortWithinPartitions("stretch", "key", "later", "earlier")
         new = stored(told.mapInArrow(_decide, "key string, place long, kept boolean"))
         if new.isEmpty():
@@ -44,7 +44,7 @@ def dropped(conflicts: DataFrame, stretch: int = STRETCH) -> DataFrame:
         known = more
         if stretches == 1:  # nothing waits for another task
             return known.filter("not kept").select("key", "place")
-        fewer = stored(waiting.join(new.select("key", F.col("place").alias("later")), ["key", "later"], "left_anti"))
+        fewer = stored(waiting.join(dealt(new.select("key", F.col("place").alias("later"))), ["key", "later"], "left_anti"))
         forget(waiting, new)
         waiting = fewer
 

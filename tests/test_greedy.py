@@ -110,6 +110,21 @@ def test_a_hot_course_of_frames(spark):
     assert "FlatMapGroupsInPandas" not in plan
 
 
+def test_frames_of_large_courses_meet_in_slots(spark, monkeypatch):
+    """Slots find what all pairs find, and no table that grows with the input is built on the driver, however small its file is."""
+    monkeypatch.setattr(frames, "SMALL_COURSE", 20)
+    r = random.Random(11)
+    rows = []
+    for c, n in (("a", 200), ("b", 15), (None, 60)):
+        scene = r.getrandbits(64)
+        for i in range(n):
+            scene = r.getrandbits(64) if r.random() < 0.2 else scene ^ (1 << r.randrange(64)) ^ (1 << r.randrange(64))
+            rows.append((c, i, f"{scene:016x}"))
+    got = frames.distinct_frames(spark.createDataFrame(rows, "c string, i long, h string"), "c", "i", "h", 6)
+    assert {(x.c, x.i) for x in got.collect()} == kept_frames(rows, 6)
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_contained_cards(spark):
     r = random.Random(6)
     rows = []
