@@ -3,6 +3,7 @@
 import json
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,6 +118,26 @@ def test_similar_pairs_like_brute_force(spark):
     assert sorted((r.a, r.b, r.inter) for r in got.collect()) == want
 
 
+def test_similar_pairs_in_stripes_and_tiles(spark, monkeypatch):
+    """Pairs are the same however cards are cut: several stripes, tiles and lots of grams; nulls and an empty table."""
+    r = random.Random(5)
+    rows = [(f"i{i:03d}", None if i % 40 == 7 else f"g{i % 3}", None if i % 40 == 9 else "".join(r.choice("abcdé𝄞 ") for _ in range(r.randint(0, 40)))) for i in range(150)]
+    rows.append((None, "g1", "abcabcabcabcabcd"))
+    grams = {i: {t[k : k + 2] for k in range(len(t or "") - 1) if not t[k + 1].isspace()} for i, _, t in rows}
+    kept = [(i, g) for i, g, _ in rows if i is not None and g is not None]
+    want = sorted((a, b, len(grams[a] & grams[b])) for a, ga in kept for b, gb in kept if a < b and ga != gb and len(grams[a] & grams[b]) >= 6 and len(grams[a] & grams[b]) / len(grams[a] | grams[b]) >= 0.5)
+    df = spark.createDataFrame(rows, "i string, g string, t string")
+    assert len(want) > 20 and sorted((x.a, x.b, x.inter) for x in cards.similar_pairs(df, "i", "g", "t", least=0.5, stripe=40).collect()) == want
+    assert cards.similar_pairs(df.limit(0), "i", "g", "t").collect() == []
+    monkeypatch.setattr(cards, "PAIR_TILE", 16)
+    monkeypatch.setattr(cards, "PAIR_GRAMS", 5)
+    number = {g: k for k, g in enumerate(sorted(set().union(*grams.values())))}
+    sets = [sorted(number[x] for x in grams[i]) for i, _ in kept]
+    one = pa.RecordBatch.from_arrays([pa.array([0] * len(kept)), pa.array([0] * len(kept)), pa.array(["a"] * len(kept)), pa.array([i for i, _ in kept]), pa.array([g for _, g in kept]), pa.array(sets, pa.list_(pa.int64()))], names=["stripe_a", "stripe_b", "side", "id", "g", "s"])
+    got = [x for batch in cards._like(6, 0.5)([one.slice(0, 50), one.slice(50)]) for x in batch.to_pylist()]
+    assert sorted((*sorted((x["x"], x["y"])), x["inter"]) for x in got) == want
+
+
 def test_guarded_replacement(spark):
     rules = [("合学", ["和学", "核学"]), ("咬合平面", []), ("颌平面", ["合平面"]), ("Ⅱ类", ["二类"])]
     f = replacement.replacer(spark, rules, {"和学": ("究", "")}, replacement.ClassRule("^[一二三]类$", "偏氏", "骨高"))
