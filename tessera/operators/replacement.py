@@ -16,11 +16,14 @@ from typing import NamedTuple
 
 import ahocorasick
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from tessera.functions import vocabulary as V
+from tessera.operators.relational import bounded, stored
 
 #: Forms of one automaton when contexts are looked up; more forms take more readings of the texts.
 LOT = 200_000
@@ -148,31 +151,36 @@ def first_contexts(forms: DataFrame, texts: DataFrame, form_col: str, order_col:
     """(form, order, context): each form with its surroundings in the first text, by order, that holds it.
 
     Forms are taken a lot at a time (the driver holds no more); each lot is one automaton and one reading of the
-    texts, which gives the first place of each form in a text. Forms that no text holds have no row.
+    texts, in which a task keeps each form's first text and its first place there. Forms that no text holds have no row.
     """
     spark, out = texts.sparkSession, None
     kind = texts.schema[order_col].dataType.simpleString()
     schema = f"{form_col} string, {order_col} {kind}, context string"
-    rows = texts.filter(F.col(text_col).isNotNull()).select(order_col, text_col)
+    kept = to_arrow_type(texts.schema[order_col].dataType)
+    rows = bounded(texts.filter(F.col(text_col).isNotNull()).select(order_col, text_col))
     lot: list[str] = []
 
     def looked_up(lot: list[str]) -> DataFrame:
         shared = spark.sparkContext.broadcast(automaton_of({f: Rule(len(f), None, frozenset(), frozenset(), False) for f in lot}))
 
-        def look(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            automaton = pickle.loads(shared.value)
-            for part in parts:
-                found = []
-                for at, text in zip(part[order_col], part[text_col], strict=True):
-                    seen: dict[str, int] = {}
+        def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            automaton, first = pickle.loads(shared.value), {}
+            for batch in batches:
+                for at, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    text, seen, place = text.as_py(), {}, (at is not None, at)
                     for end, rule in automaton.iter(text):
                         seen.setdefault(text[end + 1 - rule.size : end + 1], end + 1 - rule.size)
                     for form, start in seen.items():
-                        piece = text[max(0, start - width) : start + len(form) + width].replace("\n", " ")
-                        found.append((form, at, f"…{piece}…"))
-                yield pd.DataFrame(found, columns=[form_col, order_col, "context"])
+                        known = first.get(form)
+                        if known is None or place <= known[0]:
+                            piece = text[max(0, start - width) : start + len(form) + width].replace("\n", " ")
+                            found = place, f"…{piece}…"
+                            first[form] = found if known is None else min(known, found)
+            columns = list(first), [p[1] for p, _ in first.values()], [c for _, c in first.values()]
+            types = pa.string(), kept, pa.string()
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=[form_col, order_col, "context"])
 
-        return rows.mapInPandas(look, schema)
+        return rows.mapInArrow(look, schema)
 
     for row in forms.select(form_col).filter(F.col(form_col) != "").distinct().toLocalIterator():
         lot.append(row[0])
@@ -193,7 +201,7 @@ def enriched(candidates: DataFrame, texts: DataFrame, order_col: str, text_col:
     """
     is_anchor = F.col(kind) == V.ANCHORED
     asked = candidates.select(F.col("b").alias("form")).unionAll(candidates.filter(~is_anchor).select(F.col("a").alias("form")))
-    found = first_contexts(asked, texts, "form", order_col, text_col).select("form", "context")
+    found = stored(first_contexts(asked, texts, "form", order_col, text_col).select("form", "context"))
     out = candidates
     for side in "ab":
         out = out.join(found.select(F.col("form").alias(side), F.col("context").alias(f"ctx_{side}")), side, "left")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tessera.functions import vocabulary as V
 from tessera.operators import replacement as R
 from tessera.operators import terms as M
+from tessera.operators.relational import stored
 from tessera.plans import queries_terms as T
 from tessera.plans.catalogue import query
 from tessera.session import table
@@ -101,7 +102,8 @@ def term_contexts(spark, sf_dir):
 )
 def candidate_contexts(spark, sf_dir):
     """Anchored and clustered candidates of all conversations, as they are handed to a judge."""
-    pairs = T.anchored_terms(spark, sf_dir).select(F.lit(V.ANCHORED).alias("kind"), "a", "b", F.lit(None).cast("long").alias("na"))
-    pairs = pairs.unionAll(T.clustered_terms(spark, sf_dir).select(F.lit("聚类").alias("kind"), "a", "b", "na"))
+    counts = stored(T.stats(spark, sf_dir).filter("n >= 3"))
+    pairs = T.anchored_terms(spark, sf_dir, counts).select(F.lit(V.ANCHORED).alias("kind"), "a", "b", F.lit(None).cast("long").alias("na"))
+    pairs = pairs.unionAll(T.clustered_terms(spark, sf_dir, counts).select(F.lit("聚类").alias("kind"), "a", "b", "na"))
     texts = table(spark, sf_dir, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.lower("text").alias("t"))
-    return R.enriched(pairs, texts, "id", "t").select("kind", "a", "b", "na", "ctx_a", "ctx_b", "suggest")
+    return R.enriched(stored(pairs), texts, "id", "t").select("kind", "a", "b", "na", "ctx_a", "ctx_b", "suggest")

@@ -60,17 +60,17 @@ CANDIDATES_SQL = f"""
 
 
 @query(f"WITH {STATS_SQL}, {TERMS_SQL}, {CANDIDATES_SQL} SELECT a, b, n, courses FROM anchored")
-def anchored_terms(spark, sf_dir):
+def anchored_terms(spark, sf_dir, counts=None):
     """Grams that sound like a dictionary term of their length."""
     known = spark.createDataFrame([("the", "tha")], "a string, b string")
-    return M.anchored(stats(spark, sf_dir), dictionary(spark), known, SOUNDS, 3).drop("key")
+    return M.anchored(stats(spark, sf_dir) if counts is None else counts, dictionary(spark), known, SOUNDS, 3).drop("key")
 
 
 @query(f"WITH {STATS_SQL}, {TERMS_SQL}, {CANDIDATES_SQL} SELECT a, b, ca, cb, na, nb, score FROM clustered")
-def clustered_terms(spark, sf_dir):
+def clustered_terms(spark, sf_dir, counts=None):
     """Pairs of frequent grams that sound alike, the best 300."""
     known = spark.createDataFrame([("er", "ir")], "a string, b string")
-    return M.clustered(stats(spark, sf_dir), dictionary(spark), known, SOUNDS, 5, 300).drop("key")
+    return M.clustered(stats(spark, sf_dir) if counts is None else counts, dictionary(spark), known, SOUNDS, 5, 300).drop("key")
 
 
 ASKED_SQL = """
