@@ -134,7 +134,7 @@ def replacer(spark: SparkSession, terms: list[tuple[str, list[str]]], guards: di
 def cleaned(blocks: DataFrame, terms: list[tuple[str, list[str]]], guards: dict[str, tuple[str, str]] | None = None, text_col: str = "text", class_rule: ClassRule | None = None) -> DataFrame:
     """blocks with canonical forms in the text, and the hits and guarded skips of each canonical."""
     done = replacer(blocks.sparkSession, terms, guards, class_rule)(F.col(text_col))
-    return blocks.withColumn("_r", done).withColumn(text_col, F.col("_r.text")).withColumns({"hits": F.col("_r.hits"), "skipped": F.col("_r.skipped")}).drop("_r")
+    return bounded(blocks).withColumn("_r", done).withColumn(text_col, F.col("_r.text")).withColumns({"hits": F.col("_r.hits"), "skipped": F.col("_r.skipped")}).drop("_r")
 
 
 def hit_counts(done: DataFrame, key: str) -> DataFrame:

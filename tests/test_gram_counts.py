@@ -60,3 +60,11 @@ def test_first_contexts_of_a_task_are_few(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in plan and "MapInPandas" not in plan
     assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "1000"
+
+
+def test_texts_are_cleaned_in_small_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    texts = spark.range(3000).selectExpr("id", "'a teh b' AS text").coalesce(1)
+    done = replacement.cleaned(texts, [("the", ["teh"])])
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "1000"
+    assert done.filter("text = 'a the b'").count() == 3000
