@@ -42,9 +42,12 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
         several = told.dropDuplicates(["doc_id", "json"])
         place = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", "json"))
         named = written.save(several.select("row", F.struct("doc_id", place.alias("place")).alias("doc_id"), "text"), "named")
-    found = written.save(jaccard_join.near_duplicates(named, written=written), "kept")
-    keep = found.filter("component_id = doc_id").select(F.col("doc_id").alias("k_id"))
-    kept = named.join(keep, F.col("doc_id") == F.col("k_id"), "left_semi").select("row").unionAll(rows.filter("doc_id is null").select("row"))
+    found = jaccard_join.near_duplicates(named, written=written).filter("component_id <> doc_id")
+    gone = written.save(found.select(F.col("doc_id").alias("g_id")), "gone")
+    # the ids that go are fewer than the texts are long: only where they are too many for a broadcast the texts are dealt out
+    few = gone.count() <= jaccard_join.BROADCAST_ROWS
+    kept = named.join(F.broadcast(gone) if few else gone, F.col("doc_id") == F.col("g_id"), "left_anti")
+    kept = kept.select("row").unionAll(rows.filter("doc_id is null").select("row"))
     return kept.select(*[F.col(f"row.{at[c]}").alias(c) for c in docs.columns])
 
 

@@ -46,7 +46,7 @@ WORDS = 5
 SIMILARITY = (4, 5)
 #: Regions whose open pairs are at most this many times their members are finished in one round.
 LINEAR = 30
-#: Candidate ids up to which the texts' scan gets them by broadcast; beyond, by a join.
+#: Ids up to which texts or sets are chosen by a broadcast of them; beyond, by a join.
 BROADCAST_ROWS = 1_000_000
 
 
@@ -143,6 +143,12 @@ def linked(pairs: DataFrame, sets: DataFrame, similarity) -> DataFrame:
     )
 
 
+def asked(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The sets that pairs (x, p), a stored table, name: a round with few pairs does not deal out all sets again."""
+    ids = pairs.select(F.explode(F.array("x", "p")).alias("doc")).distinct()
+    return sets.join(F.broadcast(ids), "doc", "left_semi") if pairs.count() <= BROADCAST_ROWS // 2 else sets
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -258,10 +264,11 @@ def near_duplicates(
         ranked = u.withColumn("turn", F.row_number().over(Window.partitionBy("h").orderBy(F.desc("central"), "p"))).filter(F.col("turn") <= each)
         tried = open_pairs(ranked).select("x", "p").distinct()
         fresh = tried.join(done.select(F.least("x", "p").alias("x"), F.greatest("x", "p").alias("p")).distinct(), ["x", "p"], "left_anti")
-        now = written.save(linked(fresh, sets, similarity), "join-compared")
+        fresh = written.save(fresh, "join-pairs")
+        now = written.save(linked(fresh, asked(sets, fresh), similarity), "join-compared")
         links = links.unionAll(now.filter("link").select(F.col("x").alias("a"), F.col("p").alias("b")))
         done = done.unionAll(now.select("x", "p"))
-        written.drop(marked)
+        written.drop(marked, fresh)
         if work["most"] <= each and now.filter("link").isEmpty():
             break
         each *= 8

@@ -81,3 +81,11 @@ def test_query(spark):
     sf = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     assert sorted(map(tuple, jaccard_join.op6_ngram_jaccard(spark, sf).collect())) == brute(rows)
+
+
+def test_rounds_ask_for_the_sets_of_their_pairs(spark, monkeypatch):
+    sets = spark.createDataFrame([(i, 1, [i]) for i in range(6)], "doc long, n long, shingles array<long>")
+    pairs = spark.createDataFrame([(1, 4), (1, 5)], "x long, p long")
+    assert sorted(r.doc for r in jaccard_join.asked(sets, pairs).collect()) == [1, 4, 5]
+    monkeypatch.setattr(jaccard_join, "BROADCAST_ROWS", 0)
+    assert jaccard_join.asked(sets, pairs) is sets

@@ -81,3 +81,18 @@ def test_repeated_ids_with_maps(spark):
     kept = corpus_pipeline.near_duplicate_stage(spark, docs, SF)
     assert kept.schema == docs.schema
     assert sorted((r.doc_id, (r.m or {}).get("a")) for r in kept.collect()) == [(1, 1), (1, 2), (3, None)]
+
+
+def test_texts_are_not_dealt_out_to_drop_duplicates(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = corpus_pipeline.near_duplicate_stage(spark, docs, SF)
+        assert "hashpartitioning" not in kept._jdf.queryExecution().executedPlan().toString()
+        want = sorted(kept.collect())
+        monkeypatch.setattr(jaccard_join, "BROADCAST_ROWS", 0)
+        assert sorted(corpus_pipeline.near_duplicate_stage(spark, docs, SF).collect()) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert {r.doc_id for r in want} == {r.doc_id for r in jaccard_join.near_duplicates(docs).collect() if r.component_id == r.doc_id}
