@@ -38,9 +38,13 @@ BITS = 1 << 26
 #: Runs of 1 to so many words are counted by hash before phrases are.
 LEVELS = 5
 #: Words of a shard, unless one text has more.
-SHARD_WORDS = 1 << 19
+SHARD_WORDS = 1 << 18
 #: Different phrases up to which a task adds up its shards' counts.
 MERGED_ROWS = 400_000
+#: Splits of the input that a task of the last reading takes.
+TASK_SPLITS = 4
+#: Phrases whose bytes are gathered at a time.
+GATHERED_ROWS = 20_000
 #: Language of rows without one.
 UNKNOWN = "und"
 
@@ -60,7 +64,7 @@ def words_of(batches):
         salt = scan.mix(scan.hashes(data, at[:-1], at[1:]), 41)
         for w in scan.words(batch.column(1), lower=True, white=_WHITE):
             lang = code[w.row + w.row_of]
-            breaks = np.zeros(len(w.data) + 1, np.int64)
+            breaks = np.zeros(len(w.data) + 1, np.int32 if len(w.data) < 1 << 31 else np.int64)
             np.cumsum(_BREAK[w.data], out=breaks[1:])
             on = np.zeros(len(w.start), bool)
             on[1:] = breaks[w.start[1:]] == breaks[w.end[:-1]]
@@ -146,9 +150,9 @@ def shard(names, lang, key, reach, data, start, end, most: int):
         long = reach[order[begin]] >= k
         found.append((k, order[begin[long]], count[long]))
     for k, i, n in found:
-        for lo in range(0, len(i), 100_000):
-            j = i[lo : lo + 100_000]
-            columns = [names.take(pa.array(lang[j])), pa.array(np.full(len(j), k, np.int32)), scan.gathered(data, start[j], end[j + k - 1]), pa.array(n[lo : lo + 100_000].astype(np.int64))]
+        for lo in range(0, len(i), GATHERED_ROWS):
+            j = i[lo : lo + GATHERED_ROWS]
+            columns = [names.take(pa.array(lang[j])), pa.array(np.full(len(j), k, np.int32)), scan.gathered(data, start[j], end[j + k - 1]), pa.array(n[lo : lo + GATHERED_ROWS].astype(np.int64))]
             yield pa.RecordBatch.from_arrays(columns, names=["lang", "words", "phrase", "n"])
 
 
@@ -156,12 +160,13 @@ class Merged:
     """Counts of a task's shards, added up until they are more than MERGED_ROWS different phrases."""
 
     def __init__(self):
-        self.held, self.n = [], 0
+        self.held, self.n, self.different = [], 0, 0
 
     def add(self, rows: pa.RecordBatch):
         self.held.append(pa.Table.from_batches([rows]))
         self.n += rows.num_rows
-        if self.n > 2 * MERGED_ROWS:
+        # rows that were added up already are told from new ones, which are half of them at most
+        if self.n > self.different + max(MERGED_ROWS // 4, self.different // 2):
             self.merge()
             if self.n > MERGED_ROWS:
                 yield from self.rows()
@@ -169,55 +174,69 @@ class Merged:
     def merge(self) -> None:
         sums = pa.concat_tables(self.held).group_by(["lang", "words", "phrase"]).aggregate([("n", "sum")])
         self.held, self.n = [sums.rename_columns(["lang", "words", "phrase", "n"])], sums.num_rows
+        self.different = self.n
+        del sums
+        pa.default_memory_pool().release_unused()
 
     def rows(self):
         if self.held:
             self.merge()
-            yield from self.held[0].to_batches(100_000)
-            self.held, self.n = [], 0
+            out, self.held, self.n, self.different = self.held[0], [], 0, 0
+            yield from out.to_batches(GATHERED_ROWS)
+
+
+def counted(batches, bits: list[np.ndarray], most: int, shard_words: int):
+    """(lang, words, phrase, n) of a task's texts, shard by shard, added up as far as Merged does."""
+    names, parts, held, at = [], [], 0, 0
+    merged = Merged()
+
+    def done():
+        lang, key, known, data, start, end = (np.concatenate(x) for x in zip(*parts))
+        parts.clear()
+        for rows in shard(pa.array(names, pa.string()), lang, key, reaches(known, len(bits), most), data, start, end, most):
+            yield from merged.add(rows)
+
+    for found, lang, key, on, data, start, end in words_of(batches):
+        valid, _, _ = runs(key, on, bits)
+        ok, known = valid[0], np.sum(valid, axis=0)
+        numbers = {name: k for k, name in enumerate(names)}
+        for name in found.to_pylist():
+            if name not in numbers:
+                numbers[name] = len(names)
+                names.append(name)
+        code = np.array([numbers[name] for name in found.to_pylist()], np.int32)
+        s, e = start[ok], end[ok]
+        n = e - s + 1  # each word and one space
+        fresh = np.zeros(len(n) + 1, np.int64)
+        np.cumsum(n, out=fresh[1:])
+        inside = np.zeros(len(data) + 1, np.int8)
+        inside[s] += 1
+        inside[e] -= 1  # a text's first word may begin where the last one of the text before ends
+        of_words = np.ones(fresh[-1], bool)
+        of_words[fresh[1:] - 1] = False
+        taken = np.full(fresh[-1], 0x20, np.uint8)
+        taken[of_words] = data[np.cumsum(inside[:-1], dtype=np.int8).view(bool)]
+        parts.append((code[lang[ok]], key[ok], known[ok].astype(np.int8), taken, at + fresh[:-1], at + fresh[1:] - 1))
+        at, held = at + int(fresh[-1]), held + len(s)
+        if held >= shard_words:
+            yield from done()
+            held, at = 0, 0
+    if held:
+        yield from done()
+    yield from merged.rows()
+
+
+def in_wide_tasks(texts: DataFrame) -> DataFrame:
+    """texts in tasks of TASK_SPLITS splits, but no fewer tasks than two for each core: each task tells the count of a
+    frequent phrase once, so wide ones tell fewer rows."""
+    splits = texts.rdd.getNumPartitions()
+    return texts.coalesce(max(2 * texts.sparkSession.sparkContext.defaultParallelism, splits // TASK_SPLITS))
 
 
 def phrase_counts(texts: DataFrame, bits: list[np.ndarray], most: int, shard_words: int = SHARD_WORDS) -> DataFrame:
     """(lang, words, phrase, f): all phrases of up to `most` words that consist of marked runs, merged over shards."""
     shared, bits = texts.sparkSession.sparkContext.broadcast(bits[:most]), None
-
-    def count(batches):
-        bits = shared.value
-        names, parts, held = [], [], 0
-        merged = Merged()
-
-        def done():
-            lang, key, known, data, start, end = (np.concatenate(x) for x in zip(*parts))
-            for rows in shard(pa.array(names, pa.string()), lang, key, reaches(known, len(bits), most), data, start, end, most):
-                yield from merged.add(rows)
-
-        at = 0
-        for found, lang, key, on, data, start, end in words_of(batches):
-            valid, _, _ = runs(key, on, bits)
-            ok, known = valid[0], np.sum(valid, axis=0)
-            numbers = {name: k for k, name in enumerate(names)}
-            for name in found.to_pylist():
-                if name not in numbers:
-                    numbers[name] = len(names)
-                    names.append(name)
-            code = np.array([numbers[name] for name in found.to_pylist()], np.int64)
-            s, e = start[ok], end[ok]
-            n = e - s + 1  # each word and one space
-            fresh = np.zeros(len(n) + 1, np.int64)
-            np.cumsum(n, out=fresh[1:])
-            padded = np.append(data, np.uint8(0x20))
-            taken = padded[np.repeat(s - fresh[:-1], n) + np.arange(fresh[-1])]
-            taken[fresh[1:] - 1] = 0x20
-            parts.append((code[lang[ok]], key[ok], known[ok], taken, at + fresh[:-1], at + fresh[1:] - 1))
-            at, held = at + int(fresh[-1]), held + len(s)
-            if held >= shard_words:
-                yield from done()
-                parts, held, at = [], 0, 0
-        if held:
-            yield from done()
-        yield from merged.rows()
-
-    rows = texts.mapInArrow(count, "lang string, words int, phrase string, n long")
+    rows = in_wide_tasks(texts).mapInArrow(lambda batches: counted(batches, shared.value, most, shard_words), "lang string, words int, phrase string, n long")
     return rows.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("f"))
 
 

@@ -116,3 +116,26 @@ def test_sql(spark):
     table = df.toArrow()
     con.register("documents", table)
     assert sorted(con.execute(collocations.ORACLE_SQL).fetchall()) == sorted(map(tuple, collocations.collocations(df).collect()))
+
+
+def test_task_holds_few_rows_that_are_not_added_up(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(collocations, "MERGED_ROWS", 400)
+    merged, out = collocations.Merged(), Counter()
+    r = random.Random(4)
+    for _ in range(60):
+        some = [f"p{k}" for k in r.sample(range(200), 50)]
+        rows = pa.RecordBatch.from_pydict({"lang": ["x"] * 50, "words": pa.array([1] * 50, pa.int32()), "phrase": some, "n": [1] * 50})
+        out.update(some)
+        assert not list(merged.add(rows))
+        assert merged.n <= 1.5 * max(merged.different, 200)
+    got = {w: n for b in merged.rows() for w, n in zip(b.column(2).to_pylist(), b.column(3).to_pylist())}
+    assert got == out
+
+
+def test_last_reading_takes_wide_tasks(spark):
+    cores = spark.sparkContext.defaultParallelism
+    texts = spark.range(0, 1000, 1, cores * 16).selectExpr("'en' as lang", "'a b' as text")
+    assert collocations.in_wide_tasks(texts).rdd.getNumPartitions() == cores * 4
+    assert collocations.in_wide_tasks(texts.coalesce(cores)).rdd.getNumPartitions() == cores
