@@ -2,6 +2,7 @@
 
 import json
 import random
+from types import SimpleNamespace
 
 import pyarrow as pa
 import pytest
@@ -138,6 +139,43 @@ def test_similar_pairs_in_stripes_and_tiles(spark, monkeypatch):
     assert sorted((*sorted((x["x"], x["y"])), x["inter"]) for x in got) == want
 
 
+def shuffled(spark, run) -> int:
+    """Bytes that the stages of run() write for others to read."""
+    sc = spark.sparkContext
+    store, lists, none = sc._jsc.sc().statusStore(), sc._jvm.java.util.ArrayList, sc._gateway.new_array(sc._jvm.double, 0)
+
+    def stages():
+        sc._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        found = store.stageList(None, False, False, none, lists())
+        return {x.stageId(): x.shuffleWriteBytes() for x in (found.apply(k) for k in range(found.size()))}
+
+    before = stages()
+    run()
+    return sum(n for k, n in stages().items() if k not in before)
+
+
+def test_similar_pairs_deal_out_cards_once(spark):
+    """What is dealt out does not grow with the number of stripes, and pairs are the same: with small and large tiles, and cards of the same text."""
+    r = random.Random(8)
+    rows = [(i, i % 50, "".join(r.choice("abcdefghij ") for _ in range(r.randint(20, 90)))) for i in range(390)] + [(i, i, "the same words for all of these") for i in range(390, 400)]
+    df, got = spark.createDataFrame(rows, "i long, g long, t string"), {}
+    pairs = lambda stripe: sorted(map(tuple, cards.similar_pairs(df, "i", "g", "t", 6, 0.25, stripe=stripe).collect()))
+    one, many = (shuffled(spark, lambda s=s: got.update({s: pairs(s)})) for s in (400, 50))
+    assert len(got[400]) > 45 and got[400] == got[50] and many < 3 * one
+
+
+def test_tiles_hold_their_cards_in_order(monkeypatch):
+    """Tiles are full or end with their grams; cards without grams are left out, and what is packed comes back."""
+    cut = cards._packed(3)
+    n = [0, 1, 1, 1, 1, 2, 2]
+    rows = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(["g"] * 7), pa.array([list(range(k)) for k in n], pa.list_(pa.int64())), pa.array(n, pa.int32())], names=["id", "g", "s", "n"])
+    monkeypatch.setattr(cards, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 1)))
+    tiles = [x for batch in cut([rows.slice(0, 3), rows.slice(3)]) for x in batch.to_pylist()]
+    assert [(x["tile"] - (1 << 32), x["low"], x["high"]) for x in tiles] == [(0, 1, 1), (1, 1, 2)]
+    pair = pa.RecordBatch.from_arrays([pa.array([x[k] for x in (tiles[0], tiles[0])]) for k in ("tile", "cards")] + [pa.array([x[k] for x in tiles]) for k in ("tile", "cards")], names=["tile_a", "cards_a", "tile_b", "cards_b"])
+    assert [(x["side"], x["id"], len(x["s"])) for b in cards._unpacked([pair]) for x in b.to_pylist()] == [("a", 1, 1), ("a", 2, 1), ("a", 3, 1)] * 2 + [("b", 4, 1), ("b", 5, 2), ("b", 6, 2)]
+
+
 def test_guarded_replacement(spark):
     rules = [("合学", ["和学", "核学"]), ("咬合平面", []), ("颌平面", ["合平面"]), ("Ⅱ类", ["二类"])]
     f = replacement.replacer(spark, rules, {"和学": ("究", "")}, replacement.ClassRule("^[一二三]类$", "偏氏", "骨高"))
