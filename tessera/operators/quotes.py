@@ -142,7 +142,7 @@ def quote_places(quotes: DataFrame, texts: DataFrame, quote_id: str, quote: str,
     sizes = sorted(r[0] for r in asked.select(F.least("size", F.lit(gram))).distinct().collect())  # at most `gram` numbers
     bits = bitmap(asked.select("slot"))
     places = gram_places(texts.select(*keys, F.col(text).alias("_text")), "_text", bits, sizes, squeeze)
-    places = stored(places.join(asked.select("gram").distinct(), "gram", "left_semi"))
+    places = stored(places.join(asked.select(*on, "gram").distinct(), [*on, "gram"], "left_semi").select(*keys, "gram", "pos", "raw_start", "raw_end"))
     counted = places.groupBy(*on, "gram").agg(F.count("*").alias("df"))
     own = [*dict.fromkeys([*on, quote_id])]
     rarest = asked.join(counted, [*on, "gram"], "left").groupBy(*own).agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "shift", "gram", "parts", "size")).alias("r"))

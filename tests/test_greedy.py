@@ -144,6 +144,35 @@ def test_contained_cards(spark):
     assert got.schema == df.schema and {(x.c, x.i) for x in got.collect()} == want
 
 
+def test_contained_cards_of_large_groups(spark, monkeypatch):
+    """Groups that are too large for a task, by cards or by characters, keep what a pass in order keeps, and small ones beside them do too."""
+    r = random.Random(16)
+    rows = []
+    for c, n in (("many", 90), ("long", 20), ("few", 8), (None, 90), ("", 3)):
+        for i in range(n):
+            t = "".join(r.choice("ab ") for _ in range(r.choice([1, 4, 9, 15, 40]) + (c == "long") * 60))
+            rows.append((c, i, r.choice([t, t, t[5:25], None if r.random() < 0.1 else t])))
+    want, kept = set(), defaultdict(list)
+    for c, i, q in sorted(rows, key=lambda x: (str(x[0]), x[1])):
+        q = "".join((q or "").split())
+        if not any(q in k or k in q for k in kept[c]):
+            kept[c].append(q)
+            want.add((c, i))
+    monkeypatch.setattr(cards, "GROUP_CARDS", 50)
+    monkeypatch.setattr(cards, "GROUP_CHARS", 1200)
+    df = spark.createDataFrame(rows, "c string, i long, q string")
+    got = cards.drop_contained(df, "c", "i", "q")
+    assert got.schema == df.schema and sorted((str(x.c), x.i) for x in got.collect()) == sorted((str(c), i) for c, i in want)
+
+
+def test_contained_cards_deal_out_texts_once(spark, shuffled):
+    """What is shuffled and stored is about the texts themselves, not all places of their grams."""
+    r = random.Random(17)
+    rows = [(i // 5, i, "".join(r.choice("abcdefghijklmnop ") for _ in range(400))) for i in range(1000)]
+    df = spark.createDataFrame(rows, "c long, i long, q string")
+    assert shuffled(lambda: cards.drop_contained(df, "c", "i", "q").count()) < 2 * 400 * len(rows)
+
+
 def test_types_in_turn(spark):
     r = random.Random(4)
     types = ["x", "y", "z", "w"]

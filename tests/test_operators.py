@@ -139,28 +139,13 @@ def test_similar_pairs_in_stripes_and_tiles(spark, monkeypatch):
     assert sorted((*sorted((x["x"], x["y"])), x["inter"]) for x in got) == want
 
 
-def shuffled(spark, run) -> int:
-    """Bytes that the stages of run() write for others to read."""
-    sc = spark.sparkContext
-    store, lists, none = sc._jsc.sc().statusStore(), sc._jvm.java.util.ArrayList, sc._gateway.new_array(sc._jvm.double, 0)
-
-    def stages():
-        sc._jsc.sc().listenerBus().waitUntilEmpty(30_000)
-        found = store.stageList(None, False, False, none, lists())
-        return {x.stageId(): x.shuffleWriteBytes() for x in (found.apply(k) for k in range(found.size()))}
-
-    before = stages()
-    run()
-    return sum(n for k, n in stages().items() if k not in before)
-
-
-def test_similar_pairs_deal_out_cards_once(spark):
+def test_similar_pairs_deal_out_cards_once(spark, shuffled):
     """What is dealt out does not grow with the number of stripes, and pairs are the same: with small and large tiles, and cards of the same text."""
     r = random.Random(8)
     rows = [(i, i % 50, "".join(r.choice("abcdefghij ") for _ in range(r.randint(20, 90)))) for i in range(390)] + [(i, i, "the same words for all of these") for i in range(390, 400)]
     df, got = spark.createDataFrame(rows, "i long, g long, t string"), {}
     pairs = lambda stripe: sorted(map(tuple, cards.similar_pairs(df, "i", "g", "t", 6, 0.25, stripe=stripe).collect()))
-    one, many = (shuffled(spark, lambda s=s: got.update({s: pairs(s)})) for s in (400, 50))
+    one, many = (shuffled(lambda s=s: got.update({s: pairs(s)})) for s in (400, 50))
     assert len(got[400]) > 45 and got[400] == got[50] and many < 3 * one
 
 
