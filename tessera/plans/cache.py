@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators.relational import stored
+from tessera.operators.relational import small, stored
 from tessera.sources.readers import exists
 
 
@@ -43,12 +43,12 @@ def refreshed(rows: DataFrame, key: str, build: Callable[[DataFrame], DataFrame]
         both = stored(marks.join(before, key, "full_outer"))
         fresh = both.filter("mark is not null and (old is null or old <> mark)").select(key)
         stale = both.filter("old is not null and (mark is null or old <> mark)").select(key)
-        kept = spark.read.parquet(f"{folder}/result-{last}").join(stale, key, "left_anti")
+        kept = spark.read.parquet(f"{folder}/result-{last}").join(small(stale), key, "left_anti")
         told = both.select(F.when(F.col("mark").isNull(), "gone").when(F.col("old") == F.col("mark"), "kept").otherwise("computed").alias("k")).groupBy("k").count().collect()
         counts = {"computed": 0, "kept": 0, "gone": 0} | {r.k: r["count"] for r in told}
         if not counts["computed"] and not counts["gone"]:
             return spark.read.parquet(f"{folder}/result-{last}"), counts
-        result = kept.unionByName(build(rows.join(fresh, key, "left_semi")))
+        result = kept.unionByName(build(rows.join(small(fresh), key, "left_semi")))
     else:
         counts = {"computed": marks.count(), "kept": 0, "gone": 0}
         result = build(rows.filter(F.col(key).isNotNull()))

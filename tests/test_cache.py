@@ -45,3 +45,23 @@ def test_marks_tell_repeated_rows_and_nulls(spark):
     mark = lambda rows: cache.fingerprints(spark.createDataFrame(rows, "k long, a string, b string"), "k", "1").first().mark
     every = [mark(r) for r in ([(1, "x", None)], [(1, None, "x")], [(1, "x", None)] * 2, [(1, "x", None)] * 3, [(1, "x", "")])]
     assert len(set(every)) == 5 and mark([(1, "a", "b"), (1, "c", "d")]) == mark([(1, "c", "d"), (1, "a", "b")])
+
+
+def test_a_later_run_deals_out_keys_alone(spark, tmp_path, shuffled):
+    """Rows of unchanged keys, and results that are kept, are not shuffled to find the changed ones, whatever the engine would broadcast by itself."""
+    folder, words = f"file://{tmp_path}/stage", F.concat(*[F.sha2(F.concat("id", F.lit(f":{k}")), 512) for k in range(8)])
+    rows = spark.range(2000).select((F.col("id") % 500).alias("k"), words.alias("v"))
+    rows.write.parquet(f"{tmp_path}/rows")
+    rows, own = spark.read.parquet(f"{tmp_path}/rows"), lambda df: df
+    changed = rows.withColumn("v", F.when(F.col("k") % 10 == 3, F.upper("v")).otherwise(F.col("v")))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cache.refreshed(rows, "k", own, folder)
+        out = []
+        written = shuffled(lambda: out.append(cache.refreshed(changed, "k", own, folder)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    result, counts = out[0]
+    assert counts == {"computed": 50, "kept": 450, "gone": 0} and sorted(map(tuple, result.collect())) == sorted(map(tuple, changed.collect()))
+    assert written < 1024 * 2000 / 4
